@@ -16,9 +16,17 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fixed value: two-digit years 69-99 are 1969-1999, 00-68 are 2000-2068
+# (the POSIX ``%y`` rule); Spark's ``yy`` alone maps every year to 20xx.
+TWO_DIGIT_YEAR_PIVOT = 69
+
+
 def parse_day(c: Column | str, fmt: str = DAY_FORMAT_CSV) -> Column:
     """Day text to DATE; unparsable text gives NULL (routed to rejects)."""
-    return F.try_to_date(_c(c), F.lit(fmt)) if hasattr(F, "try_to_date") else F.to_date(_c(c), fmt)
+    d = F.try_to_date(_c(c), fmt)
+    if "yy" in fmt and "yyy" not in fmt:
+        d = F.when(F.year(d) >= 2000 + TWO_DIGIT_YEAR_PIVOT, F.add_months(d, -1200)).otherwise(d)
+    return d
 
 
 def parse_iso_timestamp(c: Column | str) -> Column:

@@ -70,11 +70,11 @@ facts AS (
   FROM hotspot h JOIN climate c ON h.date = c.date)"""
 
 
-def _feed(unit: str = "hour") -> str:
+def _feed(unit: str = "hour", name: str = "feed") -> str:
     cl = "CASE WHEN event_type = 'view' THEN {} END"
     hs = "CASE WHEN event_type IN ('click', 'signup', 'purchase', 'error') THEN {} END"
     return f"""
-feed AS (
+{name} AS (
   SELECT event_id AS arrival,
          CAST(date_trunc('{unit}', ts) AS TIMESTAMP) AS batch,
          CASE WHEN event_type = 'view' THEN 'producer_climate'
@@ -237,4 +237,23 @@ SELECT stream, arrival, seq, day_label, temperature,
        'Minimum (Date: ' || lo.l || ' & Temp: ' || CAST(lo.v AS VARCHAR) || ')' AS min_caption,
        'Maximum (Date: ' || hi.l || ' & Temp: ' || CAST(hi.v AS VARCHAR) || ')' AS max_caption
 FROM framed WHERE n = 11"""
+    q["load_climate_documents_csv"] = q["load_climate_documents"]
+    q["normalize_climate_feed"] = _with(_feed()) + f"""
+SELECT latitude, longitude, air_temperature_celcius, relative_humidity, windspeed_knots,
+       max_wind_speed, precipitation, precipitation_type, ghi
+FROM feed WHERE producer_id = 'producer_climate'"""
+    q["normalize_satellite_feed"] = _with(_feed()) + """
+SELECT producer_id, latitude, longitude, confidence, surface_temperature_celcius
+FROM feed WHERE producer_id IN ('producer_hotspot_aqua', 'producer_hotspot_terra')"""
+    q["stream_event_time_enrichment"] = q["enrich_climate"]
+    q["stream_rolling_extremes"] = q["rolling_temperature_extremes"]
+    chunked = _feed(name="feed0") + """,
+feed AS (
+  SELECT * REPLACE (
+    (arrival - (SELECT min(arrival) FROM feed0 WHERE producer_id IS NOT NULL))
+    // (((SELECT max(arrival) FROM feed0 WHERE producer_id IS NOT NULL)
+         - (SELECT min(arrival) FROM feed0 WHERE producer_id IS NOT NULL)) // 4 + 1) AS batch)
+  FROM feed0 WHERE producer_id IS NOT NULL)"""
+    q["stream_arrival_enrichment"] = _with(chunked, PAIRS, LATEST, ENRICHED) + """
+SELECT * EXCLUDE (batch), batch AS batch_id FROM enriched"""
     return q
