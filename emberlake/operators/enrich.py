@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from emberlake import schema as S
 from emberlake.functions.geo import with_geo_cell
 from emberlake.functions.labels import fire_cause
-from emberlake.operators.pairing import pair_satellites
+from emberlake.operators.pairing import pair_satellites, pair_satellites_as_coded
 from emberlake.operators.sizing import broadcast_if_small, materialize
 
 CLIMATE_FIELDS = ["event_ts", "latitude", "longitude", *S.CLIMATE_MEASURES,
@@ -52,7 +52,7 @@ def climate_record(latest: DataFrame, station: int = S.STREAM_STATION) -> DataFr
 
 
 def enrich_flat(messages: DataFrame, precision: int = 3, station: int = S.STREAM_STATION,
-                check_sizes: bool = True) -> DataFrame:
+                check_sizes: bool = True, as_coded: bool = False) -> DataFrame:
     """Flagship: one row per (climate record x co-located hotspot).
 
     A batch's climate record is kept with NULL hotspot fields when no
@@ -60,13 +60,16 @@ def enrich_flat(messages: DataFrame, precision: int = 3, station: int = S.STREAM
     without climate emit nothing.  The left-outer join is written as an
     inner join plus an anti join: the climate side has one row per batch
     and can be broadcast (or, when large, AQE may split a hot (batch, cell)
-    of the hotspot side, which a left-outer join could not).
+    of the hotspot side, which a left-outer join could not).  ``as_coded``
+    reproduces the original loop's duplicated and lost hotspots (per
+    micro-batch only, see ``pair_satellites_as_coded``).
     """
     climate_msgs, sat_msgs = route(messages)
     climate = climate_record(latest_climate_per_batch(climate_msgs, precision=precision), station)
     if check_sizes:
         climate = broadcast_if_small(materialize(climate, "climate-per-batch"))
-    pairs = pair_satellites(with_geo_cell(sat_msgs, precision))
+    cells = with_geo_cell(sat_msgs, precision)
+    pairs = pair_satellites_as_coded(cells) if as_coded else pair_satellites(cells)
     keys = ["batch", "geo_cell"]
     hit = pairs.join(climate, keys, "inner").withColumn(
         "cause", fire_cause("air_temperature_celcius", "ghi"))

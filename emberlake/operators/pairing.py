@@ -57,3 +57,101 @@ def pair_satellites(hotspots: DataFrame, batch: str = "batch", cell: str = "geo_
         mean_or_pick("confidence").alias("confidence"),
         mean_or_pick("surface_temperature_celcius").alias("surface_temperature_celcius"),
         satellite.alias("satellite"), merged.alias("merged"))
+
+
+# -- the original loop's multiplicities (quirk Q1), per micro-batch ----------
+
+_AS_CODED_COLUMNS = ["geo_cell", "arrival", "time", "latitude", "longitude", "confidence",
+                     "surface_temperature_celcius", "satellite", "merged"]
+
+
+class _Fenwick:
+    def __init__(self, n: int):
+        self.tree = [0] * (n + 1)
+
+    def add(self, i: int) -> None:
+        i += 1
+        while i < len(self.tree):
+            self.tree[i] += 1
+            i += i & -i
+
+    def before(self, i: int) -> int:
+        """Number of added positions < i."""
+        s = 0
+        while i > 0:
+            s += self.tree[i]
+            i -= i & -i
+        return s
+
+
+def _as_coded_rows(pdf):
+    """One batch: the rows the original nested loop emits, copies included.
+
+    An AQUA row is emitted once per TERRA row it passes over before its match
+    (the merged values show in every copy, since the loop appended the same
+    mutated record), or once per remaining TERRA row when it finds none (0
+    copies when the TERRA list is already empty).  With no TERRA rows the
+    AQUA rows pass through once; unmatched TERRA rows are appended once.
+    Copies of a matched row = its TERRA row's position in the shrinking list
+    + 1 = t_seq - (earlier matches with a smaller t_seq) + 1.
+    """
+    import collections
+
+    import pandas as pd
+
+    pdf = pdf.sort_values("arrival", kind="stable")
+    aqua = pdf[pdf["producer_id"] == S.PRODUCER_AQUA]
+    terra = pdf[pdf["producer_id"] == S.PRODUCER_TERRA]
+    n_t = len(terra)
+    queues = collections.defaultdict(collections.deque)
+    for t_seq, cell in enumerate(terra["geo_cell"]):
+        if cell is not None:
+            queues[cell].append(t_seq)
+    fen = _Fenwick(n_t)
+    taken, prior, out = set(), 0, []
+    t_rows = terra.to_dict("records")
+    for a in aqua.to_dict("records"):
+        cell = a["geo_cell"]
+        q = queues.get(cell) if cell is not None else None
+        if n_t and q:
+            t_seq = q.popleft()
+            t = t_rows[t_seq]
+            copies = t_seq - fen.before(t_seq) + 1
+            fen.add(t_seq)
+            taken.add(t_seq)
+            prior += 1
+            row = (cell, a["arrival"], a["event_ts"], a["latitude"], a["longitude"],
+                   (a["confidence"] + t["confidence"]) / 2.0,
+                   (a["surface_temperature_celcius"] + t["surface_temperature_celcius"]) / 2.0,
+                   SAT_BOTH, True)
+        else:
+            copies = 1 if n_t == 0 else n_t - prior
+            row = (cell, a["arrival"], a["event_ts"], a["latitude"], a["longitude"],
+                   a["confidence"], a["surface_temperature_celcius"], SAT_AQUA, False)
+        out.extend([row] * copies)
+    for t_seq, t in enumerate(t_rows):
+        if t_seq not in taken:
+            out.append((t["geo_cell"], t["arrival"], t["event_ts"], t["latitude"], t["longitude"],
+                        t["confidence"], t["surface_temperature_celcius"], SAT_TERRA, False))
+    res = pd.DataFrame(out, columns=_AS_CODED_COLUMNS)
+    res.insert(0, "batch", pdf["batch"].iloc[0] if len(pdf) else None)
+    return res
+
+
+def pair_satellites_as_coded(hotspots: DataFrame, batch: str = "batch") -> DataFrame:
+    """Q1: the pairing with the original loop's duplicates and losses.
+
+    Runs one pandas group per batch, so it is meant for micro-batches, whose
+    size the stream trigger bounds (``maxOffsetsPerTrigger`` /
+    ``maxFilesPerTrigger``); whole-table backfills use ``pair_satellites``.
+    Input needs ``geo_cell``.
+    """
+    sats = hotspots.where(F.col("producer_id").isin(S.PRODUCER_AQUA, S.PRODUCER_TERRA)).select(
+        F.col(batch).alias("batch"), "arrival", "producer_id", "event_ts", "latitude", "longitude",
+        *S.HOTSPOT_MEASURES, "geo_cell")
+    btype = sats.schema["batch"].dataType.simpleString()
+    schema = (f"batch {btype}, geo_cell string, arrival long, time timestamp_ntz, latitude double, "
+              "longitude double, confidence double, surface_temperature_celcius double, "
+              "satellite string, merged boolean")
+    out = sats.groupBy("batch").applyInPandas(_as_coded_rows, schema)
+    return out.withColumnRenamed("batch", batch) if batch != "batch" else out

@@ -152,6 +152,50 @@ CLIMATE_COLS = ("date, station, air_temperature_celcius, relative_humidity, wind
                 "max_wind_speed, precipitation, precipitation_type, ghi")
 
 
+PAIRS_AS_CODED = f"""
+sat AS (
+  SELECT *, {geo_cell_sql('latitude', 'longitude')} AS geo_cell FROM feed
+  WHERE producer_id IN ('producer_hotspot_aqua', 'producer_hotspot_terra')),
+num AS (
+  SELECT *, row_number() OVER (PARTITION BY batch, producer_id, geo_cell ORDER BY arrival) AS rn,
+         row_number() OVER (PARTITION BY batch, producer_id ORDER BY arrival) - 1 AS seq
+  FROM sat),
+a AS (SELECT * FROM num WHERE producer_id = 'producer_hotspot_aqua'),
+t AS (SELECT * FROM num WHERE producer_id = 'producer_hotspot_terra'),
+nt AS (SELECT batch, count(*) AS n_t FROM t GROUP BY batch),
+am AS (
+  SELECT a.*, t.seq AS t_seq, t.confidence AS t_conf, t.surface_temperature_celcius AS t_surf,
+         coalesce(nt.n_t, 0) AS n_t
+  FROM a LEFT JOIN t ON a.batch = t.batch AND a.geo_cell = t.geo_cell AND a.rn = t.rn
+  LEFT JOIN nt ON a.batch = nt.batch),
+ap AS (
+  SELECT am.*,
+         coalesce(sum(CASE WHEN t_seq IS NOT NULL THEN 1 ELSE 0 END) OVER (
+           PARTITION BY batch ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prior,
+         (SELECT count(*) FROM am q WHERE q.batch = am.batch AND q.t_seq IS NOT NULL
+            AND q.seq < am.seq AND q.t_seq < am.t_seq) AS prior_before
+  FROM am),
+acopies AS (
+  SELECT *, CASE WHEN n_t = 0 THEN 1 WHEN t_seq IS NOT NULL THEN t_seq - prior_before + 1
+                 ELSE n_t - prior END AS copies
+  FROM ap),
+pairs AS (
+  SELECT * EXCLUDE (k) FROM (
+    SELECT batch, geo_cell, arrival, event_ts AS time, latitude, longitude,
+           CASE WHEN t_seq IS NOT NULL THEN (confidence + t_conf) / 2.0 ELSE confidence END AS confidence,
+           CASE WHEN t_seq IS NOT NULL THEN (surface_temperature_celcius + t_surf) / 2.0
+                ELSE surface_temperature_celcius END AS surface_temperature_celcius,
+           CASE WHEN t_seq IS NOT NULL THEN 'both' ELSE 'aqua' END AS satellite,
+           (t_seq IS NOT NULL) AS merged,
+           unnest(range(CAST(copies AS BIGINT))) AS k
+    FROM acopies)
+  UNION ALL
+  SELECT batch, geo_cell, arrival, event_ts AS time, latitude, longitude, confidence,
+         surface_temperature_celcius, 'terra' AS satellite, false AS merged
+  FROM t WHERE NOT EXISTS (
+    SELECT 1 FROM a WHERE a.batch = t.batch AND a.geo_cell = t.geo_cell AND a.rn = t.rn))"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -255,5 +299,7 @@ feed AS (
          - (SELECT min(arrival) FROM feed0 WHERE producer_id IS NOT NULL)) // 4 + 1) AS batch)
   FROM feed0 WHERE producer_id IS NOT NULL)"""
     q["stream_arrival_enrichment"] = _with(chunked, PAIRS, LATEST, ENRICHED) + """
+SELECT * EXCLUDE (batch), batch AS batch_id FROM enriched"""
+    q["stream_arrival_enrichment_as_coded"] = _with(chunked, PAIRS_AS_CODED, LATEST, ENRICHED) + """
 SELECT * EXCLUDE (batch), batch AS batch_id FROM enriched"""
     return q

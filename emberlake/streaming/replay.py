@@ -78,14 +78,14 @@ def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour",
 
 
 def replay_arrival_enrichment(feed: DataFrame, files_per_batch: int = 1,
-                              nested: bool = False) -> DataFrame:
+                              nested: bool = False, as_coded: bool = False) -> DataFrame:
     spark = feed.sparkSession
     root = _run_dir(spark, "enrich-arrival")
     write_replay(feed, f"{root}/records")
     q = start_arrival_enrichment(
         read_records_stream(spark, f"{root}/records", max_per_trigger=files_per_batch),
         f"{root}/sink", f"{root}/checkpoint", rejects_path=f"{root}/rejects",
-        nested=nested, available_now=True)
+        nested=nested, available_now=True, as_coded=as_coded)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/sink")
 

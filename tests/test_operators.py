@@ -168,3 +168,51 @@ def test_enrichment_edge_cases(spark):
     docs = {r.batch: r for r in enrich_documents(flat).collect()}
     assert docs[2].hotspots is None and len(docs[4].hotspots) == 2
     assert all(r.station == S.STREAM_STATION for r in docs.values())
+
+
+def scan_as_described(aqua, terra):
+    """Q1 as described: scan the shrinking TERRA list; emit the AQUA record
+    once per non-matching TERRA row passed, once more on a match (the same
+    record, later averaged); an empty TERRA side lets AQUA pass once."""
+    if not terra:
+        return [(a["arrival"], a["conf"], a["surf"], "aqua") for a in aqua]
+    if not aqua:
+        return [(t["arrival"], t["conf"], t["surf"], "terra") for t in terra]
+    remaining = list(terra)
+    emitted = []
+    for a in aqua:
+        rec = {"arrival": a["arrival"], "conf": a["conf"], "surf": a["surf"], "sat": "aqua"}
+        for t in list(remaining):
+            emitted.append(rec)
+            if t["cell"] == a["cell"]:
+                rec.update(conf=(a["conf"] + t["conf"]) / 2, surf=(a["surf"] + t["surf"]) / 2, sat="both")
+                remaining.remove(t)
+                break
+    emitted += [{"arrival": t["arrival"], "conf": t["conf"], "surf": t["surf"], "sat": "terra"}
+                for t in remaining]
+    return [(r["arrival"], r["conf"], r["surf"], r["sat"]) for r in emitted]
+
+
+def test_as_coded_pairing_equals_described_scan(spark):
+    from emberlake.functions.geo import with_geo_cell
+    from emberlake.operators.pairing import pair_satellites_as_coded
+    rng = random.Random(23)
+    rows, expected = [], Counter()
+    arrival = 0
+    for b in range(300):
+        n_cells = rng.randint(1, 3)
+        aqua, terra = [], []
+        for _ in range(rng.randint(0, 9)):
+            arrival += 1
+            sat = rng.choice([S.PRODUCER_AQUA, S.PRODUCER_TERRA])
+            rec = {"arrival": arrival, "cell": rng.randrange(n_cells),
+                   "conf": float(rng.randint(50, 100)), "surf": float(rng.randint(30, 120))}
+            (aqua if sat == S.PRODUCER_AQUA else terra).append(rec)
+            rows.append(hotspot_msg(b, arrival, sat, rec["cell"], rec["conf"], rec["surf"]))
+        for p in scan_as_described(aqua, terra):
+            expected[(b, *p)] += 1
+    df = with_geo_cell(spark.createDataFrame(rows, MSG_SCHEMA))
+    got = pair_satellites_as_coded(df).select(
+        "batch", "arrival", "confidence", "surface_temperature_celcius", "satellite").collect()
+    assert Counter(tuple(r) for r in got) == expected
+    assert sum(expected.values()) != len(rows)   # duplicates and losses do occur
