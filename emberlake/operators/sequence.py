@@ -4,38 +4,55 @@
 group in one task, so a group holding a third of the data stalls the job.
 Here the order value range is cut into fixed-width blocks: a block of a
 group holds at most ``block_width`` rows (order values are distinct
-integers), the per-(group, block) counts are a partial aggregate, and a
-running sum over those few counts gives each block's starting offset.  The
-final window is partitioned by (group, block), so its partitions are
-bounded whatever the skew.
+integers).  The rows are shuffled once, on (group, block); that one
+exchange feeds both the local numbering inside each block and the
+per-block counts, whose running sum over the few blocks of a group gives
+each block's starting offset.  Only the small offset table moves again.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BLOCK_WIDTH = 1 << 20
 
 
+def _non_null(df: DataFrame, k: str) -> Column:
+    """The key with NULL replaced by a typed default (paired with a null flag)."""
+    dt = df.schema[k].dataType
+    if isinstance(dt, T.StringType):
+        default = F.lit("")
+    elif isinstance(dt, T.BooleanType):
+        default = F.lit(False)
+    elif isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        default = F.lit("1970-01-01 00:00:00").cast(dt)
+    else:
+        default = F.lit(0).cast(dt)
+    return F.coalesce(F.col(k), default)
+
+
 def number_within(df: DataFrame, keys: list[str], order_col: str, out: str = "rn",
                   block_width: int = DEFAULT_BLOCK_WIDTH,
                   tiebreak: list[str] | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row within its ``keys`` group,
-    ordered by the integral ``order_col`` (then ``tiebreak``)."""
-    blocked = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block_width)).cast("long"))
-    counts = blocked.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy(*keys).orderBy("_blk")
-    offsets = counts.select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_blk").alias("_o_blk"),
-        (F.sum("_n").over(running) - F.col("_n")).alias("_off"))
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys],
-                  F.col("_blk") == F.col("_o_blk"))
-    joined = blocked.join(offsets, cond, "inner").drop(*[f"_o_{k}" for k in keys], "_o_blk")
+    ordered by the integral ``order_col`` (then ``tiebreak``).  Rows with a
+    NULL key get a NULL number (they belong to no group)."""
+    nk = [f"_k{i}" for i in range(len(keys))]
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    grp = ["_null", *nk, "_blk"]
+    blocked = (df.select("*", any_null.alias("_null"),
+                         *[_non_null(df, k).alias(n) for k, n in zip(keys, nk)],
+                         F.floor(F.col(order_col) / F.lit(block_width)).cast("long").alias("_blk"))
+               .repartition(*grp))
     order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
-    inner = Window.partitionBy(*keys, "_blk").orderBy(*order)
-    return (joined.withColumn(out, F.row_number().over(inner) + F.col("_off"))
-                  .drop("_blk", "_off"))
+    local = blocked.withColumn("_lrn", F.row_number().over(Window.partitionBy(*grp).orderBy(*order)))
+    counts = blocked.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy("_null", *nk).orderBy("_blk")
+    offsets = counts.select(*grp, (F.sum("_n").over(running) - F.col("_n")).alias("_off"))
+    rn = F.when(~F.col("_null"), F.col("_lrn") + F.col("_off"))
+    return (local.join(offsets, grp).withColumn(out, rn)
+            .drop("_lrn", "_off", *grp))

@@ -242,7 +242,7 @@ FROM climate c LEFT JOIN hotspot h ON c.date = h.date GROUP BY c.date"""
 SELECT time, latitude, longitude, confidence, surface_temperature_celcius FROM facts
 WHERE confidence < 70"""
     q["avg_surface_temp_per_day"] = _with(CLIMATE, HOTSPOT, FACTS) + """
-SELECT strftime(date, '%d/%m/%Y') AS date, round(avg(surface_temperature_celcius), 6) AS avgTemp
+SELECT strftime(date, '%d/%m/%Y') AS date, avg(surface_temperature_celcius) AS avgTemp
 FROM facts GROUP BY date"""
     q["lowest_ghi_days"] = _with(CLIMATE) + f"""
 SELECT {CLIMATE_COLS} FROM climate ORDER BY ghi, date LIMIT 10"""

@@ -96,11 +96,13 @@ def low_confidence_hotspots(facts: DataFrame, below: float = 70.0) -> DataFrame:
                  .select(*S.HOTSPOT_COLUMNS))
 
 
-def avg_surface_temp_per_day(facts: DataFrame, digits: int = 6) -> DataFrame:
-    """H: mean surface temperature of each day that had fires."""
-    return (facts.groupBy("date").agg(F.avg("surface_temperature_celcius").alias("avg"))
+def avg_surface_temp_per_day(facts: DataFrame, digits: int | None = None) -> DataFrame:
+    """H: mean surface temperature of each day that had fires (``digits``
+    rounds it for display; by default the mean is returned as computed)."""
+    avg = F.avg("surface_temperature_celcius")
+    return (facts.groupBy("date").agg(avg.alias("avg"))
             .select(format_day("date", DAY_FORMAT_REPORT).alias("date"),
-                    F.round("avg", digits).alias("avgTemp")))
+                    (F.round("avg", digits) if digits is not None else F.col("avg")).alias("avgTemp")))
 
 
 def lowest_ghi_days(climate: DataFrame, k: int = 10) -> DataFrame:
