@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from emberlake import schema as S
 from emberlake.functions.geo import with_geo_cell
 from emberlake.functions.labels import fire_cause
+from emberlake.operators.joins import left_join_small
 from emberlake.operators.pairing import pair_satellites, pair_satellites_as_coded
-from emberlake.operators.sizing import broadcast_if_small, materialize
+from emberlake.operators.sizing import materialize
 
 CLIMATE_FIELDS = ["event_ts", "latitude", "longitude", *S.CLIMATE_MEASURES,
                   "precipitation", "precipitation_type", "ghi"]
@@ -35,7 +36,8 @@ def latest_climate_per_batch(climate_msgs: DataFrame, batch: str = "batch",
     """The last-arrived climate message of each batch wins.
 
     ``max(struct(arrival, ...))`` is a partial aggregate, so a batch with
-    many climate messages is reduced map-side.
+    many climate messages is reduced map-side (sort-based, as the struct
+    buffer holds a string; it spills rather than fails).
     """
     best = (climate_msgs.groupBy(batch)
             .agg(F.max(F.struct("arrival", *CLIMATE_FIELDS)).alias("c")))
@@ -67,15 +69,14 @@ def enrich_flat(messages: DataFrame, precision: int = 3, station: int = S.STREAM
     climate_msgs, sat_msgs = route(messages)
     climate = climate_record(latest_climate_per_batch(climate_msgs, precision=precision), station)
     if check_sizes:
-        climate = broadcast_if_small(materialize(climate, "climate-per-batch"))
+        climate = materialize(climate, "climate-per-batch")
     cells = with_geo_cell(sat_msgs, precision)
     pairs = pair_satellites_as_coded(cells) if as_coded else pair_satellites(cells)
-    keys = ["batch", "geo_cell"]
-    hit = pairs.join(climate, keys, "inner").withColumn(
-        "cause", fire_cause("air_temperature_celcius", "ghi"))
-    occupied = pairs.select(*keys).distinct()
-    lonely = climate.join(occupied, keys, "left_anti")
-    out = hit.unionByName(lonely, allowMissingColumns=True)
+    pairs = pairs.withColumnRenamed("merged", "_merged")
+    out = left_join_small(climate, pairs, ["batch", "geo_cell"], check_size=check_sizes)
+    has_hotspot = F.col("arrival").isNotNull()
+    out = (out.withColumn("cause", F.when(has_hotspot, fire_cause("air_temperature_celcius", "ghi")))
+              .withColumn("merged", F.col("_merged")))
     return out.select(*FLAT_COLUMNS)
 
 

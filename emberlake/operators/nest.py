@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlake import schema as S
+from emberlake.operators.joins import left_join_small
 from emberlake.operators.sizing import broadcast_if_small, materialize
 
 DEFAULT_MAX_ITEMS = 10_000
@@ -37,7 +38,8 @@ def nest_documents(climate: DataFrame, hotspots: DataFrame,
               .withColumn("chunk", F.pmod(F.xxhash64(*S.HOTSPOT_COLUMNS), n_chunks).cast("int")))
     chunks = (tagged.groupBy("date", "chunk")
               .agg(F.array_sort(F.collect_list(_hotspot_struct(tagged))).alias("hotspots")))
-    docs = climate.join(chunks, "date", "left")
+    days = materialize(climate, "climate-days")
+    docs = left_join_small(days, chunks, ["date"], present=per_day.select("date"))
     return docs.select(*S.CLIMATE_COLUMNS, F.coalesce("chunk", F.lit(0)).alias("chunk"), "hotspots")
 
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from emberlake.session import scratch_path
 
-# Row bound under which a materialised side is broadcast.  Dimension sides
-# here (one row per day, per batch, per hour) are tiny; anything above the
-# bound is left to the planner (sort-merge, with AQE skew splitting).
-BROADCAST_MAX_ROWS = 2_000_000
+# Row bound under which a materialised side is broadcast.  The sides checked
+# here are climate records (< 200 bytes a row), so the bound keeps a
+# broadcast under ~50 MB; anything above it is left to the planner
+# (sort-merge, with AQE skew splitting).
+BROADCAST_MAX_ROWS = 250_000
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

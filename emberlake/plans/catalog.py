@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from emberlake import schema as S
 from emberlake.functions.parse import DAY_FORMAT_REPORT, format_day
+from emberlake.operators.joins import left_join_small
 
 
 def _day(d) -> F.Column:
@@ -37,12 +38,17 @@ def hotspots_by_surface_temp(facts: DataFrame, low: float = 65.0, high: float =
 def conditions_on_dates(climate: DataFrame, hotspots: DataFrame,
                         days=("2018-12-15", "2018-12-16")) -> DataFrame:
     """C, flat: weather of the given days with each hotspot's surface
-    temperature (one row per hotspot; NULL when the day had none)."""
-    picked = climate.where(F.col("date").isin(*[_day(d) for d in days]))
-    temps = hotspots.select("date", "surface_temperature_celcius")
-    return (picked.join(temps, "date", "left")
-                  .select("date", "air_temperature_celcius", "relative_humidity",
-                          "max_wind_speed", "surface_temperature_celcius"))
+    temperature (one row per hotspot; NULL when the day had none).
+
+    The picked days (at most ``len(days)`` rows) are broadcast into the
+    hotspots of those days, so even a hot day's fires are never gathered.
+    """
+    wanted = [_day(d) for d in days]
+    picked = F.broadcast(climate.where(F.col("date").isin(*wanted)))
+    temps = hotspots.where(F.col("date").isin(*wanted)).select("date", "surface_temperature_celcius")
+    return (left_join_small(picked, temps, ["date"], check_size=False)
+            .select("date", "air_temperature_celcius", "relative_humidity",
+                    "max_wind_speed", "surface_temperature_celcius"))
 
 
 def conditions_on_dates_nested(documents: DataFrame, days=("2018-12-15", "2018-12-16")) -> DataFrame:

@@ -28,7 +28,8 @@ def hotspots_per_hour(facts: DataFrame) -> DataFrame:
 
 def fire_markers(enriched: DataFrame, since=dt.datetime(2019, 1, 1)) -> DataFrame:
     """One marker per streamed hotspot since ``since``."""
-    h = enriched.where(F.col("time") >= F.lit(since).cast("timestamp_ntz"))
+    bound = F.lit(since.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    h = enriched.where(F.col("time") >= bound)
     return h.select(
         "latitude", "longitude",
         marker_colour("cause").alias("colour"),

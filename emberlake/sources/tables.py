@@ -29,15 +29,15 @@ def climate_days_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw climate record per order date, taken from its smallest order.
 
     ``precipitation_text`` keeps the feed's text form (`` 0.02G``) so that the
-    normaliser is exercised on every row.  ``min(struct(key, ...))`` is a
-    partial aggregate: each map task reduces its rows to one per day before
-    the shuffle, so a day holding a third of all orders costs no more than
-    any other.
+    normaliser is exercised on every row.  ``min`` and ``min_by`` over
+    primitive columns run as a hash aggregate with a map-side partial step:
+    each map task reduces its rows to one per day before the shuffle, so a
+    day holding a third of all orders costs no more than any other.
     """
     o = read_table(spark, sf_dir, "orders", "o_orderdate", "o_orderkey", "o_custkey")
     first = (o.groupBy(F.col("o_orderdate").cast("date").alias("date"))
-              .agg(F.min(F.struct("o_orderkey", "o_custkey")).alias("o")))
-    k, c = F.col("o.o_orderkey"), F.col("o.o_custkey")
+              .agg(F.min("o_orderkey").alias("k"), F.min_by("o_custkey", "o_orderkey").alias("c")))
+    k, c = F.col("k"), F.col("c")
     precip = F.concat(F.lit(" 0."), F.lpad((k % 60).cast("string"), 2, "0"),
                       F.substr(F.lit("GIAB"), (k % 4 + 1).cast("int"), F.lit(1)))
     return first.select(
