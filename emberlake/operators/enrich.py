@@ -73,7 +73,12 @@ def enrich_flat(messages: DataFrame, precision: int = 3, station: int = S.STREAM
     cells = with_geo_cell(sat_msgs, precision)
     pairs = pair_satellites_as_coded(cells) if as_coded else pair_satellites(cells)
     pairs = pairs.withColumnRenamed("merged", "_merged")
-    out = left_join_small(climate, pairs, ["batch", "geo_cell"], check_size=check_sizes)
+    keys = ["batch", "geo_cell"]
+    # The pairing keeps every message's (batch, cell), so the occupied keys
+    # come from the messages themselves; the as-coded loop can lose all rows
+    # of a cell, so there they are taken from its output.
+    present = None if as_coded else cells.select(*keys).distinct()
+    out = left_join_small(climate, pairs, keys, check_size=check_sizes, present=present)
     has_hotspot = F.col("arrival").isNotNull()
     out = (out.withColumn("cause", F.when(has_hotspot, fire_cause("air_temperature_celcius", "ghi")))
               .withColumn("merged", F.col("_merged")))

@@ -3,9 +3,10 @@
 Within a batch, each AQUA hotspot takes the first TERRA hotspot of its cell
 not yet taken, in arrival order.  Matches never cross cells, so the greedy
 loop pairs the i-th AQUA row of a cell with the i-th TERRA row of that
-cell: a full outer equi-join on (batch, cell, position).  The position is
-numbered with the skew-safe block numbering, and the join key is then
-unique per side, so even a hot cell spreads over many tasks.
+cell.  Positions come from the skew-safe block numbering; a (batch, cell,
+position) group then holds at most one row per satellite, so one hash
+aggregate of per-satellite ``max(when(...))`` columns builds the pairs: a
+single pipeline over the messages, never a hot key in one task.
 """
 
 from __future__ import annotations
@@ -22,24 +23,25 @@ PAIR_FIELDS = ["arrival", "event_ts", "latitude", "longitude", *S.HOTSPOT_MEASUR
 SAT_AQUA, SAT_TERRA, SAT_BOTH = "aqua", "terra", "both"
 
 
-def _side(numbered: DataFrame, producer: str, prefix: str, batch: str, cell: str) -> DataFrame:
-    return (numbered.where(F.col("producer_id") == producer)
-            .select(batch, cell, "rn", *[F.col(f).alias(prefix + f) for f in PAIR_FIELDS]))
-
-
 def pair_satellites(hotspots: DataFrame, batch: str = "batch", cell: str = "geo_cell") -> DataFrame:
     """One row per surviving hotspot: merged pairs, AQUA-only and TERRA-only.
 
     A merged row keeps AQUA's arrival, time and position and the means of the
     two confidences and surface temperatures.  Rows whose cell is NULL never
-    match.  Output: batch, geo_cell, arrival, time, latitude, longitude,
-    confidence, surface_temperature_celcius, satellite, merged.
+    match: each becomes a group of its own.  Output: batch, geo_cell,
+    arrival, time, latitude, longitude, confidence,
+    surface_temperature_celcius, satellite, merged.
     """
     sats = hotspots.where(F.col("producer_id").isin(S.PRODUCER_AQUA, S.PRODUCER_TERRA))
     numbered = number_within(sats, [batch, "producer_id", cell], "arrival", "rn")
-    a = _side(numbered, S.PRODUCER_AQUA, "a_", batch, cell)
-    t = _side(numbered, S.PRODUCER_TERRA, "t_", batch, cell)
-    j = a.join(t, [batch, cell, "rn"], "full_outer")
+    unplaced = F.col("rn").isNull()
+    slot = F.coalesce(F.col("rn"), -1 - F.col("arrival"))
+    side = F.when(unplaced, F.col("producer_id")).otherwise(F.lit(""))
+    is_a = F.col("producer_id") == S.PRODUCER_AQUA
+    is_t = F.col("producer_id") == S.PRODUCER_TERRA
+    g = numbered.groupBy(batch, cell, slot.alias("_slot"), side.alias("_side")).agg(
+        *[F.max(F.when(is_a, F.col(f))).alias("a_" + f) for f in PAIR_FIELDS],
+        *[F.max(F.when(is_t, F.col(f))).alias("t_" + f) for f in PAIR_FIELDS])
     has_a, has_t = F.col("a_arrival").isNotNull(), F.col("t_arrival").isNotNull()
     merged = has_a & has_t
 
@@ -51,7 +53,7 @@ def pair_satellites(hotspots: DataFrame, batch: str = "batch", cell: str = "geo_
 
     satellite = (F.when(merged, F.lit(SAT_BOTH))
                   .when(has_a, F.lit(SAT_AQUA)).otherwise(F.lit(SAT_TERRA)))
-    return j.select(
+    return g.select(
         batch, cell, pick("arrival").alias("arrival"), pick("event_ts").alias("time"),
         pick("latitude").alias("latitude"), pick("longitude").alias("longitude"),
         mean_or_pick("confidence").alias("confidence"),

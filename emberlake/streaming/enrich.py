@@ -64,19 +64,26 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str, checkpoint_path
     return _trigger(w, processing_time, available_now).start()
 
 
-def event_time_groups(records: DataFrame, window: str = "1 hour",
-                      delay: str = "10 minutes") -> DataFrame:
-    """Messages gathered per (event-time window, cell) behind a watermark.
+STATE_BLOCK = 1 << 16
+
 
-    Grouping by cell as well as window keeps each state entry to one cell's
-    messages of one window; all cells of a window close at the same
-    watermark, so they reach ``foreachBatch`` in the same micro-batch.
+def event_time_groups(records: DataFrame, window: str = "1 hour",
+                      delay: str = "10 minutes", block: int = STATE_BLOCK) -> DataFrame:
+    """Messages gathered per (event-time window, cell, arrival block)
+    behind a watermark.
+
+    The cell and a block of ``block`` consecutive arrivals are part of the
+    key, so one state entry never holds more than ``block`` messages, even
+    for a hot cell.  Every group of a window closes at the same watermark,
+    so the whole window reaches ``foreachBatch`` in one micro-batch.
     """
     good, _ = decode_messages(records)
-    # Watermarks need TIMESTAMP; the session time zone (UTC) keeps the wall clock.
-    cells = with_geo_cell(good).withColumn("_event_time", F.col("event_ts").cast("timestamp"))
+    # Watermarks need TIMESTAMP; the session time zone keeps the wall clock.
+    cells = (with_geo_cell(good)
+             .withColumn("_event_time", F.col("event_ts").cast("timestamp"))
+             .withColumn("_blk", F.floor(F.col("arrival") / F.lit(block))))
     return (cells.withWatermark("_event_time", delay)
-            .groupBy(F.window("_event_time", window).alias("w"), "geo_cell")
+            .groupBy(F.window("_event_time", window).alias("w"), "geo_cell", "_blk")
             .agg(F.collect_list(F.struct(*_MSG_COLUMNS)).alias("msgs")))
 
 
