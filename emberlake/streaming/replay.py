@@ -1,16 +1,17 @@
 """Replay the warehouse feed through the streaming jobs.
 
-The feed is encoded as Kafka-shaped records and written to a record folder
-below the shared checkpoint folder in arrival-ordered chunks (one append
-per chunk, so file order follows arrival), then the streaming job runs
-over the folder with ``availableNow`` and its sink is read back.  Used by
-the registered stream queries and the tests: stream output must equal the
-batch plan on the same data.
+The feed is encoded as Kafka-shaped records and appended to a record folder
+below the shared checkpoint folder in ``chunks`` arrival-ordered parts, each
+written by an ordinary parallel job.  Between appends the streaming job
+runs with ``availableNow`` from its checkpoint, so every chunk becomes one
+micro-batch (epoch i = chunk i) and every restart exercises recovery from
+the checkpoint.  The sink is then read back.  Used by the registered stream
+queries and the tests: stream output must equal the batch plan on the same
+data.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,52 +25,44 @@ from emberlake.sources.messages import (
 from emberlake.streaming.enrich import start_arrival_enrichment, start_event_time_enrichment
 from emberlake.streaming.rolling import start_rolling_extremes
 
-CHUNK_RECORDS = 500_000
-
-
-def write_replay(feed: DataFrame, path: str, min_chunks: int = 4,
-                 heartbeat_after: str | None = None) -> int:
-    """Write the encoded feed as ``n`` arrival-ordered single-file appends.
-
-    Each chunk holds at most ``CHUNK_RECORDS`` records.  ``heartbeat_after``
-    (an interval such as ``'1 day'``) appends one extra record that late
-    enough to close every event-time window of the real data.
-    """
-    recs = encode_messages(feed)
-    bounds = recs.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"),
-                      F.count(F.lit(1)).alias("n")).first()
-    if bounds["n"] == 0:
-        return 0
-    chunks = max(min_chunks, math.ceil(bounds["n"] / CHUNK_RECORDS))
-    width = (bounds["hi"] - bounds["lo"]) // chunks + 1
-    for i in range(chunks):
-        lo = bounds["lo"] + i * width
-        part = recs.where((F.col("offset") >= lo) & (F.col("offset") < lo + width))
-        write_records(part.coalesce(1), path, mode="append")
-    if heartbeat_after:
-        last = feed.agg(F.max("event_ts").alias("t")).first()["t"]
-        hb = (feed.sparkSession.range(1).select(
-            F.lit(S.TOPIC_TERRA).alias("topic"), F.lit(0).cast("int").alias("partition"),
-            F.lit(bounds["hi"] + 1).cast("long").alias("offset"),
-            F.to_json(F.struct(
-                F.lit(-39.0).alias("latitude"), F.lit(141.0).alias("longitude"),
-                F.lit(0.0).alias("confidence"), F.lit(0.0).alias("surface_temperature_celcius"),
-                F.date_format(F.lit(last).cast("timestamp_ntz") + F.expr(f"INTERVAL {heartbeat_after}"),
-                              ISO_FORMAT).alias("created_time"),
-                F.lit(S.PRODUCER_TERRA).alias("producer_id"))).alias("value")))
-        write_records(hb.coalesce(1), path, mode="append")
-    return chunks
+DEFAULT_CHUNKS = 4
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "replay", f"{name}-{uuid.uuid4().hex}")
 
 
+def chunked_records(feed: DataFrame, chunks: int = DEFAULT_CHUNKS) -> list[DataFrame]:
+    """The encoded feed cut into ``chunks`` equal offset ranges, in order."""
+    recs = encode_messages(feed)
+    b = recs.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+    if b["lo"] is None:
+        return []
+    width = (b["hi"] - b["lo"]) // chunks + 1
+    return [recs.where((F.col("offset") >= b["lo"] + i * width)
+                       & (F.col("offset") < b["lo"] + (i + 1) * width)) for i in range(chunks)]
+
+
+def heartbeat(feed: DataFrame, after: str = "1 day") -> DataFrame:
+    """One TERRA record ``after`` the newest message: it moves the watermark
+    past every real window and opens only a window of its own."""
+    last = feed.agg(F.max("event_ts").alias("t"), F.max("arrival").alias("a"))
+    return last.select(
+        F.lit(S.TOPIC_TERRA).alias("topic"), F.lit(0).cast("int").alias("partition"),
+        (F.col("a") + 1).cast("long").alias("offset"),
+        F.to_json(F.struct(
+            F.lit(-39.0).alias("latitude"), F.lit(141.0).alias("longitude"),
+            F.lit(0.0).alias("confidence"), F.lit(0.0).alias("surface_temperature_celcius"),
+            F.date_format(F.col("t") + F.expr(f"INTERVAL {after}"), ISO_FORMAT).alias("created_time"),
+            F.lit(S.PRODUCER_TERRA).alias("producer_id"))).alias("value"))
+
+
 def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour",
                                  delay: str = "10 minutes") -> DataFrame:
     spark = feed.sparkSession
     root = _run_dir(spark, "enrich-event-time")
-    write_replay(feed, f"{root}/records", heartbeat_after="1 day")
+    write_records(encode_messages(feed), f"{root}/records")
+    write_records(heartbeat(feed), f"{root}/records")
     q = start_event_time_enrichment(read_records_stream(spark, f"{root}/records"),
                                     f"{root}/sink", f"{root}/checkpoint", window, delay,
                                     available_now=True)
@@ -77,26 +70,29 @@ def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour",
     return spark.read.parquet(f"{root}/sink").drop("batch_key")
 
 
-def replay_arrival_enrichment(feed: DataFrame, files_per_batch: int = 1,
-                              nested: bool = False, as_coded: bool = False) -> DataFrame:
+def replay_arrival_enrichment(feed: DataFrame, chunks: int = DEFAULT_CHUNKS,
+                              nested: bool = False, as_coded: bool = False,
+                              root: str | None = None) -> DataFrame:
     spark = feed.sparkSession
-    root = _run_dir(spark, "enrich-arrival")
-    write_replay(feed, f"{root}/records")
-    q = start_arrival_enrichment(
-        read_records_stream(spark, f"{root}/records", max_per_trigger=files_per_batch),
-        f"{root}/sink", f"{root}/checkpoint", rejects_path=f"{root}/rejects",
-        nested=nested, available_now=True, as_coded=as_coded)
-    q.awaitTermination()
+    root = root or _run_dir(spark, "enrich-arrival")
+    for part in chunked_records(feed, chunks):
+        write_records(part, f"{root}/records")
+        q = start_arrival_enrichment(
+            read_records_stream(spark, f"{root}/records"), f"{root}/sink", f"{root}/checkpoint",
+            rejects_path=f"{root}/rejects", nested=nested, available_now=True, as_coded=as_coded)
+        q.awaitTermination()
     return spark.read.parquet(f"{root}/sink")
 
 
-def replay_rolling_extremes(feed: DataFrame, size: int = 11) -> DataFrame:
+def replay_rolling_extremes(feed: DataFrame, size: int = 11,
+                            chunks: int = DEFAULT_CHUNKS) -> DataFrame:
     spark = feed.sparkSession
     root = _run_dir(spark, "rolling")
     climate = feed.where(F.col("producer_id") == S.PRODUCER_CLIMATE)
-    write_replay(climate, f"{root}/records")
-    q = start_rolling_extremes(
-        read_records_stream(spark, f"{root}/records", topics=[S.TOPIC_CLIMATE], max_per_trigger=1),
-        f"{root}/sink", f"{root}/checkpoint", size=size, available_now=True)
-    q.awaitTermination()
+    for part in chunked_records(climate, chunks):
+        write_records(part, f"{root}/records")
+        q = start_rolling_extremes(
+            read_records_stream(spark, f"{root}/records", topics=[S.TOPIC_CLIMATE]),
+            f"{root}/sink", f"{root}/checkpoint", size=size, available_now=True)
+        q.awaitTermination()
     return spark.read.parquet(f"{root}/sink")
