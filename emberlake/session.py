@@ -46,11 +46,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints, stream state and staged tables.
 
-    Reads ``spark.checkpoint.dir``; if the session has none (tests, local
-    runs) a fresh folder under /tmp is created and recorded on the session.
+    Reads ``spark.checkpoint.dir``.  Only a local-mode session without one
+    (tests) gets a fresh folder under /tmp; on a cluster a machine-local
+    folder would not be shared by the executors, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="emberlake-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(os.path.join(root, "rdd"))
