@@ -256,6 +256,12 @@ SELECT c.date, c.station, c.air_temperature_celcius, c.relative_humidity, c.wind
 FROM climate c LEFT JOIN hotspot h ON c.date = h.date"""
     q["fires_per_day_documents"] = q["fires_per_day"]
     q["conditions_on_dates_documents"] = q["conditions_on_dates"]
+    q["climate_on_date_documents"] = _with(CLIMATE, HOTSPOT) + """
+SELECT c.date, c.station, c.air_temperature_celcius, c.relative_humidity, c.windspeed_knots,
+       c.max_wind_speed, c.precipitation, c.precipitation_type, c.ghi,
+       h.time, h.latitude, h.longitude, h.confidence, h.surface_temperature_celcius
+FROM climate c LEFT JOIN hotspot h ON c.date = h.date
+WHERE c.date = DATE '1998-12-12'"""
     q["hotspots_per_hour"] = _with(CLIMATE, HOTSPOT, FACTS) + """
 SELECT CAST(r.range AS INTEGER) AS hour, CAST(coalesce(c.n, 0) AS BIGINT) AS n_hotspots
 FROM range(24) r LEFT JOIN (

@@ -28,6 +28,13 @@ def climate_on_date(climate: DataFrame, day="2018-12-12") -> DataFrame:
     return climate.where(F.col("date") == _day(day)).limit(1)
 
 
+def climate_on_date_documents(documents: DataFrame, day="2018-12-12") -> DataFrame:
+    """A over documents: every chunk document of the day (its whole record,
+    hotspots included).  A date predicate on stored documents reaches the
+    Parquet scan."""
+    return documents.where(F.col("date") == _day(day))
+
+
 def hotspots_by_surface_temp(facts: DataFrame, low: float = 65.0, high: float = 100.0) -> DataFrame:
     """B: position, surface temperature and confidence of hotspots in a range."""
     t = F.col("surface_temperature_celcius")
