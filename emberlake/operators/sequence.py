@@ -33,6 +33,13 @@ def _non_null(df: DataFrame, k: str) -> Column:
     return F.coalesce(F.col(k), default)
 
 
+def block_of(c: Column, width: int) -> Column:
+    """Block id of an integral value: an exact shift for power-of-two widths."""
+    if width > 0 and width & (width - 1) == 0:
+        return F.shiftright(c.cast("long"), width.bit_length() - 1)
+    return F.floor(c / F.lit(width)).cast("long")
+
+
 def number_within(df: DataFrame, keys: list[str], order_col: str, out: str = "rn",
                   block_width: int = DEFAULT_BLOCK_WIDTH,
                   tiebreak: list[str] | None = None) -> DataFrame:
@@ -46,7 +53,7 @@ def number_within(df: DataFrame, keys: list[str], order_col: str, out: str = "rn
     grp = ["_null", *nk, "_blk"]
     blocked = (df.select("*", any_null.alias("_null"),
                          *[_non_null(df, k).alias(n) for k, n in zip(keys, nk)],
-                         F.floor(F.col(order_col) / F.lit(block_width)).cast("long").alias("_blk"))
+                         block_of(F.col(order_col), block_width).alias("_blk"))
                .repartition(*grp))
     order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
     local = blocked.withColumn("_lrn", F.row_number().over(Window.partitionBy(*grp).orderBy(*order)))

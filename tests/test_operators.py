@@ -217,3 +217,26 @@ def test_as_coded_pairing_equals_described_scan(spark):
         "batch", "arrival", "confidence", "surface_temperature_celcius", "satellite").collect()
     assert Counter(tuple(r) for r in got) == expected
     assert sum(expected.values()) != len(rows)   # duplicates and losses do occur
+
+
+def test_block_of_is_exact_for_large_offsets(spark):
+    from emberlake.operators.sequence import block_of
+    vals = [0, 1, (1 << 20) - 1, 1 << 20, (5 << 40) + 123456789, (1 << 52) + 1, -1]
+    df = spark.createDataFrame([(v,) for v in vals], "v long")
+    got = [r.b for r in df.select(block_of(F.col("v"), 1 << 20).alias("b")).collect()]
+    assert got == [v >> 20 for v in vals]
+    got = [r.b for r in df.select(block_of(F.col("v"), 1000).alias("b")).collect()]
+    assert got[:5] == [v // 1000 for v in vals[:5]]
+
+
+def test_zero_filled_hours_and_days(spark):
+    from emberlake.plans.catalog import fires_per_day
+    from emberlake.plans.reports import hotspots_per_hour
+    facts = spark.createDataFrame(
+        [(dt.date(2019, 1, 1), T0 + dt.timedelta(hours=h, minutes=m)) for h in (0, 3, 3, 23) for m in (0, 1)],
+        "date date, time timestamp_ntz")
+    hours = {r.hour: r.n_hotspots for r in hotspots_per_hour(facts).collect()}
+    assert len(hours) == 24 and hours[3] == 4 and hours[0] == 2 and hours[16] == 0
+    climate = spark.createDataFrame([(dt.date(2019, 1, 1),), (dt.date(2019, 1, 2),)], "date date")
+    days = {r.date: r.numberOfFires for r in fires_per_day(climate, facts).collect()}
+    assert days == {"01/01/2019": 8, "02/01/2019": 0}
