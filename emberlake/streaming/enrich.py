@@ -47,8 +47,11 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str, checkpoint_path
     """
 
     def per_batch(batch_df: DataFrame, epoch_id: int) -> None:
+        # Read by several branches below: one pass over the source, kept.
         batch_df.persist()
         try:
+            if batch_df.count() == 0:
+                return
             good, rejects = decode_messages(batch_df)
             msgs = good.withColumn("batch", F.lit(epoch_id).cast("long"))
             flat = enrich_flat(msgs, check_sizes=False, as_coded=as_coded)
@@ -95,17 +98,28 @@ def start_event_time_enrichment(records: DataFrame, sink_path: str, checkpoint_p
     """Enrichment per closed event-time window (``batch`` = window start).
 
     Output is the flat enrichment (one row per climate record x hotspot),
-    partitioned by ``batch_key`` (yyyyMMddHHmm of the window start).
+    partitioned by ``epoch`` (the micro-batch that closed the windows).
     """
     groups = event_time_groups(records, window, delay)
 
     def per_batch(batch_df: DataFrame, epoch_id: int) -> None:
-        msgs = (batch_df.select(F.col("w.start").cast("timestamp_ntz").alias("batch"),
-                                F.explode("msgs").alias("m"))
-                .select("batch", "m.*"))
-        flat = enrich_flat(msgs, check_sizes=False)
-        keyed = flat.withColumn("batch_key", F.date_format("batch", "yyyyMMddHHmm"))
-        _overwrite_partitions(keyed, sink_path, "batch_key")
+        # The enrichment reads the closed groups in several branches: keep
+        # them once (one pass over the state store) and skip empty batches.
+        batch_df.persist()
+        try:
+            if batch_df.count() == 0:
+                return
+            msgs = (batch_df.select(F.col("w.start").cast("timestamp_ntz").alias("batch"),
+                                    F.explode("msgs").alias("m"))
+                    .select("batch", "m.*"))
+            flat = enrich_flat(msgs, check_sizes=False)
+            # Windows are emitted once, in the micro-batch that closes them; a
+            # retried micro-batch replays the same offsets and state, so its
+            # epoch partition is rewritten with the same rows.
+            keyed = flat.withColumn("epoch", F.lit(epoch_id).cast("long"))
+            _overwrite_partitions(keyed, sink_path, "epoch")
+        finally:
+            batch_df.unpersist()
 
     w = groups.writeStream.outputMode("append").foreachBatch(per_batch) \
         .option("checkpointLocation", checkpoint_path)

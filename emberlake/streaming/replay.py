@@ -32,6 +32,11 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "replay", f"{name}-{uuid.uuid4().hex}")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Write a replay part as many files, so the stream parses it in parallel."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def chunked_records(feed: DataFrame, chunks: int = DEFAULT_CHUNKS) -> list[DataFrame]:
     """The encoded feed cut into ``chunks`` equal offset ranges, in order."""
     recs = encode_messages(feed)
@@ -39,8 +44,8 @@ def chunked_records(feed: DataFrame, chunks: int = DEFAULT_CHUNKS) -> list[DataF
     if b["lo"] is None:
         return []
     width = (b["hi"] - b["lo"]) // chunks + 1
-    return [recs.where((F.col("offset") >= b["lo"] + i * width)
-                       & (F.col("offset") < b["lo"] + (i + 1) * width)) for i in range(chunks)]
+    return [_spread(recs.where((F.col("offset") >= b["lo"] + i * width)
+                               & (F.col("offset") < b["lo"] + (i + 1) * width))) for i in range(chunks)]
 
 
 def heartbeat(feed: DataFrame, after: str = "1 day") -> DataFrame:
@@ -61,13 +66,13 @@ def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour",
                                  delay: str = "10 minutes") -> DataFrame:
     spark = feed.sparkSession
     root = _run_dir(spark, "enrich-event-time")
-    write_records(encode_messages(feed), f"{root}/records")
+    write_records(_spread(encode_messages(feed)), f"{root}/records")
     write_records(heartbeat(feed), f"{root}/records")
     q = start_event_time_enrichment(read_records_stream(spark, f"{root}/records"),
                                     f"{root}/sink", f"{root}/checkpoint", window, delay,
                                     available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/sink").drop("batch_key")
+    return spark.read.parquet(f"{root}/sink").drop("epoch")
 
 
 def replay_arrival_enrichment(feed: DataFrame, chunks: int = DEFAULT_CHUNKS,
