@@ -240,3 +240,19 @@ def test_zero_filled_hours_and_days(spark):
     climate = spark.createDataFrame([(dt.date(2019, 1, 1),), (dt.date(2019, 1, 2),)], "date date")
     days = {r.date: r.numberOfFires for r in fires_per_day(climate, facts).collect()}
     assert days == {"01/01/2019": 8, "02/01/2019": 0}
+
+
+def test_hot_group_is_spread_over_partitions(spark):
+    """One key holding most rows is numbered by many tasks, not one."""
+    rows = [("hot", i) for i in range(2000)] + [(f"k{i}", 5000 + i) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, t long").repartition(8)
+    # AQE would (rightly) merge such a tiny shuffle into one partition.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = (number_within(df, ["k"], "t", "rn", block_width=64)
+               .withColumn("pid", F.spark_partition_id()).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = [r for r in got if r.k == "hot"]
+    assert len({r.pid for r in hot}) >= 4
+    assert sorted(r.rn for r in hot) == list(range(1, 2001))
