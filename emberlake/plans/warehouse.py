@@ -28,3 +28,15 @@ def documents(spark: SparkSession, sf_dir: str, max_items: int | None = None) ->
 
 def feed(spark: SparkSession, sf_dir: str, batch_unit: str = "hour") -> DataFrame:
     return feed_events(spark, sf_dir, batch_unit)
+
+
+def from_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(climate records, hotspot facts) of a stored documents table.
+
+    A day's climate fields repeat in each of its chunk documents; keeping one
+    per day is a partial aggregate.  The facts are the unwound documents.
+    """
+    from emberlake import schema as S
+    from emberlake.operators.nest import unwind
+    climate = docs.select(*S.CLIMATE_COLUMNS).dropDuplicates(["date"])
+    return climate, unwind(docs)
