@@ -28,10 +28,13 @@ def rolling_extremes(readings: DataFrame, keys: list[str], value: str = "tempera
     block = max(block, size)
     seq = number_within(readings, keys, arrival, "seq")
     pos = F.col("seq") - 1
-    home = seq.withColumn("_blk", F.floor(pos / block)).withColumn("_halo", F.lit(False))
-    halo = (seq.where(pos % block >= block - (size - 1))
-               .withColumn("_blk", F.floor(pos / block) + 1).withColumn("_halo", F.lit(True)))
-    rows = home.unionByName(halo)
+    # Each reading goes to its own block; the last size-1 of a block also go,
+    # as halo, to the next one (one pass: explode a 1- or 2-element array).
+    copies = F.when(pos % block >= block - (size - 1), F.array(F.lit(0), F.lit(1))) \
+              .otherwise(F.array(F.lit(0)))
+    rows = (seq.withColumn("_shift", F.explode(copies))
+               .withColumn("_blk", F.floor(pos / block) + F.col("_shift"))
+               .withColumn("_halo", F.col("_shift") == 1).drop("_shift"))
     w = Window.partitionBy(*keys, "_blk").orderBy("seq").rowsBetween(-(size - 1), 0)
     lo = F.min(F.struct(F.col(value).alias("v"), F.col("seq").alias("s"), F.col(label).alias("l"))).over(w)
     hi = F.max(F.struct(F.col(value).alias("v"), (-F.col("seq")).alias("s"), F.col(label).alias("l"))).over(w)
