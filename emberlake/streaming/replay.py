@@ -26,6 +26,9 @@ from emberlake.streaming.enrich import start_arrival_enrichment, start_event_tim
 from emberlake.streaming.rolling import start_rolling_extremes
 
 DEFAULT_CHUNKS = 4
+# A rolling replay's chunk is one micro-batch and so one keyed pandas call:
+# past this many readings the replay uses more chunks.
+MAX_CHUNK_READINGS = 1_000_000
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
@@ -37,12 +40,17 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
-def chunked_records(feed: DataFrame, chunks: int = DEFAULT_CHUNKS) -> list[DataFrame]:
-    """The encoded feed cut into ``chunks`` equal offset ranges, in order."""
+def chunked_records(feed: DataFrame, chunks: int = DEFAULT_CHUNKS,
+                    max_chunk: int | None = None) -> list[DataFrame]:
+    """The encoded feed cut into ``chunks`` equal offset ranges, in order
+    (more when ``max_chunk`` records per chunk would be exceeded)."""
     recs = encode_messages(feed)
-    b = recs.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+    b = recs.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"),
+                 F.count(F.lit(1)).alias("n")).first()
     if b["lo"] is None:
         return []
+    if max_chunk:
+        chunks = max(chunks, -(-b["n"] // max_chunk))
     width = (b["hi"] - b["lo"]) // chunks + 1
     return [_spread(recs.where((F.col("offset") >= b["lo"] + i * width)
                                & (F.col("offset") < b["lo"] + (i + 1) * width))) for i in range(chunks)]
@@ -94,7 +102,7 @@ def replay_rolling_extremes(feed: DataFrame, size: int = 11,
     spark = feed.sparkSession
     root = _run_dir(spark, "rolling")
     climate = feed.where(F.col("producer_id") == S.PRODUCER_CLIMATE)
-    for part in chunked_records(climate, chunks):
+    for part in chunked_records(climate, chunks, max_chunk=MAX_CHUNK_READINGS):
         write_records(part, f"{root}/records")
         q = start_rolling_extremes(
             read_records_stream(spark, f"{root}/records", topics=[S.TOPIC_CLIMATE]),
