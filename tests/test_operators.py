@@ -256,3 +256,18 @@ def test_hot_group_is_spread_over_partitions(spark):
     hot = [r for r in got if r.k == "hot"]
     assert len({r.pid for r in hot}) >= 4
     assert sorted(r.rn for r in hot) == list(range(1, 2001))
+
+
+def test_nest_spreads_identical_copies(spark):
+    climate = spark.createDataFrame(
+        [(dt.date(2018, 1, 1), 948700, 20.0, 50.0, 5.0, 9.0, 0.1, "G", 100.0)],
+        "date date, station int, air_temperature_celcius double, relative_humidity double, "
+        "windspeed_knots double, max_wind_speed double, precipitation double, "
+        "precipitation_type string, ghi double")
+    same = (dt.date(2018, 1, 1), T0, -37.0, 145.0, 80.0, 60.0)
+    hot = spark.createDataFrame([same] * 400, "date date, time timestamp_ntz, latitude double, "
+                                              "longitude double, confidence double, "
+                                              "surface_temperature_celcius double").repartition(4)
+    docs = nest_documents(climate, hot, max_items=50).collect()
+    sizes = sorted(len(d.hotspots) for d in docs)
+    assert sum(sizes) == 400 and len(docs) == 8 and max(sizes) < 100
