@@ -30,8 +30,12 @@ def parse_day(c: Column | str, fmt: str = DAY_FORMAT_CSV) -> Column:
 
 
 def parse_iso_timestamp(c: Column | str) -> Column:
-    """ISO-8601 local date-time text (``2019-01-01T04:16:51``) to TIMESTAMP_NTZ."""
-    return F.try_to_timestamp(_c(c)).cast("timestamp_ntz")
+    """ISO-8601 local date-time text (``2019-01-01T04:16:51``) to TIMESTAMP_NTZ.
+
+    Cast straight to TIMESTAMP_NTZ: no session time zone is involved, so a
+    wall-clock time inside a daylight-saving gap keeps its value.
+    """
+    return F.trim(_c(c)).try_cast("timestamp_ntz")
 
 
 def split_precipitation(c: Column | str) -> tuple[Column, Column]:
@@ -46,5 +50,15 @@ def split_precipitation(c: Column | str) -> tuple[Column, Column]:
     return amount, kind
 
 
+def iso_text(c: Column | str) -> Column:
+    """TIMESTAMP_NTZ to ISO-8601 text (``2019-01-01T04:16:51[.ffffff]``).
+
+    Goes through the NTZ string cast, which involves no time zone
+    (``date_format`` would pass through the session zone and move wall-clock
+    times inside a daylight-saving gap).
+    """
+    return F.regexp_replace(_c(c).cast("timestamp_ntz").cast("string"), " ", "T")
+
+
 def format_day(c: Column | str, fmt: str = DAY_FORMAT_REPORT) -> Column:
     return F.date_format(_c(c), fmt)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from emberlake import schema as S
 from emberlake.operators.sequence import number_within
+from emberlake.session import ship_package
 
 PAIR_FIELDS = ["arrival", "event_ts", "latitude", "longitude", *S.HOTSPOT_MEASURES]
 
@@ -151,6 +152,7 @@ def pair_satellites_as_coded(hotspots: DataFrame, batch: str = "batch") -> DataF
     sats = hotspots.where(F.col("producer_id").isin(S.PRODUCER_AQUA, S.PRODUCER_TERRA)).select(
         F.col(batch).alias("batch"), "arrival", "producer_id", "event_ts", "latitude", "longitude",
         *S.HOTSPOT_MEASURES, "geo_cell")
+    ship_package(sats.sparkSession)
     btype = sats.schema["batch"].dataType.simpleString()
     schema = (f"batch {btype}, geo_cell string, arrival long, time timestamp_ntz, latitude double, "
               "longitude double, confidence double, surface_temperature_celcius double, "

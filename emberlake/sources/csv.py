@@ -13,13 +13,12 @@ from pyspark.sql import functions as F
 
 from emberlake import schema as S
 from emberlake.functions.parse import (
-    DAY_FORMAT_CSV, parse_day, parse_iso_timestamp, split_precipitation,
+    DAY_FORMAT_CSV, iso_text, parse_day, parse_iso_timestamp, split_precipitation,
 )
 
 # Day formats of the two historic files.
 HOTSPOT_DAY_FORMAT = "d/M/yyyy"     # accepts 2/11/2018 and 2/01/2018
 HOTSPOT_DAY_WRITE = "d/MM/yyyy"
-HOTSPOT_TIME_WRITE = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -115,7 +114,7 @@ def climate_historic_text(climate: DataFrame) -> DataFrame:
 def hotspot_historic_text(hotspots: DataFrame) -> DataFrame:
     return hotspots.select(
         F.date_format("date", HOTSPOT_DAY_WRITE).alias("date"),
-        F.date_format("time", HOTSPOT_TIME_WRITE).alias("datetime"),
+        iso_text("time").alias("datetime"),
         *[_text_num(c).alias(c) for c in ["latitude", "longitude", *S.HOTSPOT_MEASURES]])
 
 

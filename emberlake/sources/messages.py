@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberlake import schema as S
-from emberlake.functions.parse import parse_iso_timestamp
+from emberlake.functions.parse import iso_text, parse_iso_timestamp
 
 RECORD = T.StructType([
     T.StructField("topic", T.StringType()),
@@ -29,7 +29,6 @@ TOPIC_OF_PRODUCER = {
 }
 ALL_TOPICS = [S.TOPIC_CLIMATE, S.TOPIC_AQUA, S.TOPIC_TERRA]
 
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 _PARTITION_SHIFT = 1 << 40
 
 CLIMATE_MESSAGE_FIELDS = ["latitude", "longitude", *S.CLIMATE_MEASURES,
@@ -53,7 +52,7 @@ def encode_messages(feed: DataFrame) -> DataFrame:
     for c in set(CLIMATE_MESSAGE_FIELDS + HOTSPOT_MESSAGE_FIELDS) - set(feed.columns):
         feed = feed.withColumn(c, F.lit(None).cast("string" if c == "precipitation_type" else "double"))
     pid = F.col("producer_id")
-    iso = F.date_format("event_ts", ISO_FORMAT)
+    iso = iso_text("event_ts")
     climate = F.to_json(F.struct(*CLIMATE_MESSAGE_FIELDS, iso.alias("created_date"), pid))
     hotspot = F.to_json(F.struct(*HOTSPOT_MESSAGE_FIELDS, iso.alias("created_time"), pid))
     value = F.when(pid == S.PRODUCER_CLIMATE, climate).otherwise(hotspot)

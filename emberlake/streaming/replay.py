@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 
 from emberlake import schema as S
 from emberlake.session import scratch_path
-from emberlake.sources.messages import (
-    ISO_FORMAT, encode_messages, read_records_stream, write_records,
-)
+from emberlake.functions.parse import iso_text
+from emberlake.sources.messages import encode_messages, read_records_stream, write_records
 from emberlake.streaming.enrich import start_arrival_enrichment, start_event_time_enrichment
 from emberlake.streaming.rolling import start_rolling_extremes
 
@@ -66,7 +65,7 @@ def heartbeat(feed: DataFrame, after: str = "1 day") -> DataFrame:
         F.to_json(F.struct(
             F.lit(-39.0).alias("latitude"), F.lit(141.0).alias("longitude"),
             F.lit(0.0).alias("confidence"), F.lit(0.0).alias("surface_temperature_celcius"),
-            F.date_format(F.col("t") + F.expr(f"INTERVAL {after}"), ISO_FORMAT).alias("created_time"),
+            iso_text(F.col("t") + F.expr(f"INTERVAL {after}")).alias("created_time"),
             F.lit(S.PRODUCER_TERRA).alias("producer_id"))).alias("value"))
 
 

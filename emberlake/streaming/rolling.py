@@ -19,6 +19,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from emberlake.operators.rolling import DEFAULT_WINDOW
 from emberlake.plans.reports import climate_readings
+from emberlake.session import ship_package
 from emberlake.sources.messages import decode_messages
 
 OUTPUT_SCHEMA = ("stream string, arrival long, seq long, day_label string, temperature double, "
@@ -58,6 +59,7 @@ def _roller(size: int):
 
 
 def rolling_extremes_stream(records: DataFrame, size: int = DEFAULT_WINDOW) -> DataFrame:
+    ship_package(records.sparkSession)
     good, _ = decode_messages(records)
     readings = climate_readings(good)
     return readings.groupBy("stream").applyInPandasWithState(
