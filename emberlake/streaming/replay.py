@@ -12,6 +12,7 @@ data.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,19 @@ DEFAULT_CHUNKS = 4
 MAX_CHUNK_READINGS = 1_000_000
 
 
+@contextlib.contextmanager
+def _state_partitions(spark: SparkSession):
+    """Run the replay with one state/shuffle partition per core of the
+    cluster (fixed in the checkpoint at the first start), then restore."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(max(2, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def _run_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "replay", f"{name}-{uuid.uuid4().hex}")
 
@@ -75,10 +89,11 @@ def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour",
     root = _run_dir(spark, "enrich-event-time")
     write_records(_spread(encode_messages(feed)), f"{root}/records")
     write_records(heartbeat(feed), f"{root}/records")
-    q = start_event_time_enrichment(read_records_stream(spark, f"{root}/records"),
-                                    f"{root}/sink", f"{root}/checkpoint", window, delay,
-                                    available_now=True)
-    q.awaitTermination()
+    with _state_partitions(spark):
+        q = start_event_time_enrichment(read_records_stream(spark, f"{root}/records"),
+                                        f"{root}/sink", f"{root}/checkpoint", window, delay,
+                                        available_now=True)
+        q.awaitTermination()
     return spark.read.parquet(f"{root}/sink").drop("epoch")
 
 
@@ -89,10 +104,12 @@ def replay_arrival_enrichment(feed: DataFrame, chunks: int = DEFAULT_CHUNKS,
     root = root or _run_dir(spark, "enrich-arrival")
     for part in chunked_records(feed, chunks):
         write_records(part, f"{root}/records")
-        q = start_arrival_enrichment(
-            read_records_stream(spark, f"{root}/records"), f"{root}/sink", f"{root}/checkpoint",
-            rejects_path=f"{root}/rejects", nested=nested, available_now=True, as_coded=as_coded)
-        q.awaitTermination()
+        with _state_partitions(spark):
+            q = start_arrival_enrichment(
+                read_records_stream(spark, f"{root}/records"), f"{root}/sink",
+                f"{root}/checkpoint", rejects_path=f"{root}/rejects", nested=nested,
+                available_now=True, as_coded=as_coded)
+            q.awaitTermination()
     return spark.read.parquet(f"{root}/sink")
 
 
@@ -103,8 +120,9 @@ def replay_rolling_extremes(feed: DataFrame, size: int = 11,
     climate = feed.where(F.col("producer_id") == S.PRODUCER_CLIMATE)
     for part in chunked_records(climate, chunks, max_chunk=MAX_CHUNK_READINGS):
         write_records(part, f"{root}/records")
-        q = start_rolling_extremes(
-            read_records_stream(spark, f"{root}/records", topics=[S.TOPIC_CLIMATE]),
-            f"{root}/sink", f"{root}/checkpoint", size=size, available_now=True)
-        q.awaitTermination()
+        with _state_partitions(spark):
+            q = start_rolling_extremes(
+                read_records_stream(spark, f"{root}/records", topics=[S.TOPIC_CLIMATE]),
+                f"{root}/sink", f"{root}/checkpoint", size=size, available_now=True)
+            q.awaitTermination()
     return spark.read.parquet(f"{root}/sink")
