@@ -96,47 +96,62 @@ def _as_coded_rows(pdf):
     copies when the TERRA list is already empty).  With no TERRA rows the
     AQUA rows pass through once; unmatched TERRA rows are appended once.
     Copies of a matched row = its TERRA row's position in the shrinking list
-    + 1 = t_seq - (earlier matches with a smaller t_seq) + 1.
+    + 1 = t_seq - (earlier matches with a smaller t_seq) + 1.  The loop below
+    is over input rows only; the copies are expanded with ``np.repeat``.
     """
     import collections
 
+    import numpy as np
     import pandas as pd
 
     pdf = pdf.sort_values("arrival", kind="stable")
-    aqua = pdf[pdf["producer_id"] == S.PRODUCER_AQUA]
-    terra = pdf[pdf["producer_id"] == S.PRODUCER_TERRA]
+    aqua = pdf[pdf["producer_id"] == S.PRODUCER_AQUA].reset_index(drop=True)
+    terra = pdf[pdf["producer_id"] == S.PRODUCER_TERRA].reset_index(drop=True)
     n_t = len(terra)
     queues = collections.defaultdict(collections.deque)
     for t_seq, cell in enumerate(terra["geo_cell"]):
         if cell is not None:
             queues[cell].append(t_seq)
     fen = _Fenwick(n_t)
-    taken, prior, out = set(), 0, []
-    t_rows = terra.to_dict("records")
-    for a in aqua.to_dict("records"):
-        cell = a["geo_cell"]
+    prior = 0
+    copies = np.zeros(len(aqua), dtype=np.int64)
+    match = np.full(len(aqua), -1, dtype=np.int64)
+    for i, cell in enumerate(aqua["geo_cell"]):
         q = queues.get(cell) if cell is not None else None
         if n_t and q:
             t_seq = q.popleft()
-            t = t_rows[t_seq]
-            copies = t_seq - fen.before(t_seq) + 1
+            copies[i] = t_seq - fen.before(t_seq) + 1
             fen.add(t_seq)
-            taken.add(t_seq)
+            match[i] = t_seq
             prior += 1
-            row = (cell, a["arrival"], a["event_ts"], a["latitude"], a["longitude"],
-                   (a["confidence"] + t["confidence"]) / 2.0,
-                   (a["surface_temperature_celcius"] + t["surface_temperature_celcius"]) / 2.0,
-                   SAT_BOTH, True)
         else:
-            copies = 1 if n_t == 0 else n_t - prior
-            row = (cell, a["arrival"], a["event_ts"], a["latitude"], a["longitude"],
-                   a["confidence"], a["surface_temperature_celcius"], SAT_AQUA, False)
-        out.extend([row] * copies)
-    for t_seq, t in enumerate(t_rows):
-        if t_seq not in taken:
-            out.append((t["geo_cell"], t["arrival"], t["event_ts"], t["latitude"], t["longitude"],
-                        t["confidence"], t["surface_temperature_celcius"], SAT_TERRA, False))
-    res = pd.DataFrame(out, columns=_AS_CODED_COLUMNS)
+            copies[i] = 1 if n_t == 0 else n_t - prior
+    merged = match >= 0
+    t_conf = terra["confidence"].to_numpy()
+    t_surf = terra["surface_temperature_celcius"].to_numpy()
+    a_conf = aqua["confidence"].to_numpy(dtype=float)
+    a_surf = aqua["surface_temperature_celcius"].to_numpy(dtype=float)
+    idx = np.where(merged, match, 0)
+    a_out = pd.DataFrame({
+        "geo_cell": aqua["geo_cell"], "arrival": aqua["arrival"], "time": aqua["event_ts"],
+        "latitude": aqua["latitude"], "longitude": aqua["longitude"],
+        "confidence": np.where(merged, (a_conf + (t_conf[idx] if n_t else 0)) / 2.0, a_conf),
+        "surface_temperature_celcius": np.where(
+            merged, (a_surf + (t_surf[idx] if n_t else 0)) / 2.0, a_surf),
+        "satellite": np.where(merged, SAT_BOTH, SAT_AQUA), "merged": merged,
+    })
+    a_out = a_out.iloc[np.repeat(np.arange(len(a_out)), copies)]
+    left = np.ones(n_t, dtype=bool)
+    left[match[merged]] = False
+    t_left = terra[left]
+    t_out = pd.DataFrame({
+        "geo_cell": t_left["geo_cell"], "arrival": t_left["arrival"], "time": t_left["event_ts"],
+        "latitude": t_left["latitude"], "longitude": t_left["longitude"],
+        "confidence": t_left["confidence"],
+        "surface_temperature_celcius": t_left["surface_temperature_celcius"],
+        "satellite": SAT_TERRA, "merged": False,
+    })
+    res = pd.concat([a_out, t_out], ignore_index=True)[_AS_CODED_COLUMNS]
     res.insert(0, "batch", pdf["batch"].iloc[0] if len(pdf) else None)
     return res
 
