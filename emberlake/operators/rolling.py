@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlake.functions.labels import extremes_label
+from emberlake.functions.labels import CAPTION_MAX, CAPTION_MIN, extremes_label
 from emberlake.operators.sequence import number_within
 
 DEFAULT_WINDOW = 11
@@ -45,5 +45,5 @@ def rolling_extremes(readings: DataFrame, keys: list[str], value: str = "tempera
         *keys, arrival, "seq", label, value,
         F.col("lo.v").alias("min_value"), F.col("lo.l").alias("min_label_at"),
         F.col("hi.v").alias("max_value"), F.col("hi.l").alias("max_label_at"),
-        extremes_label("Minimum", F.col("lo.l"), F.col("lo.v")).alias("min_caption"),
-        extremes_label("Maximum", F.col("hi.l"), F.col("hi.v")).alias("max_caption"))
+        extremes_label(CAPTION_MIN, F.col("lo.l"), F.col("lo.v")).alias("min_caption"),
+        extremes_label(CAPTION_MAX, F.col("hi.l"), F.col("hi.v")).alias("max_caption"))

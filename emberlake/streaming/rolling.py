@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from emberlake.functions.labels import CAPTION_MAX, CAPTION_MIN, extremes_label_text
 from emberlake.operators.rolling import DEFAULT_WINDOW
 from emberlake.plans.reports import climate_readings
 from emberlake.session import ship_package
@@ -28,10 +29,6 @@ OUTPUT_SCHEMA = ("stream string, arrival long, seq long, day_label string, tempe
 STATE_SCHEMA = "seq long, arrivals array<long>, labels array<string>, temps array<double>"
 
 
-def _caption(kind: str, label: str, value: float) -> str:
-    return f"{kind} (Date: {label} & Temp: {value!r})"
-
-
 def _roller(size: int):
     def roll(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.exists:
@@ -50,7 +47,8 @@ def _roller(size: int):
                 lo, hi = min(temps), max(temps)
                 lo_at, hi_at = labels[temps.index(lo)], labels[temps.index(hi)]
                 rows.append((key[0], int(arrival), seq, label, float(temp), lo, lo_at, hi, hi_at,
-                             _caption("Minimum", lo_at, lo), _caption("Maximum", hi_at, hi)))
+                             extremes_label_text(CAPTION_MIN, lo_at, lo),
+                             extremes_label_text(CAPTION_MAX, hi_at, hi)))
                 del arrivals[0], labels[0], temps[0]
         state.update((seq, arrivals, labels, temps))
         cols = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
