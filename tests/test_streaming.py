@@ -46,3 +46,15 @@ def test_arrival_stream_restart_and_rejects(spark, tmp_dir):
                                  available_now=True)
     q.awaitTermination()                      # restart with nothing new: no output added
     assert spark.read.parquet(f"{tmp_dir}/sink").count() == n_docs
+
+
+def test_processing_time_trigger_bounded_run(spark, tmp_dir):
+    from emberlake.streaming.enrich import run_for
+    feed = W.feed(spark, SF_SMALL)
+    for part in SR.chunked_records(feed, 2):
+        write_records(part, f"{tmp_dir}/records")
+    q = start_arrival_enrichment(read_records_stream(spark, f"{tmp_dir}/records", max_per_trigger=4),
+                                 f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", processing_time="1 second")
+    run_for(q, 25)                          # T5: bounded run, then a graceful stop
+    assert not q.isActive
+    assert spark.read.parquet(f"{tmp_dir}/sink").select("batch_id").distinct().count() >= 1
