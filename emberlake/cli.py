@@ -26,7 +26,9 @@ from emberlake.plans.load import load_climate_documents
 from emberlake.plans.warehouse import from_documents
 from emberlake.session import build_session
 from emberlake.sources.messages import read_records_stream
-from emberlake.streaming.enrich import run_for, start_arrival_enrichment, start_event_time_enrichment
+from emberlake.streaming.enrich import (
+    run_for, start_arrival_enrichment, start_event_time_enrichment, start_rejects,
+)
 from emberlake.streaming.rolling import start_rolling_extremes
 
 QUERIES = {
@@ -108,12 +110,15 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "stream":
         recs = _records(spark, a)
         if a.event_time:
-            qry = start_event_time_enrichment(recs, a.sink, a.checkpoint, a.window, a.delay,
-                                              rejects_path=a.rejects, processing_time=a.trigger)
+            qs = [start_event_time_enrichment(recs, a.sink, a.checkpoint, a.window, a.delay,
+                                              processing_time=a.trigger)]
+            if a.rejects:
+                qs.append(start_rejects(recs, a.rejects, a.checkpoint.rstrip("/") + "-rejects",
+                                        processing_time=a.trigger))
         else:
-            qry = start_arrival_enrichment(recs, a.sink, a.checkpoint, rejects_path=a.rejects,
-                                           processing_time=a.trigger, as_coded=a.as_coded)
-        run_for(qry, a.seconds)
+            qs = [start_arrival_enrichment(recs, a.sink, a.checkpoint, rejects_path=a.rejects,
+                                           processing_time=a.trigger, as_coded=a.as_coded)]
+        run_for(qs, a.seconds)
     elif a.cmd == "rolling":
         recs = _records(spark, a)
         recs = recs.where(recs.topic == S.TOPIC_CLIMATE)

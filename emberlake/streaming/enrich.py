@@ -92,7 +92,6 @@ def event_time_groups(records: DataFrame, window: str = "1 hour",
 
 def start_event_time_enrichment(records: DataFrame, sink_path: str, checkpoint_path: str,
                                 window: str = "1 hour", delay: str = "10 minutes",
-                                rejects_path: str | None = None,
                                 processing_time: str | None = "10 seconds",
                                 available_now: bool = False) -> StreamingQuery:
     """Enrichment per closed event-time window (``batch`` = window start).
@@ -123,18 +122,23 @@ def start_event_time_enrichment(records: DataFrame, sink_path: str, checkpoint_p
 
     w = groups.writeStream.outputMode("append").foreachBatch(per_batch) \
         .option("checkpointLocation", checkpoint_path)
-    q = _trigger(w, processing_time, available_now).start()
-    if rejects_path:
-        _, rejects = decode_messages(records)
-        (rejects.writeStream.format("parquet").option("path", rejects_path)
-         .option("checkpointLocation", checkpoint_path.rstrip("/") + "-rejects")
-         .trigger(**({"availableNow": True} if available_now
-                     else {"processingTime": processing_time or "10 seconds"}))
-         .start())
-    return q
-
-
-def run_for(query: StreamingQuery, seconds: float = 600) -> None:
-    """T5: run a bounded time, then stop gracefully."""
-    query.awaitTermination(seconds)
-    query.stop()
+    return _trigger(w, processing_time, available_now).start()
+
+
+def start_rejects(records: DataFrame, path: str, checkpoint_path: str,
+                  processing_time: str | None = "10 seconds",
+                  available_now: bool = False) -> StreamingQuery:
+    """Undecodable / unknown / incomplete messages to an exactly-once file sink
+    (the event-time job's side output; the arrival job writes its own)."""
+    _, rejects = decode_messages(records)
+    w = (rejects.writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", checkpoint_path))
+    return _trigger(w, processing_time, available_now).start()
+
+
+def run_for(queries: StreamingQuery | list[StreamingQuery], seconds: float = 600) -> None:
+    """T5: run a bounded time, then stop every query gracefully."""
+    qs = queries if isinstance(queries, list) else [queries]
+    qs[0].awaitTermination(seconds)
+    for q in qs:
+        q.stop()

@@ -58,3 +58,17 @@ def test_processing_time_trigger_bounded_run(spark, tmp_dir):
     run_for(q, 25)                          # T5: bounded run, then a graceful stop
     assert not q.isActive
     assert spark.read.parquet(f"{tmp_dir}/sink").select("batch_id").distinct().count() >= 1
+
+
+def test_rejects_stream(spark, tmp_dir):
+    from emberlake.streaming.enrich import start_rejects
+    write_records(spark.createDataFrame(
+        [("Climate", 0, 1, "garbage"),
+         ("Hotspot_AQUA", 0, 2, '{"producer_id": "producer_hotspot_aqua", "latitude": 1.0, '
+                                '"longitude": 2.0, "created_time": "2019-01-01T00:00:00"}')],
+        "topic string, partition int, offset long, value string"), f"{tmp_dir}/records")
+    q = start_rejects(read_records_stream(spark, f"{tmp_dir}/records"), f"{tmp_dir}/rejects",
+                      f"{tmp_dir}/ckpt", available_now=True)
+    q.awaitTermination()
+    got = [(r.offset, r.reject_reason) for r in spark.read.parquet(f"{tmp_dir}/rejects").collect()]
+    assert got == [(1, "undecodable")]
