@@ -19,3 +19,19 @@ def test_load_then_query_and_report(spark, tmp_dir):
     assert sorted(top, reverse=True) == [72.0, 68.0]
     cli.main(["report", "hours", "--documents", docs, "--out", f"{tmp_dir}/h"])
     assert spark.read.parquet(f"{tmp_dir}/h").count() == 24
+
+
+def test_stored_documents_push_date_filters(spark, tmp_dir):
+    import contextlib
+    import io
+
+    from emberlake.plans.catalog import climate_on_date_documents
+    docs = f"{tmp_dir}/docs"
+    cli.main(["load", "--climate-csv", f"{FIX}/climate_small.csv",
+              "--hotspot-csv", f"{FIX}/hotspot_small.csv", "--out", docs])
+    q = climate_on_date_documents(spark.read.parquet(docs), "2018-03-05")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain("formatted")
+    assert "PushedFilters: [IsNotNull(date), EqualTo(date,2018-03-05)]" in buf.getvalue()
+    assert len(q.collect()[0].hotspots) == 2
