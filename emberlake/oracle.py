@@ -298,15 +298,23 @@ SELECT producer_id, latitude, longitude, confidence, surface_temperature_celcius
 FROM feed WHERE producer_id IN ('producer_hotspot_aqua', 'producer_hotspot_terra')"""
     q["stream_event_time_enrichment"] = q["enrich_climate"]
     q["stream_rolling_extremes"] = q["rolling_temperature_extremes"]
-    chunked = _feed(name="feed0") + """,
+    def chunked(cap: int) -> str:
+        # The replay cuts the arrival range into max(4, ceil(n / cap)) equal
+        # parts; part i is micro-batch i.
+        return _feed(name="feed0") + f""",
+bounds AS (
+  SELECT min(arrival) AS lo, max(arrival) AS hi,
+         greatest(4, CAST(ceil(count(*) / {cap}.0) AS BIGINT)) AS parts
+  FROM feed0 WHERE producer_id IS NOT NULL),
 feed AS (
   SELECT * REPLACE (
-    (arrival - (SELECT min(arrival) FROM feed0 WHERE producer_id IS NOT NULL))
-    // (((SELECT max(arrival) FROM feed0 WHERE producer_id IS NOT NULL)
-         - (SELECT min(arrival) FROM feed0 WHERE producer_id IS NOT NULL)) // 4 + 1) AS batch)
+    (arrival - (SELECT lo FROM bounds))
+    // (((SELECT hi FROM bounds) - (SELECT lo FROM bounds)) // (SELECT parts FROM bounds) + 1)
+    AS batch)
   FROM feed0 WHERE producer_id IS NOT NULL)"""
-    q["stream_arrival_enrichment"] = _with(chunked, PAIRS, LATEST, ENRICHED) + """
+    q["stream_arrival_enrichment"] = _with(chunked(1_000_000), PAIRS, LATEST, ENRICHED) + """
 SELECT * EXCLUDE (batch), batch AS batch_id FROM enriched"""
-    q["stream_arrival_enrichment_as_coded"] = _with(chunked, PAIRS_AS_CODED, LATEST, ENRICHED) + """
+    q["stream_arrival_enrichment_as_coded"] = _with(chunked(50_000), PAIRS_AS_CODED, LATEST,
+                                                    ENRICHED) + """
 SELECT * EXCLUDE (batch), batch AS batch_id FROM enriched"""
     return q

@@ -29,6 +29,11 @@ DEFAULT_CHUNKS = 4
 # A rolling replay's chunk is one micro-batch and so one keyed pandas call:
 # past this many readings the replay uses more chunks.
 MAX_CHUNK_READINGS = 1_000_000
+# Records per micro-batch of the arrival replays.  The as-coded pairing runs
+# one pandas group per micro-batch and multiplies rows by up to the batch's
+# TERRA count, so its batches are kept small.
+MAX_BATCH_RECORDS = 1_000_000
+MAX_AS_CODED_BATCH_RECORDS = 50_000
 
 
 @contextlib.contextmanager
@@ -102,7 +107,8 @@ def replay_arrival_enrichment(feed: DataFrame, chunks: int = DEFAULT_CHUNKS,
                               root: str | None = None) -> DataFrame:
     spark = feed.sparkSession
     root = root or _run_dir(spark, "enrich-arrival")
-    for part in chunked_records(feed, chunks):
+    cap = MAX_AS_CODED_BATCH_RECORDS if as_coded else MAX_BATCH_RECORDS
+    for part in chunked_records(feed, chunks, max_chunk=cap):
         write_records(part, f"{root}/records")
         with _state_partitions(spark):
             q = start_arrival_enrichment(
