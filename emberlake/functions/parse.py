@@ -60,5 +60,21 @@ def iso_text(c: Column | str) -> Column:
     return F.regexp_replace(_c(c).cast("timestamp_ntz").cast("string"), " ", "T")
 
 
+_UNIT_MICROS = {"second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6,
+                "day": 86400 * 10**6}
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def trunc_ntz(c: Column | str, unit: str) -> Column:
+    """Truncate a TIMESTAMP_NTZ to a fixed unit (second .. day) on its wall
+    clock, with micros arithmetic: no session time zone is involved."""
+    step = _UNIT_MICROS.get(unit.lower())
+    if step is None:
+        return F.date_trunc(unit, _c(c)).cast("timestamp_ntz")
+    epoch = F.lit(_EPOCH_NTZ).cast("timestamp_ntz")
+    us = F.timestamp_diff("MICROSECOND", epoch, _c(c).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", us - F.pmod(us, F.lit(step)), epoch)
+
+
 def format_day(c: Column | str, fmt: str = DAY_FORMAT_REPORT) -> Column:
     return F.date_format(_c(c), fmt)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlake import schema as S
-from emberlake.functions.parse import split_precipitation
+from emberlake.functions.parse import split_precipitation, trunc_ntz
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -105,7 +105,7 @@ def feed_events(spark: SparkSession, sf_dir: str, batch_unit: str = "hour") -> D
 
     return e.select(
         eid.alias("arrival"),
-        F.date_trunc(batch_unit, F.col("ts")).cast("timestamp_ntz").alias("batch"),
+        trunc_ntz(F.col("ts"), batch_unit).alias("batch"),
         producer.alias("producer_id"),
         F.col("ts").cast("timestamp_ntz").alias("event_ts"),
         (F.lit(-39.0) + _dbl((uid * 7) % 48) * F.lit(0.1)).alias("latitude"),

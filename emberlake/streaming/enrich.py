@@ -68,6 +68,7 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str, checkpoint_path
 
 
 STATE_BLOCK = 1 << 16
+_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def event_time_groups(records: DataFrame, window: str = "1 hour",
@@ -81,9 +82,12 @@ def event_time_groups(records: DataFrame, window: str = "1 hour",
     so the whole window reaches ``foreachBatch`` in one micro-batch.
     """
     good, _ = decode_messages(records)
-    # Watermarks need TIMESTAMP; the session time zone keeps the wall clock.
+    # Watermarks need TIMESTAMP.  The instant is built from the wall clock's
+    # micros since the epoch, so windows follow the wall clock in any session
+    # time zone (no daylight-saving gaps, no half-hour offsets).
+    wall_us = F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, F.col("event_ts"))
     cells = (with_geo_cell(good)
-             .withColumn("_event_time", F.col("event_ts").cast("timestamp"))
+             .withColumn("_event_time", F.timestamp_micros(wall_us))
              .withColumn("_blk", F.floor(F.col("arrival") / F.lit(block))))
     return (cells.withWatermark("_event_time", delay)
             .groupBy(F.window("_event_time", window).alias("w"), "geo_cell", "_blk")
@@ -108,8 +112,8 @@ def start_event_time_enrichment(records: DataFrame, sink_path: str, checkpoint_p
         try:
             if batch_df.count() == 0:
                 return
-            msgs = (batch_df.select(F.col("w.start").cast("timestamp_ntz").alias("batch"),
-                                    F.explode("msgs").alias("m"))
+            start = F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.start")), _EPOCH_NTZ)
+            msgs = (batch_df.select(start.alias("batch"), F.explode("msgs").alias("m"))
                     .select("batch", "m.*"))
             flat = enrich_flat(msgs, check_sizes=False)
             # Windows are emitted once, in the micro-batch that closes them; a
