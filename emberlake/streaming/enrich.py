@@ -68,7 +68,10 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str, checkpoint_path
 
 
 STATE_BLOCK = 1 << 16
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _epoch_ntz() -> F.Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def event_time_groups(records: DataFrame, window: str = "1 hour",
@@ -85,7 +88,7 @@ def event_time_groups(records: DataFrame, window: str = "1 hour",
     # Watermarks need TIMESTAMP.  The instant is built from the wall clock's
     # micros since the epoch, so windows follow the wall clock in any session
     # time zone (no daylight-saving gaps, no half-hour offsets).
-    wall_us = F.timestamp_diff("MICROSECOND", _EPOCH_NTZ, F.col("event_ts"))
+    wall_us = F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col("event_ts"))
     cells = (with_geo_cell(good)
              .withColumn("_event_time", F.timestamp_micros(wall_us))
              .withColumn("_blk", F.floor(F.col("arrival") / F.lit(block))))
@@ -112,7 +115,7 @@ def start_event_time_enrichment(records: DataFrame, sink_path: str, checkpoint_p
         try:
             if batch_df.count() == 0:
                 return
-            start = F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.start")), _EPOCH_NTZ)
+            start = F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.start")), _epoch_ntz())
             msgs = (batch_df.select(start.alias("batch"), F.explode("msgs").alias("m"))
                     .select("batch", "m.*"))
             flat = enrich_flat(msgs, check_sizes=False)
