@@ -28,3 +28,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:2] == ["batch", "date"]
     assert df.count() > 0
+
+
+def test_modules_import_without_a_session():
+    """The driver may import the entry module before any session exists."""
+    import subprocess
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import importlib.util as u; s = u.spec_from_file_location('e', %r); m = u.module_from_spec(s); "
+            "s.loader.exec_module(m); import emberlake.cli; print(len(m.queries()))"
+            % os.path.join(root, "__spark_entry__.py"))
+    out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert int(out.stdout.strip()) == len(E.queries())
