@@ -62,7 +62,27 @@ def iso_text(c: Column | str) -> Column:
 
 _UNIT_MICROS = {"second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6,
                 "day": 86400 * 10**6}
-_EPOCH_NTZ = "1970-01-01 00:00:00"
+_DAY_MICROS = 86400 * 10**6
+
+
+def wall_micros(c: Column | str) -> Column:
+    """Micros since 1970-01-01 00:00 of a TIMESTAMP_NTZ wall clock.
+
+    Built from the date and the hour/minute/second fields, which read the
+    wall clock as is (``timestamp_diff`` would pass through the session zone).
+    """
+    t = _c(c).cast("timestamp_ntz")
+    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    whole = (days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60).cast("long") * 1_000_000
+    return whole + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
+
+
+def ntz_from_micros(us: Column) -> Column:
+    """The TIMESTAMP_NTZ wall clock ``us`` micros after 1970-01-01 00:00
+    (NTZ plus a day-time interval involves no time zone)."""
+    days = F.floor(us / F.lit(_DAY_MICROS)).cast("int")
+    rest = (F.pmod(us, F.lit(_DAY_MICROS)) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days=days, secs=rest)
 
 
 def trunc_ntz(c: Column | str, unit: str) -> Column:
@@ -71,9 +91,8 @@ def trunc_ntz(c: Column | str, unit: str) -> Column:
     step = _UNIT_MICROS.get(unit.lower())
     if step is None:
         return F.date_trunc(unit, _c(c)).cast("timestamp_ntz")
-    epoch = F.lit(_EPOCH_NTZ).cast("timestamp_ntz")
-    us = F.timestamp_diff("MICROSECOND", epoch, _c(c).cast("timestamp_ntz"))
-    return F.timestamp_add("MICROSECOND", us - F.pmod(us, F.lit(step)), epoch)
+    us = wall_micros(c)
+    return ntz_from_micros(us - F.pmod(us, F.lit(step)))
 
 
 def format_day(c: Column | str, fmt: str = DAY_FORMAT_REPORT) -> Column:

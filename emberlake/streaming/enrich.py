@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from emberlake.functions.geo import with_geo_cell
+from emberlake.functions.parse import ntz_from_micros, wall_micros
 from emberlake.operators.enrich import enrich_documents, enrich_flat
 from emberlake.sources.messages import decode_messages
 
@@ -70,10 +71,6 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str, checkpoint_path
 STATE_BLOCK = 1 << 16
 
 
-def _epoch_ntz() -> F.Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def event_time_groups(records: DataFrame, window: str = "1 hour",
                       delay: str = "10 minutes", block: int = STATE_BLOCK) -> DataFrame:
     """Messages gathered per (event-time window, cell, arrival block)
@@ -88,9 +85,8 @@ def event_time_groups(records: DataFrame, window: str = "1 hour",
     # Watermarks need TIMESTAMP.  The instant is built from the wall clock's
     # micros since the epoch, so windows follow the wall clock in any session
     # time zone (no daylight-saving gaps, no half-hour offsets).
-    wall_us = F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col("event_ts"))
     cells = (with_geo_cell(good)
-             .withColumn("_event_time", F.timestamp_micros(wall_us))
+             .withColumn("_event_time", F.timestamp_micros(wall_micros("event_ts")))
              .withColumn("_blk", F.floor(F.col("arrival") / F.lit(block))))
     return (cells.withWatermark("_event_time", delay)
             .groupBy(F.window("_event_time", window).alias("w"), "geo_cell", "_blk")
@@ -115,7 +111,7 @@ def start_event_time_enrichment(records: DataFrame, sink_path: str, checkpoint_p
         try:
             if batch_df.count() == 0:
                 return
-            start = F.timestamp_add("MICROSECOND", F.unix_micros(F.col("w.start")), _epoch_ntz())
+            start = ntz_from_micros(F.unix_micros(F.col("w.start")))
             msgs = (batch_df.select(start.alias("batch"), F.explode("msgs").alias("m"))
                     .select("batch", "m.*"))
             flat = enrich_flat(msgs, check_sizes=False)

@@ -86,3 +86,19 @@ def test_cause_popup_and_caption(spark):
     assert rows[1].p.endswith("<b>Surface Temperature:</b> 18</br><b>Air Temperature:</b> 20"
                               "</br><b>Relative Humidity:</b> 10")
     assert rows[0].l == "Minimum (Date: 2/01/18 & Temp: 21.0)"
+
+
+def test_timestamps_ignore_the_session_time_zone(spark):
+    """A wall-clock time inside a DST gap survives format, parse and truncation."""
+    from emberlake.functions.parse import iso_text, parse_iso_timestamp, trunc_ntz
+    gap = dt.datetime(1998, 4, 5, 2, 38, 30, 250000)       # no such time in New York
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(gap,)], "t timestamp_ntz")
+        r = df.select(iso_text("t").alias("s"), parse_iso_timestamp(iso_text("t")).alias("back"),
+                      trunc_ntz("t", "hour").alias("h"), trunc_ntz("t", "day").alias("d")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r.s == "1998-04-05T02:38:30.25"
+    assert r.back == gap
+    assert r.h == dt.datetime(1998, 4, 5, 2) and r.d == dt.datetime(1998, 4, 5)
