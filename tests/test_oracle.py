@@ -13,11 +13,12 @@ STREAMS = ("stream_event_time_enrichment", "stream_rolling_extremes", "stream_ar
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.reference_queries()) <= set(E.oracle_sql())
 
 
 def test_batch_queries_match_oracle(spark):
-    assert compare(spark, SF_SMALL, skip=STREAMS, verbose=False) == []
+    names = [n for n in E.reference_queries() if n not in STREAMS]
+    assert compare(spark, SF_SMALL, names=names, verbose=False) == []
 
 
 def test_arrival_stream_matches_oracle(spark):
