@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlake.llm import quality, urls
+from emberlake.llm import quality, secrets, urls
 from emberlake.llm.common import table
 
 
+def _op6(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.secret_report(table(spark, d, "documents"))
+
+
 def _op9(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_report(table(spark, d, "documents"))
 
@@ -19,11 +23,13 @@ def _op10(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_secret_scan": _op6,
     "op9_quality_rules": _op9,
     "op10_url_filter": _op10,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_secret_scan": secrets.ORACLE,
     "op9_quality_rules": quality.ORACLE,
     "op10_url_filter": urls.ORACLE,
 }
