@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlake.llm import quality, secrets, urls
+from emberlake.llm import chat, quality, secrets, urls
 from emberlake.llm.common import table
 
 
+def _op3(spark: SparkSession, d: str) -> DataFrame:
+    return chat.chat_report(table(spark, d, "conversations"))
+
+
 def _op6(spark: SparkSession, d: str) -> DataFrame:
     return secrets.secret_report(table(spark, d, "documents"))
 
@@ -23,12 +27,14 @@ def _op10(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_chat_perspectives": _op3,
     "op6_secret_scan": _op6,
     "op9_quality_rules": _op9,
     "op10_url_filter": _op10,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_chat_perspectives": chat.ORACLE,
     "op6_secret_scan": secrets.ORACLE,
     "op9_quality_rules": quality.ORACLE,
     "op10_url_filter": urls.ORACLE,
