@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlake.llm import chat, quality, secrets, urls
+from emberlake.llm import chat, quality, secrets, sharding, urls
 from emberlake.llm.common import table
 
 
@@ -18,6 +18,10 @@ def _op6(spark: SparkSession, d: str) -> DataFrame:
     return secrets.secret_report(table(spark, d, "documents"))
 
 
+def _op7(spark: SparkSession, d: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, d, "documents"))
+
+
 def _op9(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_report(table(spark, d, "documents"))
 
@@ -29,6 +33,7 @@ def _op10(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_perspectives": _op3,
     "op6_secret_scan": _op6,
+    "op7_sampled_splitters": _op7,
     "op9_quality_rules": _op9,
     "op10_url_filter": _op10,
 }
