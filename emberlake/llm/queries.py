@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlake.llm import chat, quality, secrets, sharding, urls
+from emberlake.llm import chat, packing, quality, secrets, sharding, urls
 from emberlake.llm.common import table
 
 
@@ -14,6 +14,10 @@ def _op3(spark: SparkSession, d: str) -> DataFrame:
     return chat.chat_report(table(spark, d, "conversations"))
 
 
+def _op5(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(table(spark, d, "documents"))
+
+
 def _op6(spark: SparkSession, d: str) -> DataFrame:
     return secrets.secret_report(table(spark, d, "documents"))
 
@@ -32,6 +36,7 @@ def _op10(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_perspectives": _op3,
+    "op5_best_fit_packing": _op5,
     "op6_secret_scan": _op6,
     "op7_sampled_splitters": _op7,
     "op9_quality_rules": _op9,
