@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlake.llm import chat, packing, quality, secrets, sharding, urls
+from emberlake.llm import chat, decontaminate, packing, quality, secrets, sharding, urls
 from emberlake.llm.common import table
 
 
+def _op1(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def _op3(spark: SparkSession, d: str) -> DataFrame:
     return chat.chat_report(table(spark, d, "conversations"))
 
@@ -35,6 +39,7 @@ def _op10(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_containment": _op1,
     "op3_chat_perspectives": _op3,
     "op5_best_fit_packing": _op5,
     "op6_secret_scan": _op6,
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_benchmark_containment": decontaminate.ORACLE,
     "op3_chat_perspectives": chat.ORACLE,
     "op6_secret_scan": secrets.ORACLE,
     "op9_quality_rules": quality.ORACLE,
