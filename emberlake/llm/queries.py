@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlake.llm import chat, decontaminate, packing, quality, secrets, sharding, urls
+from emberlake.llm import chat, decontaminate, neardup, packing, quality, secrets, sharding, urls
 from emberlake.llm.common import table
 
 
@@ -14,6 +14,10 @@ def _op1(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def _op2(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.duplicate_classes(table(spark, d, "documents")).select("doc_id", "class_id", "class_size")
+
+
 def _op3(spark: SparkSession, d: str) -> DataFrame:
     return chat.chat_report(table(spark, d, "conversations"))
 
@@ -40,6 +44,7 @@ def _op10(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_containment": _op1,
+    "op2_weighted_minhash": _op2,
     "op3_chat_perspectives": _op3,
     "op5_best_fit_packing": _op5,
     "op6_secret_scan": _op6,
