@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlake.llm import chat, decontaminate, neardup, packing, quality, secrets, sharding, urls
+from emberlake.llm import chat, decontaminate, neardup, packing, quality, secrets, sharding, toxicity, urls
 from emberlake.llm.common import table
 
 
@@ -22,6 +22,10 @@ def _op3(spark: SparkSession, d: str) -> DataFrame:
     return chat.chat_report(table(spark, d, "conversations"))
 
 
+def _op4(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def _op5(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(table(spark, d, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_containment": _op1,
     "op2_weighted_minhash": _op2,
     "op3_chat_perspectives": _op3,
+    "op4_toxicity": _op4,
     "op5_best_fit_packing": _op5,
     "op6_secret_scan": _op6,
     "op7_sampled_splitters": _op7,
