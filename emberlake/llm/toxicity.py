@@ -39,8 +39,8 @@ FOLDS = 5
 MAX_TRAINING_ROWS = 40_000
 MIN_TRAINING_ROWS = 40
 CALIBRATION_SHARE = 4  # one learning row in so many calibrates
-LEARNED_WORDS = 100
-MIN_WORD_DOCS = 8
+LEARNED_WORDS = 200
+MIN_WORD_DOCS = 5
 NEAR_CHARS = 40
 
 # Insults and second-person words of the four languages.
@@ -122,7 +122,7 @@ def learned_lexicon(texts: DataFrame, n_words: int = LEARNED_WORDS, min_docs: in
     totals = texts.agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).first()
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
     z = (F.log(a / (totals.a + 1 - F.col("a"))) - F.log(b / (totals.b + 1 - F.col("b")))) / F.sqrt(1 / a + 1 / b)
-    return [r.w for r in seen.withColumn("z", z).filter("z > 4").orderBy(F.desc("z"), "w").limit(n_words).collect()]
+    return [r.w for r in seen.withColumn("z", z).filter("z > 3").orderBy(F.desc("z"), "w").limit(n_words).collect()]
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
