@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlake.llm import chat, decontaminate, neardup, packing, quality, secrets, sharding, toxicity, urls
+from emberlake.llm import chat, decontaminate, neardup, packing, quality, repeats, secrets, sharding, toxicity, urls
 from emberlake.llm.common import table
 
 
@@ -38,6 +38,10 @@ def _op7(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard_documents(table(spark, d, "documents"))
 
 
+def _op8(spark: SparkSession, d: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, d, "documents"))
+
+
 def _op9(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_report(table(spark, d, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": _op5,
     "op6_secret_scan": _op6,
     "op7_sampled_splitters": _op7,
+    "op8_suffix_dedup": _op8,
     "op9_quality_rules": _op9,
     "op10_url_filter": _op10,
 }
