@@ -1,10 +1,55 @@
-"""The corpus pipeline: five training-data stages over ``documents``."""
+"""The corpus pipeline: five training-data stages over ``documents``.
+
+Each stage takes all that its predecessor kept, written as Parquet and read
+again: line-first quality rules (failing lines and rejected documents go),
+near-duplicates (one document of each class stays), benchmark passages
+(contaminated documents go), secrets (live-looking ones are masked) and
+best-fit packing (the rows are the pieces in their bins).  All but the last
+return the columns of ``documents``.
+"""
+
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
+from emberlake.llm import decontaminate, neardup, packing, quality, secrets
+from emberlake.llm.common import staged, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.clean_documents(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.drop_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redact_secrets(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("best_fit_packing", best_fit_packing),
+]
+
+# SQL cannot express the packing; the tests hold run() against a plain Python version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs
