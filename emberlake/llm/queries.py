@@ -15,7 +15,7 @@ def _op1(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _op2(spark: SparkSession, d: str) -> DataFrame:
-    return neardup.duplicate_classes(table(spark, d, "documents")).select("doc_id", "class_id", "class_size")
+    return neardup.duplicate_classes(table(spark, d, "documents"))
 
 
 def _op3(spark: SparkSession, d: str) -> DataFrame:
