@@ -193,7 +193,7 @@ def _send_anchors(owners: int, hot_regions: int):
                 out: dict[str, list] = {"owner": [], "chunk": [], "h": [], "region": [], "hot": [], "rank": []}
                 low = int(c.least.min()) if len(c.least) else 0
                 for owner, part in c.by_owner():
-                    delta = (c.least[part].astype(np.uint64) - np.uint64(low)).astype(np.uint64)
+                    delta = c.least[part].astype(np.uint64) - np.uint64(low % (1 << 64))
                     small = np.min_scalar_type(int(delta.max()))
                     out["owner"].append(owner)
                     out["chunk"].append(n)
