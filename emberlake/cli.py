@@ -3,10 +3,10 @@
 Run as ``python -m emberlake.cli ...`` or
 ``spark-submit --py-files emberlake.zip emberlake/cli.py ...``:
 
-  load --climate-csv C --hotspot-csv H --out DOCS
+  load --climate-csv C --hotspot-csv H --out DOCS [--rejects R]
   query hottest_hotspots --documents DOCS [--k 10] [--out OUT]
   stream (--records DIR | --kafka HOSTS) --sink S --checkpoint CK
-         [--event-time] [--as-coded] [--seconds 600]
+         [--event-time] [--as-coded --batch-width N] [--seconds 600]
   rolling (--records DIR | --kafka HOSTS) --sink S --checkpoint CK
   report hours|markers --documents DOCS [--out OUT]
 
@@ -31,19 +31,25 @@ from emberlake.streaming.enrich import (
 )
 from emberlake.streaming.rolling import start_rolling_extremes
 
+
+def _or(value, default):
+    """An option's value; zero is a value."""
+    return default if value is None else value
+
+
 QUERIES = {
     "climate_on_date": lambda cl, f, a: C.climate_on_date(cl, a.day or "2018-12-12"),
-    "hotspots_by_surface_temp": lambda cl, f, a: C.hotspots_by_surface_temp(f, a.low or 65, a.high or 100),
+    "hotspots_by_surface_temp": lambda cl, f, a: C.hotspots_by_surface_temp(f, _or(a.low, 65), _or(a.high, 100)),
     "conditions_on_dates": lambda cl, f, a: C.conditions_on_dates(
         cl, f, tuple(a.days or ("2018-12-15", "2018-12-16"))),
-    "hotspots_by_confidence": lambda cl, f, a: C.hotspots_by_confidence(f, a.low or 80, a.high or 100),
-    "hottest_hotspots": lambda cl, f, a: C.hottest_hotspots(f, a.k or 10),
+    "hotspots_by_confidence": lambda cl, f, a: C.hotspots_by_confidence(f, _or(a.low, 80), _or(a.high, 100)),
+    "hottest_hotspots": lambda cl, f, a: C.hottest_hotspots(f, _or(a.k, 10)),
     "fires_per_day": lambda cl, f, a: C.fires_per_day(cl, f),
-    "low_confidence_hotspots": lambda cl, f, a: C.low_confidence_hotspots(f, a.high or 70),
+    "low_confidence_hotspots": lambda cl, f, a: C.low_confidence_hotspots(f, _or(a.high, 70)),
     "avg_surface_temp_per_day": lambda cl, f, a: C.avg_surface_temp_per_day(f),
-    "lowest_ghi_days": lambda cl, f, a: C.lowest_ghi_days(cl, a.k or 10),
+    "lowest_ghi_days": lambda cl, f, a: C.lowest_ghi_days(cl, _or(a.k, 10)),
     "days_by_precipitation": lambda cl, f, a: C.days_by_precipitation(
-        cl, a.kind or "G", a.low or 0.20, a.high or 0.35),
+        cl, a.kind or "G", _or(a.low, 0.20), _or(a.high, 0.35)),
 }
 
 
@@ -55,8 +61,11 @@ def _emit(df: DataFrame, out: str | None) -> None:
 
 
 def _records(spark, a):
-    return read_records_stream(spark, a.records, kafka_servers=a.kafka,
-                               starting=a.starting, max_per_trigger=a.max_per_trigger)
+    options = {"kafka.fetch.message.max.bytes": str(a.fetch_bytes)}
+    if a.group_id:
+        options["kafka.group.id"] = a.group_id
+    return read_records_stream(spark, a.records, kafka_servers=a.kafka, starting=a.starting,
+                               max_per_trigger=a.max_per_trigger, kafka_options=options)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -66,6 +75,7 @@ def main(argv: list[str] | None = None) -> None:
     ld.add_argument("--climate-csv", required=True)
     ld.add_argument("--hotspot-csv", required=True)
     ld.add_argument("--out", required=True)
+    ld.add_argument("--rejects")
     q = sub.add_parser("query")
     q.add_argument("name", choices=sorted(QUERIES))
     q.add_argument("--documents", required=True)
@@ -82,6 +92,8 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--kafka")
         s.add_argument("--starting", default="latest" if name == "stream" else "earliest")
         s.add_argument("--max-per-trigger", type=int)
+        s.add_argument("--fetch-bytes", type=int, default=5_242_880)
+        s.add_argument("--group-id")
         s.add_argument("--sink", required=True)
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--seconds", type=float, default=600)
@@ -91,6 +103,7 @@ def main(argv: list[str] | None = None) -> None:
             s.add_argument("--window", default="1 hour")
             s.add_argument("--delay", default="10 minutes")
             s.add_argument("--as-coded", action="store_true")
+            s.add_argument("--batch-width", type=int)
             s.add_argument("--rejects")
     r = sub.add_parser("report")
     r.add_argument("which", choices=["hours", "markers"])
@@ -100,7 +113,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session()
     if a.cmd == "load":
-        load_climate_documents(spark, a.climate_csv, a.hotspot_csv, out_path=a.out)
+        load_climate_documents(spark, a.climate_csv, a.hotspot_csv, out_path=a.out, rejects_path=a.rejects)
     elif a.cmd == "query":
         climate, facts = from_documents(spark.read.parquet(a.documents))
         _emit(QUERIES[a.name](climate, facts, a), a.out)
@@ -117,7 +130,8 @@ def main(argv: list[str] | None = None) -> None:
                                         processing_time=a.trigger))
         else:
             qs = [start_arrival_enrichment(recs, a.sink, a.checkpoint, rejects_path=a.rejects,
-                                           processing_time=a.trigger, as_coded=a.as_coded)]
+                                           processing_time=a.trigger, as_coded=a.as_coded,
+                                           batch_width=a.batch_width)]
         run_for(qs, a.seconds)
     elif a.cmd == "rolling":
         recs = _records(spark, a)

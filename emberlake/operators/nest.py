@@ -35,9 +35,11 @@ def nest_documents(climate: DataFrame, hotspots: DataFrame,
         hotspots.groupBy("date").agg(F.count(F.lit(1)).alias("_n")), "hotspots-per-day")
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items)).cast("int"))
     # The row id joins the hash so that copies of one hotspot spread over
-    # the chunks too (a group of identical rows must not fill one array).
-    spread = F.xxhash64(*S.HOTSPOT_COLUMNS, F.monotonically_increasing_id())
-    tagged = (hotspots.join(broadcast_if_small(per_day), "date")
+    # the chunks too (a group of identical rows must not fill one array).  It
+    # is taken before any shuffle, so a task run again gives the same ids.
+    numbered = hotspots.withColumn("_row", F.monotonically_increasing_id())
+    spread = F.xxhash64(*S.HOTSPOT_COLUMNS, "_row")
+    tagged = (numbered.join(broadcast_if_small(per_day), "date")
               .withColumn("chunk", F.pmod(spread, n_chunks).cast("int")))
     chunks = (tagged.groupBy("date", "chunk")
               .agg(F.array_sort(F.collect_list(_hotspot_struct(tagged))).alias("hotspots")))

@@ -159,9 +159,9 @@ def _as_coded_rows(pdf):
 def pair_satellites_as_coded(hotspots: DataFrame, batch: str = "batch") -> DataFrame:
     """Q1: the pairing with the original loop's duplicates and losses.
 
-    Runs one pandas group per batch, so it is meant for micro-batches, whose
-    size the stream trigger bounds (``maxOffsetsPerTrigger`` /
-    ``maxFilesPerTrigger``); whole-table backfills use ``pair_satellites``.
+    Runs one pandas group per batch, which a fixed width of arrivals bounds
+    at any input size (``start_arrival_enrichment``'s ``batch_width``);
+    whole-table backfills use ``pair_satellites``.
     Input needs ``geo_cell``.
     """
     sats = hotspots.where(F.col("producer_id").isin(S.PRODUCER_AQUA, S.PRODUCER_TERRA)).select(

@@ -4,10 +4,12 @@
 group in one task, so a group holding a third of the data stalls the job.
 Here the order value range is cut into fixed-width blocks: a block of a
 group holds at most ``block_width`` rows (order values are distinct
-integers).  The rows are shuffled once, on (group, block); that one
-exchange feeds both the local numbering inside each block and the
-per-block counts, whose running sum over the few blocks of a group gives
-each block's starting offset.  Only the small offset table moves again.
+integers).  The rows are shuffled once, on (group, block), for the local
+numbering inside each block.  The per-block counts are taken before that
+exchange, so each task sends one row per group and block; their running sum
+over the few blocks of a group gives each block's starting offset, and only
+that small table moves again.  A row with a NULL order value gets a NULL
+number.
 """
 
 from __future__ import annotations
@@ -51,13 +53,14 @@ def number_within(df: DataFrame, keys: list[str], order_col: str, out: str = "rn
     for k in keys:
         any_null = any_null | F.col(k).isNull()
     grp = ["_null", *nk, "_blk"]
-    blocked = (df.select("*", any_null.alias("_null"),
-                         *[_non_null(df, k).alias(n) for k, n in zip(keys, nk)],
-                         block_of(F.col(order_col), block_width).alias("_blk"))
-               .repartition(*grp))
+    any_null = any_null | F.col(order_col).isNull()
+    block = F.coalesce(block_of(F.col(order_col), block_width), F.lit(0).cast("long"))
+    keyed = df.select("*", any_null.alias("_null"),
+                      *[_non_null(df, k).alias(n) for k, n in zip(keys, nk)], block.alias("_blk"))
+    blocked = keyed.repartition(*grp)
     order = [F.col(order_col)] + [F.col(c) for c in (tiebreak or [])]
     local = blocked.withColumn("_lrn", F.row_number().over(Window.partitionBy(*grp).orderBy(*order)))
-    counts = blocked.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n"))
+    counts = keyed.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy("_null", *nk).orderBy("_blk")
     offsets = counts.select(*grp, (F.sum("_n").over(running) - F.col("_n")).alias("_off"))
     rn = F.when(~F.col("_null"), F.col("_lrn") + F.col("_off"))

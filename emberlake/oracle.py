@@ -9,6 +9,9 @@ shifts, and window functions replace the skew-safe numbering.
 
 from __future__ import annotations
 
+# Consecutive arrivals in one batch of the arrival streams.
+BATCH_WIDTH = 2048
+
 # Fixed value: the geohash base-32 alphabet.
 _ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
@@ -298,23 +301,24 @@ SELECT producer_id, latitude, longitude, confidence, surface_temperature_celcius
 FROM feed WHERE producer_id IN ('producer_hotspot_aqua', 'producer_hotspot_terra')"""
     q["stream_event_time_enrichment"] = q["enrich_climate"]
     q["stream_rolling_extremes"] = q["rolling_temperature_extremes"]
-    def chunked(cap: int) -> str:
-        # The replay cuts the arrival range into max(4, ceil(n / cap)) equal
-        # parts; part i is micro-batch i.
-        return _feed(name="feed0") + f""",
-bounds AS (
-  SELECT min(arrival) AS lo, max(arrival) AS hi,
-         greatest(4, CAST(ceil(count(*) / {cap}.0) AS BIGINT)) AS parts
-  FROM feed0 WHERE producer_id IS NOT NULL),
+    q["load_rejects"] = _with(CLIMATE, HOTSPOT) + """
+SELECT 'climate' AS file, CASE day(date) WHEN 13 THEN 'unreadable:relative_humidity' WHEN 15 THEN 'unreadable:date'
+  ELSE 'loaded' END AS reject_reason, count(*) AS n FROM climate GROUP BY ALL
+UNION ALL
+SELECT 'hotspot', 'missing:time', count(*) FROM hotspot WHERE day(date) = 16 HAVING count(*) > 0"""
+    q["message_rejects"] = _with(_feed()) + """
+SELECT CASE producer_id WHEN 'producer_climate' THEN 'Climate' WHEN 'producer_hotspot_aqua' THEN 'Hotspot_AQUA'
+    ELSE 'Hotspot_TERRA' END AS topic, CAST(arrival AS BIGINT) AS "offset",
+  CASE arrival % 50 WHEN 0 THEN 'undecodable' WHEN 1 THEN 'unknown_producer' WHEN 2 THEN 'no_measure'
+    ELSE 'no_position' END AS reject_reason
+FROM feed WHERE producer_id IS NOT NULL AND arrival % 50 < 4"""
+    # The replay's batches: a fixed width of arrivals.
+    by_width = _feed(name="feed0") + f""",
 feed AS (
-  SELECT * REPLACE (
-    (arrival - (SELECT lo FROM bounds))
-    // (((SELECT hi FROM bounds) - (SELECT lo FROM bounds)) // (SELECT parts FROM bounds) + 1)
-    AS batch)
-  FROM feed0 WHERE producer_id IS NOT NULL)"""
-    q["stream_arrival_enrichment"] = _with(chunked(1_000_000), PAIRS, LATEST, ENRICHED) + """
+  SELECT * REPLACE (arrival // {BATCH_WIDTH} AS batch) FROM feed0 WHERE producer_id IS NOT NULL)"""
+    q["stream_arrival_enrichment"] = _with(by_width, PAIRS, LATEST, ENRICHED) + """
 SELECT * EXCLUDE (batch), batch AS batch_id FROM enriched"""
-    q["stream_arrival_enrichment_as_coded"] = _with(chunked(50_000), PAIRS_AS_CODED, LATEST,
+    q["stream_arrival_enrichment_as_coded"] = _with(by_width, PAIRS_AS_CODED, LATEST,
                                                     ENRICHED) + """
 SELECT * EXCLUDE (batch), batch AS batch_id FROM enriched"""
     return q

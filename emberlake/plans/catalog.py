@@ -23,9 +23,18 @@ def _day(d) -> F.Column:
     return F.lit(d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)))
 
 
+def _on_days(days) -> F.Column:
+    """Date in a list, as equalities: unlike an in-list of cast days, Spark
+    turns each into a range on the stored column and pushes it to the scan."""
+    wanted = F.lit(False)
+    for d in days:
+        wanted = wanted | (F.col("date") == _day(d))
+    return wanted
+
+
 def climate_on_date(climate: DataFrame, day="2018-12-12") -> DataFrame:
-    """A: the climate record of one day (0 or 1 row)."""
-    return climate.where(F.col("date") == _day(day)).limit(1)
+    """A: the climate record of one day (0 or 1 row; the least of several)."""
+    return climate.where(F.col("date") == _day(day)).orderBy(*S.CLIMATE_COLUMNS).limit(1)
 
 
 def climate_on_date_documents(documents: DataFrame, day="2018-12-12") -> DataFrame:
@@ -50,9 +59,8 @@ def conditions_on_dates(climate: DataFrame, hotspots: DataFrame,
     The picked days (at most ``len(days)`` rows) are broadcast into the
     hotspots of those days, so even a hot day's fires are never gathered.
     """
-    wanted = [_day(d) for d in days]
-    picked = F.broadcast(climate.where(F.col("date").isin(*wanted)))
-    temps = hotspots.where(F.col("date").isin(*wanted)).select("date", "surface_temperature_celcius")
+    picked = F.broadcast(climate.where(_on_days(days)))
+    temps = hotspots.where(_on_days(days)).select("date", "surface_temperature_celcius")
     return (left_join_small(picked, temps, ["date"], check_size=False)
             .select("date", "air_temperature_celcius", "relative_humidity",
                     "max_wind_speed", "surface_temperature_celcius"))
@@ -60,7 +68,7 @@ def conditions_on_dates(climate: DataFrame, hotspots: DataFrame,
 
 def conditions_on_dates_nested(documents: DataFrame, days=("2018-12-15", "2018-12-16")) -> DataFrame:
     """C over documents: the surface temperatures stay an array (find projection)."""
-    return (documents.where(F.col("date").isin(*[_day(d) for d in days]))
+    return (documents.where(_on_days(days))
             .select("date", "air_temperature_celcius", "relative_humidity", "max_wind_speed",
                     F.transform("hotspots", lambda h: h["surface_temperature_celcius"])
                      .alias("surface_temperatures")))
@@ -96,9 +104,10 @@ def fires_per_day(climate: DataFrame, hotspots: DataFrame) -> DataFrame:
 
 
 def fires_per_day_nested(documents: DataFrame) -> DataFrame:
-    """F over (chunked) documents: sum of array sizes, absent arrays as 0."""
+    """F over documents: one row per climate record, the array sizes of its
+    chunks summed, absent arrays as 0."""
     size = F.size(F.coalesce("hotspots", F.array()))
-    return (documents.groupBy("date").agg(F.sum(size).alias("n"))
+    return (documents.groupBy(*S.CLIMATE_COLUMNS).agg(F.sum(size).alias("n"))
             .select(format_day("date", DAY_FORMAT_REPORT).alias("date"),
                     F.col("n").cast("long").alias("numberOfFires")))
 

@@ -1,8 +1,9 @@
 """Loads: CSV files -> typed records -> climate documents; feed normalisers.
 
 ``load_climate_documents`` is the historic load: both CSV files are read
-with fixed schemas, typed (rejects kept aside), nested into climate
-documents and written with a full overwrite (S9).  The ``*_roundtrip``
+with fixed schemas, typed, nested into climate documents and written with a
+full overwrite (S9).  A blank measure is NULL; rows that cannot be read are
+written to ``rejects_path`` with a reason.  The ``*_roundtrip``
 helpers first write warehouse-derived data in the original text layout
 (below the shared checkpoint folder) so the loaders run on whole tables.
 """
@@ -22,11 +23,19 @@ from emberlake.sources.messages import decode_messages, encode_messages
 
 
 def load_climate_documents(spark: SparkSession, climate_csv: str, hotspot_csv: str,
-                           out_path: str | None = None,
+                           out_path: str | None = None, rejects_path: str | None = None,
                            max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """S1 S2 P1-P4 J1 A3 (+ S9 when ``out_path`` is given)."""
-    climate, _ = C.normalize_climate_historic(C.read_csv(spark, climate_csv, S.CLIMATE_HISTORIC_CSV))
-    hotspots, _ = C.normalize_hotspot_historic(C.read_csv(spark, hotspot_csv, S.HOTSPOT_HISTORIC_CSV))
+    """S1 S2 P1-P4 J1 A3 (+ S9 when ``out_path`` is given).  Without a
+    ``rejects_path`` an unreadable row fails the load instead of vanishing."""
+    climate, bad_climate = C.normalize_climate_historic(C.read_csv(spark, climate_csv, S.CLIMATE_HISTORIC_CSV))
+    hotspots, bad_hotspots = C.normalize_hotspot_historic(C.read_csv(spark, hotspot_csv, S.HOTSPOT_HISTORIC_CSV))
+    rejects = _rejected(bad_climate, "climate").unionByName(_rejected(bad_hotspots, "hotspot"))
+    if rejects_path:
+        rejects.write.mode("overwrite").parquet(rejects_path)
+    else:
+        first = rejects.first()
+        if first is not None:
+            raise ValueError(f"unreadable rows need a rejects path; first: {first.file} {first.reject_reason} {first.row}")
     docs = nest_documents(climate, hotspots, max_items=max_items)
     if out_path:
         # A local sort (no shuffle) gives every row group a narrow date range,
@@ -36,6 +45,33 @@ def load_climate_documents(spark: SparkSession, climate_csv: str, hotspot_csv: s
     return docs
 
 
+def _rejected(bad: DataFrame, file: str) -> DataFrame:
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in bad.columns if c != "reject_reason"]))
+    return bad.select(F.lit(file).alias("file"), row.alias("row"), "reject_reason")
+
+
+def load_rejects_roundtrip(climate: DataFrame, hotspots: DataFrame) -> DataFrame:
+    """The rejects of a load whose files were damaged by rule: on the 13th of
+    a month the humidity is unreadable, on the 14th blank (which is no
+    reject), on the 15th the date is unreadable; a hotspot of the 16th lacks
+    its time.  One row per file and reason, with the climate rows loaded."""
+    spark = climate.sparkSession
+    root = _root(spark, "damaged")
+    day = F.dayofmonth("date")
+    text = C.climate_historic_text(climate)
+    at = F.to_date("date", C.DAY_FORMAT_CSV)
+    damaged = text.withColumn("relative_humidity", F.when(F.dayofmonth(at) == 13, "n/a").when(
+        F.dayofmonth(at) == 14, "").otherwise(F.col("relative_humidity"))).withColumn(
+        "date", F.when(F.dayofmonth(at) == 15, "someday").otherwise(F.col("date")))
+    C.write_csv(damaged, f"{root}/climate")
+    fires = C.hotspot_historic_text(hotspots.withColumn("time", F.when(day != 16, F.col("time"))))
+    C.write_csv(fires, f"{root}/hotspot")
+    docs = load_climate_documents(spark, f"{root}/climate", f"{root}/hotspot", f"{root}/documents", f"{root}/rejects")
+    kept = docs.select(*S.CLIMATE_COLUMNS).distinct().agg(F.count("*").alias("n")).select(
+        F.lit("climate").alias("file"), F.lit("loaded").alias("reject_reason"), "n")
+    return spark.read.parquet(f"{root}/rejects").groupBy("file", "reject_reason").agg(F.count("*").alias("n")).unionByName(kept)
+
+
 def _root(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "csv", f"{name}-{uuid.uuid4().hex}")
 
@@ -46,7 +82,7 @@ def load_documents_roundtrip(climate: DataFrame, hotspots: DataFrame) -> DataFra
     C.write_csv(C.climate_historic_text(climate), f"{root}/climate_historic")
     C.write_csv(C.hotspot_historic_text(hotspots), f"{root}/hotspot_historic")
     return load_climate_documents(spark, f"{root}/climate_historic", f"{root}/hotspot_historic",
-                                  out_path=f"{root}/documents")
+                                  out_path=f"{root}/documents", rejects_path=f"{root}/rejects")
 
 
 def normalize_climate_feed_roundtrip(feed: DataFrame) -> DataFrame:

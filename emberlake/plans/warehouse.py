@@ -33,10 +33,11 @@ def feed(spark: SparkSession, sf_dir: str, batch_unit: str = "hour") -> DataFram
 def from_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(climate records, hotspot facts) of a stored documents table.
 
-    A day's climate fields repeat in each of its chunk documents; keeping one
-    per day is a partial aggregate.  The facts are the unwound documents.
+    A record's climate fields repeat in each of its chunk documents; one of
+    them stays (a partial aggregate), and a day may have several records, one
+    for each station.  The facts are the unwound documents.
     """
     from emberlake import schema as S
     from emberlake.operators.nest import unwind
-    climate = docs.select(*S.CLIMATE_COLUMNS).dropDuplicates(["date"])
+    climate = docs.select(*S.CLIMATE_COLUMNS).distinct()
     return climate, unwind(docs)

@@ -31,59 +31,55 @@ def _num(name: str) -> Column:
     return F.trim(F.col(f"`{name}`")).try_cast("double")
 
 
-def _split(good_and_bad: DataFrame, required: list[str], out_cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    bad = None
-    for c in required:
-        cond = F.col(c).isNull()
-        bad = cond if bad is None else bad | cond
-    flagged = good_and_bad.withColumn("_bad", bad)
-    good = flagged.where(~F.col("_bad")).select(*out_cols)
-    rejects = flagged.where(F.col("_bad")).drop("_bad")
-    return good, rejects
-
-
-def _weather(precip_col: str = "precipitation ") -> list[Column]:
+def _typed(raw: DataFrame, typed: dict[str, tuple[str, Column]], required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and rejects as their raw text with ``reject_reason``.
+
+    ``typed`` maps an output column to its text column and typed value.  A
+    blank field is NULL, which only a ``required`` column may not be; text
+    that does not parse rejects the row.
+    """
+    reason = F.lit(None).cast("string")
+    for name, (text, value) in reversed(typed.items()):
+        blank = F.coalesce(F.trim(F.col(f"`{text}`")), F.lit("")) == ""
+        if name in required:
+            reason = F.when(blank, F.lit(f"missing:{name}")).otherwise(reason)
+        reason = F.when(~blank & value.isNull(), F.lit(f"unreadable:{name}")).otherwise(reason)
+    flagged = raw.withColumn("reject_reason", reason)
+    good = flagged.where(F.col("reject_reason").isNull()).select(*[v.alias(n) for n, (_, v) in typed.items()])
+    return good, flagged.where(F.col("reject_reason").isNotNull())
+
+
+def _weather(precip_col: str = "precipitation ") -> dict[str, tuple[str, Column]]:
     amount, kind = split_precipitation(F.col(f"`{precip_col}`"))
-    return [*[_num(c).alias(c) for c in S.CLIMATE_MEASURES],
-            amount.alias("precipitation"), kind.alias("precipitation_type"),
-            _num("GHI_w/m2").alias("ghi")]
+    return {**{c: (c, _num(c)) for c in S.CLIMATE_MEASURES}, "precipitation": (precip_col, amount),
+            "precipitation_type": (precip_col, kind), "ghi": ("GHI_w/m2", _num("GHI_w/m2"))}
 
 
 def normalize_climate_historic(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """S1 + P1/P2/P4: typed climate records and rejects."""
-    typed = raw.select(
-        F.col("date").alias("date_text"), F.col("station").alias("station_text"),
-        F.col("`precipitation `").alias("precipitation_text"),
-        parse_day(F.trim(F.col("date")), DAY_FORMAT_CSV).alias("date"),
-        F.trim(F.col("station")).try_cast("int").alias("station"),
-        *_weather())
-    return _split(typed, S.CLIMATE_COLUMNS, S.CLIMATE_COLUMNS)
+    typed = {"date": ("date", parse_day(F.trim(F.col("date")), DAY_FORMAT_CSV)),
+             "station": ("station", F.trim(F.col("station")).try_cast("int")), **_weather()}
+    return _typed(raw, typed, ["date", "station"])
 
 
 def normalize_hotspot_historic(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """S2 + P1/P3: typed historic hotspots (with their day) and rejects."""
-    typed = raw.select(
-        F.col("date").alias("date_text"), F.col("datetime"),
-        parse_day(F.trim(F.col("date")), HOTSPOT_DAY_FORMAT).alias("date"),
-        parse_iso_timestamp(F.trim(F.col("datetime"))).alias("time"),
-        *[_num(c).alias(c) for c in ["latitude", "longitude", *S.HOTSPOT_MEASURES]])
-    return _split(typed, ["date", *S.HOTSPOT_COLUMNS], ["date", *S.HOTSPOT_COLUMNS])
+    typed = {"date": ("date", parse_day(F.trim(F.col("date")), HOTSPOT_DAY_FORMAT)),
+             "time": ("datetime", parse_iso_timestamp(F.trim(F.col("datetime")))),
+             **{c: (c, _num(c)) for c in ["latitude", "longitude", *S.HOTSPOT_MEASURES]}}
+    return _typed(raw, typed, ["date", "time", "latitude", "longitude"])
 
 
 def normalize_climate_feed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """S3: the climate stream file (position instead of station and date)."""
-    typed = raw.select(_num("latitude").alias("latitude"), _num("longitude").alias("longitude"),
-                       *_weather())
-    cols = ["latitude", "longitude", *S.CLIMATE_MEASURES, "precipitation",
-            "precipitation_type", "ghi"]
-    return _split(typed, cols, cols)
+    typed = {"latitude": ("latitude", _num("latitude")), "longitude": ("longitude", _num("longitude")), **_weather()}
+    return _typed(raw, typed, ["latitude", "longitude"])
 
 
 def normalize_satellite_feed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One satellite's hotspot stream file."""
     cols = ["latitude", "longitude", *S.HOTSPOT_MEASURES]
-    typed = raw.select(*[_num(c).alias(c) for c in cols])
-    return _split(typed, cols, cols)
+    return _typed(raw, {c: (c, _num(c)) for c in cols}, cols)
 
 
 # -- writers in the original text layout (round trips and replays) ----------
@@ -93,8 +89,7 @@ def _text_num(c: str) -> Column:
 
 
 def _precip_text() -> Column:
-    return F.concat(F.lit(" "), F.format_number(F.col("precipitation"), 2),
-                    F.col("precipitation_type"))
+    return F.concat(F.lit(" "), F.col("precipitation").cast("string"), F.col("precipitation_type"))
 
 
 def _write(df: DataFrame, path: str) -> None:

@@ -61,6 +61,14 @@ def encode_messages(feed: DataFrame) -> DataFrame:
         F.col("arrival").cast("long").alias("offset"), value.alias("value"))
 
 
+def _lacks(m: str, producer: str, measures: list[str]) -> Column:
+    """A message of ``producer`` without one of its measures."""
+    missing = F.lit(False)
+    for c in measures:
+        missing = missing | F.col(f"{m}.{c}").isNull()
+    return (F.col(f"{m}.producer_id") == producer) & missing
+
+
 def decode_records(records: DataFrame) -> DataFrame:
     """P5: parse every record; adds ``m`` (the parsed message), ``arrival``,
     ``event_ts`` and ``reject_reason`` (NULL for a good message)."""
@@ -71,7 +79,10 @@ def decode_records(records: DataFrame) -> DataFrame:
     reason = (F.when(F.col("m").isNull() | F.col("m.producer_id").isNull(), F.lit("undecodable"))
                .when(~F.col("m.producer_id").isin(*S.KNOWN_PRODUCERS), F.lit("unknown_producer"))
                .when(F.col("m.latitude").isNull() | F.col("m.longitude").isNull(), F.lit("no_position"))
-               .when(event_ts.isNull(), F.lit("no_timestamp")))
+               .when(event_ts.isNull(), F.lit("no_timestamp"))
+               .when(_lacks("m", S.PRODUCER_CLIMATE, [*S.CLIMATE_MEASURES, "ghi"]), F.lit("no_measure"))
+               .when(_lacks("m", S.PRODUCER_AQUA, S.HOTSPOT_MEASURES)
+                     | _lacks("m", S.PRODUCER_TERRA, S.HOTSPOT_MEASURES), F.lit("no_measure")))
     arrival = F.col("offset") + F.col("partition").cast("long") * F.lit(_PARTITION_SHIFT)
     return parsed.select("*", arrival.alias("arrival"), event_ts.alias("event_ts"),
                          reason.alias("reject_reason"))
@@ -84,8 +95,9 @@ _MESSAGE_COLUMNS = ["latitude", "longitude", *S.CLIMATE_MEASURES, "precipitation
 def decode_messages(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good messages in feed layout, and the rejects side-output.
 
-    Undecodable text, unknown producers and messages without a position or
-    timestamp go to the rejects instead of failing the batch.
+    Undecodable text, unknown producers and messages without a position, a
+    timestamp or one of their producer's measures go to the rejects instead
+    of failing the batch.
     """
     d = decode_records(records)
     good = d.where(F.col("reject_reason").isNull()).select(
@@ -96,6 +108,18 @@ def decode_messages(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rejects
 
 
+def damaged_records(feed: DataFrame) -> DataFrame:
+    """The encoded feed with some records damaged by their offset: text that
+    is no message, an unknown producer, a missing measure, no position."""
+    records, at = encode_messages(feed), F.col("offset") % 50
+    value = (F.when(at == 0, F.lit("garbage"))
+              .when(at == 1, F.regexp_replace("value", "producer_(climate|hotspot_[a-z]+)", "producer_x"))
+              .when(at == 2, F.regexp_replace("value", '"(ghi|confidence)":[0-9.]+,', ""))
+              .when(at == 3, F.regexp_replace("value", '"latitude":[-0-9.E]+,', ""))
+              .otherwise(F.col("value")))
+    return records.withColumn("value", value)
+
+
 def write_records(records: DataFrame, path: str | None = None, mode: str = "append",
                   kafka_servers: str | None = None) -> None:
     """Publish records.  Kafka when servers are given, else JSON-lines files."""

@@ -1,13 +1,13 @@
 """Replay the warehouse feed through the streaming jobs.
 
-The feed is encoded as Kafka-shaped records and appended to a record folder
-below the shared checkpoint folder in ``chunks`` arrival-ordered parts, each
-written by an ordinary parallel job.  Between appends the streaming job
-runs with ``availableNow`` from its checkpoint, so every chunk becomes one
-micro-batch (epoch i = chunk i) and every restart exercises recovery from
-the checkpoint.  The sink is then read back.  Used by the registered stream
-queries and the tests: stream output must equal the batch plan on the same
-data.
+The feed is encoded as Kafka-shaped records and written once, by ordinary
+parallel jobs, to a record folder below the shared checkpoint folder.  One
+streaming query then reads the folder a few files at a time, so it runs over
+several micro-batches, and its sink is read back.  Batch membership is a
+property of the data (a fixed width of arrivals), so the answer does not
+depend on the number of files, the trigger or the size of the feed.  Used by
+the registered stream queries and the tests: stream output must equal the
+batch plan on the same data.
 """
 
 from __future__ import annotations
@@ -23,17 +23,12 @@ from emberlake.session import scratch_path
 from emberlake.functions.parse import iso_text
 from emberlake.sources.messages import encode_messages, read_records_stream, write_records
 from emberlake.streaming.enrich import start_arrival_enrichment, start_event_time_enrichment
+from emberlake.operators.rolling import DEFAULT_WINDOW
 from emberlake.streaming.rolling import start_rolling_extremes
 
-DEFAULT_CHUNKS = 4
-# A rolling replay's chunk is one micro-batch and so one keyed pandas call:
-# past this many readings the replay uses more chunks.
-MAX_CHUNK_READINGS = 1_000_000
-# Records per micro-batch of the arrival replays.  The as-coded pairing runs
-# one pandas group per micro-batch and multiplies rows by up to the batch's
-# TERRA count, so its batches are kept small.
-MAX_BATCH_RECORDS = 1_000_000
-MAX_AS_CODED_BATCH_RECORDS = 50_000
+# Consecutive arrivals that make up one batch of the arrival replay.
+BATCH_WIDTH = 2_048
+FILES_PER_TRIGGER = 4
 
 
 @contextlib.contextmanager
@@ -53,25 +48,28 @@ def _run_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "replay", f"{name}-{uuid.uuid4().hex}")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Write a replay part as many files, so the stream parses it in parallel."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def _parallelism(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
 
 
-def chunked_records(feed: DataFrame, chunks: int = DEFAULT_CHUNKS,
-                    max_chunk: int | None = None) -> list[DataFrame]:
-    """The encoded feed cut into ``chunks`` equal offset ranges, in order
-    (more when ``max_chunk`` records per chunk would be exceeded)."""
-    recs = encode_messages(feed)
-    b = recs.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"),
-                 F.count(F.lit(1)).alias("n")).first()
-    if b["lo"] is None:
-        return []
-    if max_chunk:
-        chunks = max(chunks, -(-b["n"] // max_chunk))
-    width = (b["hi"] - b["lo"]) // chunks + 1
-    return [_spread(recs.where((F.col("offset") >= b["lo"] + i * width)
-                               & (F.col("offset") < b["lo"] + (i + 1) * width))) for i in range(chunks)]
+def write_batches(feed: DataFrame, path: str, batch_width: int = BATCH_WIDTH) -> None:
+    """Write the encoded feed so that each file holds whole batches."""
+    records = encode_messages(feed)
+    batch = F.floor(F.col("offset") / batch_width)
+    write_records(records.repartition(_parallelism(feed), batch), path)
+
+
+def write_in_order(records: DataFrame, path: str) -> None:
+    """Write records as files of consecutive offsets whose modification times
+    ascend, the order in which the file source takes them."""
+    spark = records.sparkSession
+    write_records(records.repartitionByRange(_parallelism(records), "offset").sortWithinPartitions("offset"), path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((f.getPath().getName(), f.getPath()) for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    now = max((f.getModificationTime() for f in fs.listStatus(folder)), default=0)
+    for i, (_, file) in enumerate(files):
+        fs.setTimes(file, now - 1000 * (len(files) - i), -1)
 
 
 def heartbeat(feed: DataFrame, after: str = "1 day") -> DataFrame:
@@ -92,7 +90,7 @@ def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour",
                                  delay: str = "10 minutes") -> DataFrame:
     spark = feed.sparkSession
     root = _run_dir(spark, "enrich-event-time")
-    write_records(_spread(encode_messages(feed)), f"{root}/records")
+    write_records(encode_messages(feed).repartition(_parallelism(feed)), f"{root}/records")
     write_records(heartbeat(feed), f"{root}/records")
     with _state_partitions(spark):
         q = start_event_time_enrichment(read_records_stream(spark, f"{root}/records"),
@@ -102,33 +100,29 @@ def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour",
     return spark.read.parquet(f"{root}/sink").drop("epoch")
 
 
-def replay_arrival_enrichment(feed: DataFrame, chunks: int = DEFAULT_CHUNKS,
+def replay_arrival_enrichment(feed: DataFrame, batch_width: int = BATCH_WIDTH,
                               nested: bool = False, as_coded: bool = False,
-                              root: str | None = None) -> DataFrame:
+                              root: str | None = None,
+                              files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     spark = feed.sparkSession
     root = root or _run_dir(spark, "enrich-arrival")
-    cap = MAX_AS_CODED_BATCH_RECORDS if as_coded else MAX_BATCH_RECORDS
-    for part in chunked_records(feed, chunks, max_chunk=cap):
-        write_records(part, f"{root}/records")
-        with _state_partitions(spark):
-            q = start_arrival_enrichment(
-                read_records_stream(spark, f"{root}/records"), f"{root}/sink",
-                f"{root}/checkpoint", rejects_path=f"{root}/rejects", nested=nested,
-                available_now=True, as_coded=as_coded)
-            q.awaitTermination()
+    write_batches(feed, f"{root}/records", batch_width)
+    with _state_partitions(spark):
+        q = start_arrival_enrichment(
+            read_records_stream(spark, f"{root}/records", max_per_trigger=files_per_trigger),
+            f"{root}/sink", f"{root}/checkpoint", rejects_path=f"{root}/rejects", nested=nested,
+            available_now=True, as_coded=as_coded, batch_width=batch_width)
+        q.awaitTermination()
     return spark.read.parquet(f"{root}/sink")
 
 
-def replay_rolling_extremes(feed: DataFrame, size: int = 11,
-                            chunks: int = DEFAULT_CHUNKS) -> DataFrame:
+def replay_rolling_extremes(feed: DataFrame, size: int = DEFAULT_WINDOW, files_per_trigger: int = 2) -> DataFrame:
     spark = feed.sparkSession
     root = _run_dir(spark, "rolling")
-    climate = feed.where(F.col("producer_id") == S.PRODUCER_CLIMATE)
-    for part in chunked_records(climate, chunks, max_chunk=MAX_CHUNK_READINGS):
-        write_records(part, f"{root}/records")
-        with _state_partitions(spark):
-            q = start_rolling_extremes(
-                read_records_stream(spark, f"{root}/records", topics=[S.TOPIC_CLIMATE]),
-                f"{root}/sink", f"{root}/checkpoint", size=size, available_now=True)
-            q.awaitTermination()
-    return spark.read.parquet(f"{root}/sink")
+    write_in_order(encode_messages(feed.where(F.col("producer_id") == S.PRODUCER_CLIMATE)), f"{root}/records")
+    with _state_partitions(spark):
+        q = start_rolling_extremes(
+            read_records_stream(spark, f"{root}/records", topics=[S.TOPIC_CLIMATE], max_per_trigger=files_per_trigger),
+            f"{root}/sink", f"{root}/checkpoint", size=size, available_now=True)
+        q.awaitTermination()
+    return spark.read.parquet(f"{root}/sink").drop("epoch")

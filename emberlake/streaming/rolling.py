@@ -1,74 +1,75 @@
-"""T4: live rolling extremes with keyed state (``applyInPandasWithState``).
-
-The state of a stream holds its newest ``size - 1`` readings and the
-running sequence number; each micro-batch's readings of that stream are
-ordered by arrival and emitted with the extremes of their window, exactly
-as the batch plan ``plans.reports.rolling_temperature_extremes`` computes
-them.  The state is bounded (``size - 1`` readings) whatever the stream
-length.
+"""T4: live rolling extremes, a carry table between micro-batches.
+
+Each micro-batch unions its readings with the carry of the epoch before (the
+newest ``size - 1`` readings of each stream with their sequence numbers) and
+runs the block-and-halo plan of ``operators.rolling`` on both, so a stream's
+readings are spread over tasks however many arrive at once.  Output and carry
+are written per epoch with partition overwrite: a retried micro-batch reads
+the same older carry and replaces its own output.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from emberlake.functions.labels import CAPTION_MAX, CAPTION_MIN, extremes_label_text
-from emberlake.operators.rolling import DEFAULT_WINDOW
+from emberlake.operators.rolling import DEFAULT_WINDOW, rolling_extremes
 from emberlake.plans.reports import climate_readings
-from emberlake.session import ship_package
 from emberlake.sources.messages import decode_messages
 
-OUTPUT_SCHEMA = ("stream string, arrival long, seq long, day_label string, temperature double, "
-                 "min_value double, min_label_at string, max_value double, max_label_at string, "
-                 "min_caption string, max_caption string")
-STATE_SCHEMA = "seq long, arrivals array<long>, labels array<string>, temps array<double>"
-
-
-def _roller(size: int):
-    def roll(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            seq, arrivals, labels, temps = state.get
-            arrivals, labels, temps = list(arrivals), list(labels), list(temps)
-        else:
-            seq, arrivals, labels, temps = 0, [], [], []
-        new = pd.concat(list(batches), ignore_index=True).sort_values("arrival", kind="stable")
-        rows = []
-        for arrival, label, temp in zip(new["arrival"], new["day_label"], new["temperature"]):
-            seq += 1
-            arrivals.append(int(arrival))
-            labels.append(label)
-            temps.append(float(temp))
-            if len(temps) == size:
-                lo, hi = min(temps), max(temps)
-                lo_at, hi_at = labels[temps.index(lo)], labels[temps.index(hi)]
-                rows.append((key[0], int(arrival), seq, label, float(temp), lo, lo_at, hi, hi_at,
-                             extremes_label_text(CAPTION_MIN, lo_at, lo),
-                             extremes_label_text(CAPTION_MAX, hi_at, hi)))
-                del arrivals[0], labels[0], temps[0]
-        state.update((seq, arrivals, labels, temps))
-        cols = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
-        yield pd.DataFrame(rows, columns=cols)
-    return roll
-
-
-def rolling_extremes_stream(records: DataFrame, size: int = DEFAULT_WINDOW) -> DataFrame:
-    ship_package(records.sparkSession)
-    good, _ = decode_messages(records)
-    readings = climate_readings(good)
-    return readings.groupBy("stream").applyInPandasWithState(
-        _roller(size), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+CARRY_SCHEMA = "stream string, arrival long, day_label string, temperature double, seq long, epoch long"
+
+
+def _carry_before(spark: SparkSession, path: str, epoch_id: int) -> DataFrame:
+    """The carry that the newest epoch below ``epoch_id`` left."""
+    try:
+        carry = spark.read.schema(CARRY_SCHEMA).parquet(path).where(F.col("epoch") < epoch_id)
+    except AnalysisException:  # no epoch yet
+        return spark.createDataFrame([], CARRY_SCHEMA).drop("epoch")
+    newest = carry.agg(F.max("epoch").alias("e")).first().e
+    return carry.where(F.col("epoch") == F.lit(newest)).drop("epoch")
+
+
+def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
+    (df.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
 
 
 def start_rolling_extremes(records: DataFrame, sink_path: str, checkpoint_path: str,
                            size: int = DEFAULT_WINDOW, processing_time: str | None = "10 seconds",
                            available_now: bool = False) -> StreamingQuery:
-    out = rolling_extremes_stream(records, size)
-    w = (out.writeStream.format("parquet").option("path", sink_path)
-         .option("checkpointLocation", checkpoint_path).outputMode("append"))
+    carry_path = f"{checkpoint_path.rstrip('/')}-carry"
+
+    def per_batch(batch_df: DataFrame, epoch_id: int) -> None:
+        spark = batch_df.sparkSession
+        new = climate_readings(decode_messages(batch_df)[0]).select("stream", "arrival", "day_label", "temperature")
+        carry = _carry_before(spark, carry_path, epoch_id)
+        # At most size - 1 rows a stream; base is the number before the carry.
+        base = carry.groupBy("stream").agg((F.min("seq") - 1).alias("base"), F.max("arrival").alias("last"))
+        readings = carry.drop("seq").unionByName(new).persist()
+        try:
+            rolled = rolling_extremes(readings, ["stream"], size=size).join(base, "stream", "left")
+            fresh = rolled.where(F.col("last").isNull() | (F.col("arrival") > F.col("last")))
+            _write_epoch(fresh.withColumn("seq", F.col("seq") + F.coalesce("base", F.lit(0))).drop("base", "last"),
+                         sink_path, epoch_id)
+            counted = readings.groupBy("stream").agg(F.count("*").alias("n")).join(base, "stream", "left")
+            newest = _newest(readings, size - 1).join(counted, "stream")
+            seq = F.coalesce("base", F.lit(0)) + F.col("n") - F.col("back") + 1
+            _write_epoch(newest.select("stream", "arrival", "day_label", "temperature", seq.alias("seq")), carry_path, epoch_id)
+        finally:
+            readings.unpersist()
+
+    w = records.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def _newest(readings: DataFrame, n: int) -> DataFrame:
+    """The ``n`` latest readings of each stream, ``back`` = 1 for the last.
+
+    Spark keeps at most ``n`` rows a stream and task before the shuffle, as
+    the rank is filtered by a constant."""
+    back = F.row_number().over(Window.partitionBy("stream").orderBy(F.desc("arrival")))
+    return readings.withColumn("back", back).where(F.col("back") <= n)

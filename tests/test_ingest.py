@@ -23,7 +23,7 @@ def test_climate_csv_typed_with_rejects(spark):
         (948701, 22.0, 0.13, "G", 201.0)
     last = rows[dt.date(2017, 12, 31)]        # last line, no trailing newline
     assert (last.precipitation, last.precipitation_type, last.ghi) == (0.35, "B", 240.0)
-    assert [x.date_text for x in bad.collect()] == ["1/1/19"]   # air temperature 'x'
+    assert [x.date for x in bad.collect()] == ["1/1/19"]   # air temperature 'x'
 
 
 def test_hotspot_csv_and_load(spark, tmp_dir):
@@ -31,7 +31,7 @@ def test_hotspot_csv_and_load(spark, tmp_dir):
     good, bad = C.normalize_hotspot_historic(raw)
     assert good.count() == 4 and bad.count() == 1
     docs = load_climate_documents(spark, f"{FIX}/climate_small.csv", f"{FIX}/hotspot_small.csv",
-                                  out_path=f"{tmp_dir}/docs")
+                                  out_path=f"{tmp_dir}/docs", rejects_path=f"{tmp_dir}/rejects")
     by_day = {r.date: r for r in docs.collect()}
     assert len(by_day) == 3                                   # one document per climate day
     assert len(by_day[dt.date(2018, 3, 5)].hotspots) == 2      # padded and unpadded day text
@@ -76,3 +76,35 @@ def test_messages_roundtrip_and_rejects(spark):
     assert sorted((r.offset, r.reject_reason) for r in bad.collect()) == [
         (10, "undecodable"), (11, "unknown_producer"), (12, "no_position"),
         (13, "no_timestamp"), (14, "undecodable")]
+
+
+def test_blank_measure_is_null_and_unreadable_is_rejected(spark):
+    cols = [f.name for f in S.CLIMATE_HISTORIC_CSV.fields]
+    raw = spark.createDataFrame([("1", "5/3/18", "22", "", "6", "12", " 0.13G", "2"), ("1", "6/3/18", "22", "n/a", "6", "12", " 0.1G", "2"),
+                                 ("", "7/3/18", "22", "1", "6", "12", " 0.1G", "2")], cols)
+    good, bad = C.normalize_climate_historic(raw)
+    assert [r.relative_humidity for r in good.collect()] == [None]
+    assert sorted(r.reject_reason for r in bad.collect()) == ["missing:station", "unreadable:relative_humidity"]
+
+
+def test_message_without_its_measure_is_rejected(spark):
+    value = '{"producer_id": "producer_climate", "latitude": 1.0, "longitude": 2.0, "created_date": "2019-01-01T00:00:00"}'
+    good, bad = decode_messages(spark.createDataFrame([("Climate", 0, 1, value)], RECORD))
+    assert good.count() == 0 and bad.first().reject_reason == "no_measure"
+
+
+def test_two_stations_on_a_day_stay_apart(spark):
+    from emberlake.operators.nest import nest_documents
+    from emberlake.plans.catalog import fires_per_day_nested
+    from emberlake.plans.warehouse import from_documents
+    day = dt.date(2018, 1, 3)
+    climate = spark.createDataFrame([(day, st, 1.0, 2.0, 3.0, 4.0, 0.1, "G", 5.0) for st in (1, 2)],
+                                    "date date, station int, air_temperature_celcius double, relative_humidity double, "
+                                    "windspeed_knots double, max_wind_speed double, precipitation double, "
+                                    "precipitation_type string, ghi double")
+    fires = spark.createDataFrame([(day, dt.datetime(2018, 1, 3, 4), 1.0, 2.0, 60.0, 50.0)] * 5,
+                                  "date date, time timestamp_ntz, latitude double, longitude double, confidence double, "
+                                  "surface_temperature_celcius double")
+    docs = nest_documents(climate, fires, max_items=2)
+    assert from_documents(docs)[0].count() == 2
+    assert [r.numberOfFires for r in fires_per_day_nested(docs).collect()] == [5, 5]

@@ -83,17 +83,14 @@ def test_number_within_matches_row_number(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, ref.collect()), key=repr)
 
 
-def rolling_loop(labels, temps, size=11):
-    """The report loop: keep a list, report min/max (first index) once full, drop oldest."""
-    x, y, out = [], [], []
-    for i, (lab, t) in enumerate(zip(labels, temps)):
-        x.append(lab)
-        y.append(t)
-        if len(y) > size - 1:
-            lo, hi = min(y), max(y)
-            out.append((i + 1, lo, x[y.index(lo)], hi, x[y.index(hi)]))
-            x.pop(0)
-            y.pop(0)
+def newest_windows(labels, temps, size=11):
+    """Extremes of each slice of ``size`` readings, first position on ties."""
+    out = []
+    for end in range(size, len(temps) + 1):
+        window = list(zip(temps, labels))[end - size:end]
+        low = min(window, key=lambda r: r[0])
+        high = max(window, key=lambda r: r[0])
+        out.append((end, *low, *high))
     return out
 
 
@@ -107,7 +104,7 @@ def test_rolling_blocks_equal_loop(spark):
                                "stream string, arrival long, day_label string, temperature double")
     got = rolling_extremes(df, ["stream"], block=16).orderBy("seq").select(
         "seq", "min_value", "min_label_at", "max_value", "max_label_at").collect()
-    assert [tuple(r) for r in got] == rolling_loop(labels, temps)
+    assert [tuple(r) for r in got] == newest_windows(labels, temps)
 
 
 def test_nest_chunks_and_unwind(spark):
@@ -171,30 +168,30 @@ def test_enrichment_edge_cases(spark):
     assert all(r.station == S.STREAM_STATION for r in docs.values())
 
 
-def scan_as_described(aqua, terra):
-    """Q1 as described: scan the shrinking TERRA list; emit the AQUA record
-    once per non-matching TERRA row passed, once more on a match (the same
-    record, later averaged); an empty TERRA side lets AQUA pass once."""
-    if not terra:
-        return [(a["arrival"], a["conf"], a["surf"], "aqua") for a in aqua]
-    if not aqua:
-        return [(t["arrival"], t["conf"], t["surf"], "terra") for t in terra]
-    remaining = list(terra)
-    emitted = []
+def counted_pairs(aqua, terra):
+    """Q1 in closed form: the i-th AQUA row of a cell pairs with the cell's
+    i-th TERRA row.  A paired row occurs once for each TERRA row up to its
+    own that no earlier pair took, an unpaired one once for each TERRA row
+    left at its turn (once if there never was any)."""
+    seats = {c: [n for n, t in enumerate(terra) if t["cell"] == c] for c in {t["cell"] for t in terra}}
+    turn = Counter()
+    taken, out = [], []
     for a in aqua:
-        rec = {"arrival": a["arrival"], "conf": a["conf"], "surf": a["surf"], "sat": "aqua"}
-        for t in list(remaining):
-            emitted.append(rec)
-            if t["cell"] == a["cell"]:
-                rec.update(conf=(a["conf"] + t["conf"]) / 2, surf=(a["surf"] + t["surf"]) / 2, sat="both")
-                remaining.remove(t)
-                break
-    emitted += [{"arrival": t["arrival"], "conf": t["conf"], "surf": t["surf"], "sat": "terra"}
-                for t in remaining]
-    return [(r["arrival"], r["conf"], r["surf"], r["sat"]) for r in emitted]
+        mine = seats.get(a["cell"], [])[turn[a["cell"]]:][:1]
+        turn[a["cell"]] += 1
+        if mine:
+            t = terra[mine[0]]
+            copies = mine[0] + 1 - sum(n < mine[0] for n in taken)
+            row = (a["arrival"], (a["conf"] + t["conf"]) / 2, (a["surf"] + t["surf"]) / 2, "both")
+        else:
+            copies = len(terra) - len(taken) if terra else 1
+            row = (a["arrival"], a["conf"], a["surf"], "aqua")
+        out += [row] * copies
+        taken += mine
+    return out + [(t["arrival"], t["conf"], t["surf"], "terra") for n, t in enumerate(terra) if n not in taken]
 
 
-def test_as_coded_pairing_equals_described_scan(spark):
+def test_as_coded_pairing_equals_closed_form(spark):
     from emberlake.functions.geo import with_geo_cell
     from emberlake.operators.pairing import pair_satellites_as_coded
     rng = random.Random(23)
@@ -210,7 +207,7 @@ def test_as_coded_pairing_equals_described_scan(spark):
                    "conf": float(rng.randint(50, 100)), "surf": float(rng.randint(30, 120))}
             (aqua if sat == S.PRODUCER_AQUA else terra).append(rec)
             rows.append(hotspot_msg(b, arrival, sat, rec["cell"], rec["conf"], rec["surf"]))
-        for p in scan_as_described(aqua, terra):
+        for p in counted_pairs(aqua, terra):
             expected[(b, *p)] += 1
     df = with_geo_cell(spark.createDataFrame(rows, MSG_SCHEMA))
     got = pair_satellites_as_coded(df).select(

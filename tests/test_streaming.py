@@ -1,7 +1,6 @@
 """Streaming jobs equal their batch plans; restarts add nothing."""
 
-import os
-
+import pytest
 from pyspark.sql import functions as F
 
 from emberlake.operators.enrich import enrich_flat
@@ -26,6 +25,36 @@ def test_stream_rolling_equals_batch(spark):
     same_rows(SR.replay_rolling_extremes(feed), R.rolling_temperature_extremes(feed))
 
 
+def test_batch_membership_does_not_depend_on_files_or_trigger(spark):
+    feed = W.feed(spark, SF_SMALL)
+    runs = [SR.replay_arrival_enrichment(feed, batch_width=256, files_per_trigger=n) for n in (1, 100)]
+    same_rows(*runs)
+    coded = [SR.replay_arrival_enrichment(feed, batch_width=256, as_coded=True, files_per_trigger=n) for n in (1, 100)]
+    same_rows(*coded)
+
+
+def test_as_coded_stream_needs_a_width(spark, tmp_dir):
+    with pytest.raises(ValueError):
+        start_arrival_enrichment(spark.range(1), tmp_dir, tmp_dir, as_coded=True)
+
+
+def test_nested_sink_holds_the_flat_rows(spark):
+    feed = W.feed(spark, SF_SMALL)
+    flat = SR.replay_arrival_enrichment(feed, batch_width=256)
+    docs = SR.replay_arrival_enrichment(feed, batch_width=256, nested=True)
+    cols = ["batch_id", "date", "ghi", "time", "latitude", "confidence", "cause"]
+    opened = docs.select("batch_id", "date", "ghi", F.explode_outer("hotspots").alias("h")).select(
+        "batch_id", "date", "ghi", "h.time", "h.latitude", "h.confidence", "h.cause")
+    same_rows(flat.select(*cols), opened.select(*cols))
+
+
+def test_rolling_stream_over_micro_batches(spark):
+    """A missing temperature is rejected before either plan sees it."""
+    feed = W.feed(spark, SF_SMALL)
+    one = SR.replay_rolling_extremes(feed, files_per_trigger=100)
+    same_rows(SR.replay_rolling_extremes(feed, files_per_trigger=1), one)
+
+
 def test_stream_event_time_equals_batch(spark):
     feed = W.feed(spark, SF_SMALL)
     same_rows(SR.replay_event_time_enrichment(feed), enrich_flat(feed))
@@ -36,14 +65,14 @@ def test_arrival_stream_restart_and_rejects(spark, tmp_dir):
     write_records(spark.createDataFrame([("Climate", 0, 10**9, "garbage")],
                                         "topic string, partition int, offset long, value string"),
                   f"{tmp_dir}/records")
-    first = SR.replay_arrival_enrichment(feed, chunks=3, root=tmp_dir)
+    first = SR.replay_arrival_enrichment(feed, batch_width=400, root=tmp_dir)
     n_docs = first.count()
-    # one micro-batch per chunk (the garbage record rides in the first)
+    # batches are 400 arrivals each, however the files were grouped
     assert sorted(r.batch_id for r in first.select("batch_id").distinct().collect()) == [0, 1, 2]
     assert spark.read.parquet(f"{tmp_dir}/rejects").where(F.col("reject_reason") == "undecodable").count() == 1
     q = start_arrival_enrichment(read_records_stream(spark, f"{tmp_dir}/records"), f"{tmp_dir}/sink",
                                  f"{tmp_dir}/checkpoint", rejects_path=f"{tmp_dir}/rejects",
-                                 available_now=True)
+                                 available_now=True, batch_width=400)
     q.awaitTermination()                      # restart with nothing new: no output added
     assert spark.read.parquet(f"{tmp_dir}/sink").count() == n_docs
 
@@ -51,13 +80,16 @@ def test_arrival_stream_restart_and_rejects(spark, tmp_dir):
 def test_processing_time_trigger_bounded_run(spark, tmp_dir):
     from emberlake.streaming.enrich import run_for
     feed = W.feed(spark, SF_SMALL)
-    for part in SR.chunked_records(feed, 2):
-        write_records(part, f"{tmp_dir}/records")
-    q = start_arrival_enrichment(read_records_stream(spark, f"{tmp_dir}/records", max_per_trigger=4),
+    SR.write_batches(feed, f"{tmp_dir}/records", 400)
+    q = start_arrival_enrichment(read_records_stream(spark, f"{tmp_dir}/records", max_per_trigger=1),
                                  f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", processing_time="1 second")
     run_for(q, 25)                          # T5: bounded run, then a graceful stop
     assert not q.isActive
-    assert spark.read.parquet(f"{tmp_dir}/sink").select("batch_id").distinct().count() >= 1
+    # every message of the feed was read, in the micro-batches that the sink names
+    progress = [x for x in q.recentProgress if x["numInputRows"] > 0]
+    assert len({x["batchId"] for x in progress}) >= 2
+    ids = {r.batch_id for r in spark.read.parquet(f"{tmp_dir}/sink").select("batch_id").distinct().collect()}
+    assert ids <= {x["batchId"] for x in progress}
 
 
 def test_rejects_stream(spark, tmp_dir):
@@ -65,7 +97,8 @@ def test_rejects_stream(spark, tmp_dir):
     write_records(spark.createDataFrame(
         [("Climate", 0, 1, "garbage"),
          ("Hotspot_AQUA", 0, 2, '{"producer_id": "producer_hotspot_aqua", "latitude": 1.0, '
-                                '"longitude": 2.0, "created_time": "2019-01-01T00:00:00"}')],
+                                '"longitude": 2.0, "confidence": 70, "surface_temperature_celcius": 50, '
+                                '"created_time": "2019-01-01T00:00:00"}')],
         "topic string, partition int, offset long, value string"), f"{tmp_dir}/records")
     q = start_rejects(read_records_stream(spark, f"{tmp_dir}/records"), f"{tmp_dir}/rejects",
                       f"{tmp_dir}/ckpt", available_now=True)
