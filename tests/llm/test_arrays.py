@@ -93,12 +93,13 @@ def test_weighted_sampling_estimates_similarity():
     assert abs(np.mean(runs) - neardup.weighted_jaccard((a, wa), (b, wb))) < 0.03
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_components(spark, one_task):
     edges = [(i + 1, i) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
-    out = {r.node: r.root for r in components(spark.createDataFrame(edges, "v long, u long")).collect()}
+    out = {r.node: r.root for r in components(spark.createDataFrame(edges, "v long, u long"), one_task_edges=one_task).collect()}
     want = {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
     assert out == want
-    assert components(spark.createDataFrame([], "v long, u long")).collect() == []
+    assert components(spark.createDataFrame([], "v long, u long"), one_task_edges=one_task).collect() == []
 
 
 def plain_repeats(rows):
