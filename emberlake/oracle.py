@@ -284,7 +284,7 @@ SELECT latitude, longitude,
               CAST(trunc(air_temperature_celcius) AS INTEGER),
               CAST(trunc(relative_humidity) AS INTEGER)) AS popup,
        confidence
-FROM enriched WHERE time >= TIMESTAMP '2019-01-01 00:00:00'"""
+FROM enriched WHERE time >= TIMESTAMP '2024-01-15 00:00:00'"""
     q["rolling_temperature_extremes"] = _with(_feed(), ROLLING) + """
 SELECT stream, arrival, seq, day_label, temperature,
        lo.v AS min_value, lo.l AS min_label_at, hi.v AS max_value, hi.l AS max_label_at,

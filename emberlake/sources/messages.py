@@ -99,7 +99,11 @@ def decode_messages(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     timestamp or one of their producer's measures go to the rejects instead
     of failing the batch.
     """
-    d = decode_records(records)
+    return split_decoded(decode_records(records))
+
+
+def split_decoded(d: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The good messages and the rejects of ``decode_records``."""
     good = d.where(F.col("reject_reason").isNull()).select(
         "arrival", F.col("m.producer_id").alias("producer_id"), "event_ts",
         *[F.col(f"m.{c}").alias(c) for c in _MESSAGE_COLUMNS])

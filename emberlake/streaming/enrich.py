@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from emberlake.functions.geo import with_geo_cell
 from emberlake.functions.parse import ntz_from_micros, wall_micros
 from emberlake.operators.enrich import enrich_documents, enrich_flat
-from emberlake.sources.messages import decode_messages
+from emberlake.sources.messages import decode_messages, decode_records, split_decoded
 
 _MSG_COLUMNS = ["arrival", "producer_id", "event_ts", "latitude", "longitude",
                 "air_temperature_celcius", "relative_humidity", "windspeed_knots",
@@ -55,12 +55,12 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str, checkpoint_path
         raise ValueError("the as-coded pairing needs batch_width, which bounds its groups")
 
     def per_batch(batch_df: DataFrame, epoch_id: int) -> None:
-        # Read by several branches below: one pass over the source, kept.
-        batch_df.persist()
+        # Read by several branches below: one pass over the source, parsed once and kept.
+        decoded = decode_records(batch_df).persist()
         try:
-            if batch_df.count() == 0:
+            if decoded.count() == 0:
                 return
-            good, rejects = decode_messages(batch_df)
+            good, rejects = split_decoded(decoded)
             batch = F.floor(F.col("arrival") / batch_width) if batch_width else F.lit(epoch_id)
             msgs = good.withColumn("batch", batch.cast("long"))
             flat = enrich_flat(msgs, check_sizes=False, as_coded=as_coded)
@@ -70,7 +70,7 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str, checkpoint_path
                 _overwrite_partitions(rejects.withColumn("batch_id", F.lit(epoch_id).cast("long")),
                                       rejects_path, "batch_id")
         finally:
-            batch_df.unpersist()
+            decoded.unpersist()
 
     w = records.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_path)
     return _trigger(w, processing_time, available_now).start()

@@ -40,4 +40,13 @@ def test_modules_import_without_a_session():
             % os.path.join(root, "__spark_entry__.py"))
     out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", capture_output=True, text=True, timeout=120)
     assert out.returncode == 0, out.stderr[-2000:]
-    assert int(out.stdout.strip()) == len(E.queries())
+    assert int(out.stdout.split()[-1]) == len(E.queries())
+
+
+def test_entry_works_without_the_optional_subpackage():
+    import subprocess
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.path.insert(0, %r); sys.modules['emberlake.llm'] = None; import __spark_entry__ as e; "
+            "assert set(e.queries()) == set(e.reference_queries()); print(len(e.oracle_sql()))" % root)
+    out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
