@@ -89,18 +89,19 @@ def chunks(offsets: np.ndarray, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tupl
 
 @dataclass
 class Words:
-    """The words of some rows: hash and row of each, and words per row."""
+    """The words of some rows: hash, row and bytes of each, and words per row."""
 
     hashes: np.ndarray
     rows: np.ndarray
     counts: np.ndarray
+    lengths: np.ndarray
 
 
 def words(raw: np.ndarray, offsets: np.ndarray) -> Words:
     """Words of the rows that ``offsets`` (starting at 0) cut from ``raw``."""
     n_rows = len(offsets) - 1
     if len(raw) == 0:
-        return Words(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(n_rows, np.int64))
+        return Words(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(n_rows, np.int64), np.zeros(0, np.int64))
     inside = _IS_WORD[raw]
     edge = np.zeros(len(raw) + 1, dtype=bool)
     edge[offsets] = True
@@ -118,7 +119,7 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> Words:
     np.cumsum(_BYTE[_LOWER[raw]] * up[:-1], out=sums[1:])
     hashes = mix((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64))
     rows = np.searchsorted(offsets, starts, side="right") - 1
-    return Words(hashes, rows, np.bincount(rows, minlength=n_rows))
+    return Words(hashes, rows, np.bincount(rows, minlength=n_rows), stops - starts)
 
 
 _PLACES = mix(np.arange(1, SHINGLE_WORDS + 1, dtype=np.uint64)) | np.uint64(1)

@@ -26,14 +26,18 @@ empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlake.llm.common import OWN, staged, text_or_empty
+from emberlake.llm.common import OWN, staged, text_or_empty, with_code
+from emberlake.llm.text import chunks, text_bytes, words
 
 FOLDS = 5
 MAX_TRAINING_ROWS = 40_000
@@ -41,7 +45,7 @@ MIN_TRAINING_ROWS = 40
 CALIBRATION_SHARE = 4  # one learning row in so many calibrates
 LEARNED_WORDS = 200
 MIN_WORD_DOCS = 5
-NEAR_CHARS = 40
+NEAR_WORDS = 6
 
 # Insults and second-person words of the four languages.
 INSULTS = (
@@ -53,53 +57,106 @@ INSULTS = (
 )
 SECOND_PERSON = ("you", "your", "yours", "u", "ur", "du", "dich", "dir", "dein", "tu", "toi", "te", "vous", "ti", "usted")
 LEET_FROM, LEET_TO = "0134578@$!", "oieastbasi"
-FEATURES = ("insults", "learned", "near_you", "you", "capitals", "capital_words", "marks", "mark_runs",
-            "digits_in_words", "spaced_letters", "hidden_insults", "any_insult", "any_learned")
-
-_START, _STOP = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
-
-
-def _any(words) -> str:
-    return _START + "(?:" + "|".join(sorted(words, key=lambda w: (-len(w), w))) + ")" + _STOP
-
-
-def _count(c: Column, pattern: str) -> Column:
-    return F.regexp_count(c, F.lit(pattern)).cast("double")
-
-
-def with_features(docs: DataFrame, text_col: str, learned: list[str]) -> DataFrame:
-    """``docs`` plus the dense features of the whole text."""
-    t, low, plain, n = OWN + "t", OWN + "low", OWN + "plain", OWN + "n"
-    df = docs.withColumn(t, text_or_empty(text_col))
-    df = df.withColumn(low, F.lower(t))
-    df = df.withColumn(n, F.greatest(F.lit(1.0), _count(F.col(t), r"\S+")))
-    insult = _any(INSULTS)
-    you = _any(SECOND_PERSON)
-    near = f"{you}[^.!?\\n]{{0,{NEAR_CHARS}}}{insult}|{insult}[^.!?\\n]{{0,{NEAR_CHARS}}}{you}"
-    odd = r"\p{L}[0-9@$!*]+\p{L}"
-    spaced = r"(?<!\S)(?:\p{L}[ .*_-]){3,}\p{L}(?!\S)"
-    df = df.withColumn(OWN + "insults", _count(F.col(low), insult))
-    has_odd = F.col(low).rlike(odd)
-    df = df.withColumn(plain, F.when(has_odd, F.translate(low, LEET_FROM, LEET_TO)))
-    hit = F.col(OWN + "insults")
-    none = F.lit(0.0)
-    counts = {
-        "insults": hit,
-        "learned": _count(F.col(low), _any(learned)) if learned else none,
-        "near_you": F.when(hit > 0, _count(F.col(low), near)).otherwise(none),
-        "you": _count(F.col(low), you),
-        "capitals": _count(F.col(t), r"\p{Lu}") / 5,
-        "capital_words": _count(F.col(t), r"(?<!\p{L})\p{Lu}{3,}(?!\p{L})"),
-        "marks": _count(F.col(t), r"[!?]"),
-        "mark_runs": _count(F.col(t), r"[!?]{2,}"),
-        "digits_in_words": F.when(has_odd, _count(F.col(low), odd)).otherwise(none),
-        "spaced_letters": _count(F.col(low), spaced),
-        "hidden_insults": F.when(has_odd, F.greatest(none, _count(F.col(plain), insult) - hit)).otherwise(none),
-    }
-    rates = {k: (v / F.col(n)).alias(k) for k, v in counts.items()}
-    rates["any_insult"] = F.least(hit, F.lit(3.0)).alias("any_insult")
-    rates["any_learned"] = F.least(counts["learned"], F.lit(3.0)).alias("any_learned")
-    return df.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(*[rates[k] for k in FEATURES]).alias(OWN + "f"))
+FEATURES = ("insults", "learned", "near_you", "you", "capitals", "capital_runs", "marks", "mark_runs",
+            "odd_in_words", "spaced_letters", "hidden_insults", "any_insult", "any_learned")
+
+_LEET = np.arange(256, dtype=np.uint8)
+for _a, _b in zip(LEET_FROM, LEET_TO, strict=True):
+    _LEET[ord(_a)] = ord(_b)
+_ODD = np.zeros(256, dtype=bool)
+_ODD[[ord(c) for c in "0123456789@$!*"]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+class Lexicon:
+    """A set of words, looked up by their hashes."""
+
+    def __init__(self, entries):
+        raw, offsets = text_bytes(pa.array(sorted(entries), pa.string()))
+        self.hashes = np.unique(words(raw, offsets).hashes)
+        self.low = np.zeros(1 << 16, dtype=bool)
+        self.low[self.hashes & np.uint64(0xFFFF)] = True
+
+    def among(self, hashes: np.ndarray) -> np.ndarray:
+        out = self.low[hashes & np.uint64(0xFFFF)]
+        i = np.flatnonzero(out)
+        out[i] = np.isin(hashes[i], self.hashes)
+        return out
+
+
+def _starts(x: np.ndarray, n: int, same: np.ndarray | None = None) -> np.ndarray:
+    """Where runs of at least ``n`` true values start; a run stays within
+    equal values of ``same``."""
+    def joined(k: int) -> np.ndarray:
+        y = np.zeros_like(x)
+        m = max(0, len(x) - k)
+        y[:m] = x[k:] if same is None else x[k:] & (same[k:] == same[:m])
+        return y
+
+    out = x.copy()
+    for k in range(1, n):
+        out &= joined(k)
+    before = np.zeros_like(x)
+    before[1:] = x[:-1] if same is None else x[:-1] & (same[1:] == same[:-1])
+    return out & ~before
+
+
+def dense_features(raw: np.ndarray, offsets: np.ndarray, insults: Lexicon, learned: Lexicon, you: Lexicon) -> np.ndarray:
+    """One row of ``FEATURES`` for each text that ``offsets`` cut from ``raw``."""
+    def by_row(x: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(x)])
+        return (total[offsets[1:]] - total[offsets[:-1]]).astype(np.float64)
+
+    def per_row(x: np.ndarray) -> np.ndarray:
+        return np.bincount(w.rows, weights=x, minlength=len(offsets) - 1)
+
+    w = words(raw, offsets)
+    hit, taught, second = (lexicon.among(w.hashes) for lexicon in (insults, learned, you))
+    first = np.cumsum(w.counts) - w.counts
+    at = np.flatnonzero(hit)
+    seen = np.concatenate([[0], np.cumsum(second)])
+    row = w.rows[at]
+    near = np.zeros(len(hit))
+    near[at] = seen[np.minimum(at + NEAR_WORDS + 1, first[row] + w.counts[row])] > seen[np.maximum(at - NEAR_WORDS, first[row])]
+    upper, mark = (raw >= 65) & (raw <= 90), (raw == ord("!")) | (raw == ord("?"))
+    letter = _LETTER[raw]
+    odd = _ODD[raw]
+    odd[1:] &= letter[:-1]
+    odd[:1] = False
+    odd[:-1] &= letter[1:]
+    odd[-1:] = False
+    odd_rows = by_row(odd)
+    hidden = np.zeros(len(offsets) - 1)
+    if odd_rows.any():
+        plain = words(_LEET[raw], offsets)
+        undone = np.bincount(plain.rows, weights=insults.among(plain.hashes), minlength=len(hidden))
+        hidden = np.where(odd_rows > 0, np.maximum(0, undone - per_row(hit)), 0)
+    n = np.maximum(1, w.counts)
+    counts = [per_row(hit), per_row(taught), per_row(near), per_row(second), by_row(upper), by_row(_starts(upper, 3)),
+              by_row(mark), by_row(_starts(mark, 2)), odd_rows, per_row(_starts(w.lengths == 1, 4, w.rows)), hidden]
+    return np.stack([*[c / n for c in counts], np.minimum(counts[0], 3), np.minimum(counts[1], 3)], axis=1)
+
+
+def with_features(texts: DataFrame, learned: list[str]) -> DataFrame:
+    """``texts``, whose last column is the text, with the features (array)
+    in its place."""
+    with_code(texts.sparkSession)
+    kept = texts.schema.fields[:-1]
+    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in kept], "f array<double>"])
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicons = Lexicon(INSULTS), Lexicon(learned), Lexicon(SECOND_PERSON)
+        for batch in batches:
+            raw, offsets = text_bytes(batch.column(batch.num_columns - 1))
+            rows = [dense_features(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], *lexicons)
+                    for a, b in chunks(offsets)]
+            flat = np.concatenate([np.zeros((0, len(FEATURES))), *rows]).ravel()
+            ends = np.arange(batch.num_rows + 1, dtype=np.int32) * len(FEATURES)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=[f.name for f in kept] + ["f"])
+
+    return texts.mapInArrow(describe, schema).withColumn("features", array_to_vector("f")).drop("f")
 
 
 def fold_of(id_col: str) -> Column:
@@ -138,10 +195,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         score = F.lit(float(stats.share))
         return source.select(F.col(OWN + "id").alias(id_col), held, score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
     lexicon = learned_lexicon(texts)
-    gather = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     calibrates = F.pmod(F.xxhash64(OWN + "id", F.lit(3)), F.lit(CALIBRATION_SHARE)) == 0
-    train = gather.transform(staged(with_features(texts, "t", lexicon).select(
-        "label", calibrates.alias("calibrates"), f"{OWN}f.*"), "tox-features"))
+    train = staged(with_features(texts.select("label", calibrates.alias("calibrates"), "t"), lexicon), "tox-features")
     trees = GBTClassifier(labelCol="label", maxIter=20, maxDepth=3, maxBins=32, stepSize=0.2, seed=7).fit(
         train.filter("NOT calibrates"))
 
@@ -150,7 +205,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
     calibration = IsotonicRegression(featuresCol="margin", labelCol="label").fit(
         raw(train.filter("calibrates")).select("margin", "label"))
-    scored = gather.transform(with_features(source, "text", lexicon).select(OWN + "id", f"{OWN}f.*"))
+    scored = with_features(source.select(OWN + "id", text_or_empty("text").alias("t")), lexicon)
     scored = calibration.setPredictionCol("p").transform(raw(scored).select(OWN + "id", "margin"))
     score = F.least(F.greatest(F.col("p"), F.lit(0.0)), F.lit(1.0))
     return scored.select(F.col(OWN + "id").alias(id_col), held, score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
