@@ -42,8 +42,3 @@ def any_case(word: str) -> str:
     non-ASCII letters a flag folds.
     """
     return "".join(f"[{c.upper()}{c}]" if c.isascii() and c.isalpha() and c.islower() else c for c in word)
-
-
-def clean_name(df: DataFrame, *names: str) -> DataFrame:
-    """Drop a caller's extra columns that carry an operator's own prefix."""
-    return df.drop(*[c for c in df.columns if c.startswith(OWN)], *names)
