@@ -82,6 +82,24 @@ def test_hot_group_of_near_copies(spark):
     assert all(out[100 + i] == 100 + i for i in range(120))
 
 
+def test_links_are_searched_to_the_end(spark, monkeypatch):
+    """Couples in one bucket, so that a leader finds one link, beside 1,500 links found at once."""
+    monkeypatch.setattr(neardup, "verified_pairs", lambda pairs, *_: pairs.filter("v - u = 1 AND u % 2 = 0"))
+    couples = [(i, 7) for i in range(40)]
+    easy = [(1000 + 10 * i + j, 100 + i) for i in range(1500) for j in (0, 1)]
+    keys = spark.createDataFrame(couples + easy, "nid long, key long")
+    nodes = keys.select("nid", F.array_repeat(F.lit(1), neardup.SAMPLES).alias("sig"))
+    roots = {r.nid: r.root for r in neardup.node_components(staged(keys, "k"), staged(nodes, "n"), None, None, 0.8).collect()}
+    assert all(roots[i] == i - i % 2 for i in range(40))
+    assert all(roots[1001 + 10 * i] == 1000 + 10 * i for i in range(1500))
+
+
+def test_signature_filter_misses_less_than_the_bands():
+    rng = np.random.default_rng(4)
+    agree = rng.binomial(neardup.SAMPLES, neardup.THRESHOLD, 2_000_000)
+    assert (agree < neardup.least_agreement(neardup.THRESHOLD)).mean() < (1 - neardup.THRESHOLD ** neardup.ROWS) ** neardup.BANDS
+
+
 def test_weighted_sampling_estimates_similarity():
     rng = np.random.default_rng(3)
     h = rng.integers(0, 1 << 48, 400, dtype=np.uint64)
