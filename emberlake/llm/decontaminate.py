@@ -8,7 +8,11 @@ starting every ``2**(j+1)``, so an item's passage lies within one window
 whatever the document's length.  An item with at least ``threshold`` of its
 shingles there has a Jaccard similarity with that window above a bound that
 is the same in every class; the number of one-row bands is set so that the
-chance to miss such a window is below ``MISS``.  Candidates are verified by
+chance to miss such a window is below ``MISS``.  The bound needs ``2**j``
+distinct shingles.  An item that repeats itself and has fewer is looked up
+exactly: a document that holds ``threshold`` of its distinct shingles holds
+one of any ``distinct - threshold * distinct + 1`` of them, and so many are
+searched among all shingles.  Candidates are verified by
 exact containment: the share of the item's distinct shingles that the whole
 document holds.
 
@@ -63,11 +67,15 @@ class SizeClass:
 
 @dataclass
 class ItemIndex:
-    """Distinct sorted shingles of each item and the size classes."""
+    """Distinct sorted shingles of each item, the size classes, and the
+    looked-up shingles of the items that repeat themselves."""
 
     shingles: list[np.ndarray]
     multipliers: np.ndarray
     classes: list[SizeClass]
+    looked_up: np.ndarray
+    looked_up_items: np.ndarray
+    looked_up_seen: np.ndarray  # a bitmap of the low bits
 
 
 _LOW = np.uint64(0xFFFF)
@@ -84,8 +92,10 @@ def build_index(texts: pa.Array, threshold: float) -> ItemIndex:
     classes = []
     size = np.zeros(len(texts), dtype=np.int64)
     size[lengths > 0] = np.floor(np.log2(lengths[lengths > 0])).astype(np.int64)
-    for j in np.unique(size[lengths > 0]):
-        of = np.flatnonzero((lengths > 0) & (size == j))
+    n_distinct = np.array([len(x) for x in sets], dtype=np.int64)
+    banded = (lengths > 0) & (n_distinct >= 1 << size)
+    for j in np.unique(size[banded]):
+        of = np.flatnonzero(banded & (size == j))
         c = SizeClass(stride=2 << int(j))
         for a in multipliers:
             least = np.array([(sets[i] * a).min() for i in of], dtype=np.uint64)
@@ -96,7 +106,14 @@ def build_index(texts: pa.Array, threshold: float) -> ItemIndex:
             c.items.append(of[order])
             c.seen.append(seen)
         classes.append(c)
-    return ItemIndex(sets, multipliers, classes)
+    repeating = np.flatnonzero((lengths > 0) & ~banded)
+    enough = [sets[i][:len(sets[i]) - max(1, math.ceil(threshold * len(sets[i]) - 1e-9)) + 1] for i in repeating]
+    looked_up = np.concatenate([np.zeros(0, dtype=np.uint64), *enough])
+    order = np.argsort(looked_up, kind="stable")
+    seen = np.zeros(1 << 16, dtype=bool)
+    seen[looked_up & _LOW] = True
+    of = np.repeat(repeating, [len(x) for x in enough])
+    return ItemIndex(sets, multipliers, classes, looked_up[order], of[order], seen)
 
 
 def _windows(rows: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,8 +126,17 @@ def _windows(rows: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray, np.
     return starts, block_rows, np.append(block_rows[1:] == block_rows[:-1], False)
 
 
+def _meeting(keys: np.ndarray, items: np.ndarray, values: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Distinct (row, item) pairs of equal values and sorted keys."""
+    left = np.searchsorted(keys, values, side="left")
+    n = np.searchsorted(keys, values, side="right") - left
+    at = np.repeat(left - np.cumsum(n) + n, n) + np.arange(n.sum())
+    return np.unique(np.stack([np.repeat(rows, n), items[at]], axis=1), axis=0)
+
+
 def candidates(index: ItemIndex, h: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Distinct (row, item) pairs some window of the row shares a minimum with."""
+    """Distinct (row, item) pairs some window of the row shares a minimum
+    with, or whose row has a looked-up shingle."""
     found = [np.zeros((0, 2), dtype=np.int64)]
     if len(h) == 0:
         return found[0]
@@ -124,11 +150,10 @@ def candidates(index: ItemIndex, h: np.ndarray, rows: np.ndarray) -> np.ndarray:
             hit = np.flatnonzero(c.seen[band][window & _LOW])
             if not len(hit):
                 continue
-            minima, items, value = c.minima[band], c.items[band], window[hit]
-            left = np.searchsorted(minima, value, side="left")
-            n = np.searchsorted(minima, value, side="right") - left
-            at = np.repeat(left - np.cumsum(n) + n, n) + np.arange(n.sum())
-            found.append(np.unique(np.stack([np.repeat(block_rows[hit], n), items[at]], axis=1), axis=0))
+            found.append(_meeting(c.minima[band], c.items[band], window[hit], block_rows[hit]))
+    hit = np.flatnonzero(index.looked_up_seen[h & _LOW])
+    if len(hit):
+        found.append(_meeting(index.looked_up, index.looked_up_items, h[hit], rows[hit]))
     return np.unique(np.concatenate(found), axis=0)
 
 

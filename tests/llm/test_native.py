@@ -143,3 +143,13 @@ def test_containment_matches_sql(spark):
     assert pairs.count((103, 3)) == 2 and (None, 4) in pairs and (102, 92) in pairs
     kept = decontaminate.drop_contaminated(docs, bench)
     assert {r.doc_id for r in kept.collect()} == {100, 101, 104, 105} - {p[0] for p in pairs}
+
+
+def test_items_that_repeat_themselves_match_sql(spark):
+    rng = random.Random(12)
+    refrains = [f"left{i} right{i} " * 34 for i in range(25)]
+    refrains += [" ".join(f"r{i}x{k % 8}" for k in range(68)) for i in range(25)]
+    items = spark.createDataFrame(list(enumerate(refrains)), "item_id long, text string")
+    docs = documents(spark, [(i, prose(rng, 90) + "\n" + t + "\n" + prose(rng, 90)) for i, t in enumerate(refrains)])
+    same_rows(decontaminate.contaminated(docs, items), decontaminate.ORACLE, documents=docs, benchmark=items)
+    assert decontaminate.drop_contaminated(docs, items).count() == 0
