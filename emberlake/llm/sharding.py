@@ -4,8 +4,8 @@ Every record has a key (here a hash of its text, so equal texts are
 neighbours) and a size.  A size-weighted sample of the keys is drawn, its
 quantiles become the boundaries of many fine ranges, and the records are
 range-partitioned by them.  One exact aggregate gives each range's bytes and
-rows; a range with more than its share of bytes, such as one key that a third
-of the records carry, is subdivided by the records' own hashes until each
+rows; a range with more than its share of bytes or of rows, such as one key that
+a third of the records carry, is subdivided by the records' own hashes until each
 part is near the share.  Consecutive ranges then make up a shard of near equal bytes,
 and a record's slot is its rank in its range plus the rows before the range.
 
@@ -25,6 +25,8 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,8 +83,10 @@ def shard_records(records: DataFrame, n_shards: int = N_SHARDS, ranges_per_shard
     share = max(1.0, total / n_ranges)
     splitters = _splitters(records, total, n_ranges, sample_per_range)
     ranged = records.withColumn(OWN + "range", _range_of(F.col("key"), splitters))
-    sizes = ranged.groupBy(OWN + "range").agg(F.sum("size").alias("bytes")).collect()
-    parts = {r[0]: int(-(-r.bytes // share)) for r in sizes if r.bytes > OVERFULL * share}
+    sizes = ranged.groupBy(OWN + "range").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()
+    row_share = max(1.0, sum(r.rows for r in sizes) / n_ranges)
+    shares = {r[0]: max(r.bytes / share, r.rows / row_share) for r in sizes}
+    parts = {k: math.ceil(n) for k, n in shares.items() if n > OVERFULL}
     own = F.lit(0)
     if parts:
         n_parts = F.transform(F.array(F.from_json(F.lit("{" + ",".join(f'"{k}":{v}' for k, v in parts.items()) + "}"),
@@ -102,7 +106,7 @@ def shard_records(records: DataFrame, n_shards: int = N_SHARDS, ranges_per_shard
     cell = [OWN + "range", OWN + "part"]
     places = spark.createDataFrame(layout, f"{cell[0]} int, {cell[1]} int, shard int, {OWN}first long")
     rank = F.row_number().over(Window.partitionBy(*cell).orderBy("key", "rid"))
-    # One row for each range: at most n_ranges and as many parts again.
+    # One row for each range: at most n_ranges and twice as many parts again.
     placed = cells.withColumn(OWN + "rank", rank).join(F.broadcast(places), cell)
     return placed.withColumn("slot", F.col(OWN + "first") + F.col(OWN + "rank") - 1)
 

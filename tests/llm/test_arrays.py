@@ -228,6 +228,20 @@ def test_sharding(spark):
     assert sharding.shard_documents(documents(spark, [])).collect() == []
 
 
+def test_many_empty_texts_are_subdivided(spark, monkeypatch):
+    """A third of all rows has no text: few bytes, many rows."""
+    cells = []
+    monkeypatch.setattr(sharding, "staged", lambda df, name: cells.append((name, staged(df, name))) or cells[-1][1])
+    rng = random.Random(13)
+    rows = [(i, prose(rng, 120)) for i in range(400)] + [(1000 + i, None if i % 2 else "") for i in range(200)]
+    out = sharding.shard_records(sharding.staged(documents(spark, rows).select(
+        F.col("doc_id").alias("rid"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"),
+        (F.octet_length(F.coalesce("text", F.lit(""))) + 1).cast("long").alias("size")), "shard-records"), 4, 8).collect()
+    assert len(sizes_near(out, 4)) == 4 and len(out) == len(rows)
+    windows = dict(cells)["shard-cells"].groupBy(sharding.OWN + "range", sharding.OWN + "part").count()
+    assert windows.agg(F.max("count")).first()[0] < 3 * len(rows) / 32
+
+
 def test_write_shards(spark, tmp_dir):
     docs = documents(spark, [(i, f"text {i} " * 9) for i in range(60)])
     placed = staged(sharding.shard_documents(docs, n_shards=3), "t")
