@@ -42,3 +42,11 @@ def any_case(word: str) -> str:
     non-ASCII letters a flag folds.
     """
     return "".join(f"[{c.upper()}{c}]" if c.isascii() and c.isalpha() and c.islower() else c for c in word)
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of an ASCII string expression."""
+    step = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, (a & 1) * 3988292384))"
+    codes = (f"list_transform(range(length({text}) + 1), lambda i: CASE WHEN i = 0 THEN 4294967295 "
+             f"ELSE CAST(ascii(substr({text}, CAST(i AS INT), 1)) AS BIGINT) END)")
+    return f"xor(list_reduce({codes}, lambda c, b: {step}), 4294967295)"

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlake.llm import chat, decontaminate, neardup, packing, quality, repeats, secrets, sharding, toxicity, urls
+from emberlake.llm import (chat, decontaminate, mixing, neardup, packing, quality, repair, repeats, secrets, sharding, toxicity,
+                           trie, urls)
 from emberlake.llm.common import table
 
 
@@ -50,6 +51,18 @@ def _op10(spark: SparkSession, d: str) -> DataFrame:
     return urls.judge_urls(table(spark, d, "pages"))
 
 
+def _op11(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_report(table(spark, d, "documents"))
+
+
+def _op12(spark: SparkSession, d: str) -> DataFrame:
+    return trie.trie_report(table(spark, d, "conversations"))
+
+
+def _op13(spark: SparkSession, d: str) -> DataFrame:
+    return repair.repair_report(table(spark, d, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_containment": _op1,
     "op2_weighted_minhash": _op2,
@@ -61,6 +74,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": _op8,
     "op9_quality_rules": _op9,
     "op10_url_filter": _op10,
+    "op11_source_schedule": _op11,
+    "op12_prefix_trie": _op12,
+    "op13_structure_repair": _op13,
 }
 
 ORACLES: dict[str, str] = {
@@ -69,4 +85,7 @@ ORACLES: dict[str, str] = {
     "op6_secret_scan": secrets.ORACLE,
     "op9_quality_rules": quality.ORACLE,
     "op10_url_filter": urls.ORACLE,
+    "op11_source_schedule": mixing.ORACLE,
+    "op12_prefix_trie": trie.ORACLE,
+    "op13_structure_repair": repair.ORACLE,
 }
