@@ -82,16 +82,63 @@ def test_hot_group_of_near_copies(spark):
     assert all(out[100 + i] == 100 + i for i in range(120))
 
 
-def test_links_are_searched_to_the_end(spark, monkeypatch):
-    """Couples in one bucket, so that a leader finds one link, beside 1,500 links found at once."""
-    monkeypatch.setattr(neardup, "verified_pairs", lambda pairs, *_: pairs.filter("v - u = 1 AND u % 2 = 0"))
-    couples = [(i, 7) for i in range(40)]
-    easy = [(1000 + 10 * i + j, 100 + i) for i in range(1500) for j in (0, 1)]
-    keys = spark.createDataFrame(couples + easy, "nid long, key long")
-    nodes = keys.select("nid", F.array_repeat(F.lit(1), neardup.SAMPLES).alias("sig"))
-    roots = {r.nid: r.root for r in neardup.node_components(staged(keys, "k"), staged(nodes, "n"), None, None, 0.8).collect()}
-    assert all(roots[i] == i - i % 2 for i in range(40))
-    assert all(roots[1001 + 10 * i] == 1000 + 10 * i for i in range(1500))
+@pytest.mark.parametrize("group_nodes, group_bytes", [(512, 1 << 24), (12, 1 << 24), (512, 3000)])
+def test_links_are_searched_to_the_end(spark, group_nodes, group_bytes):
+    """Couples in one bucket, so that a leader finds one link, beside 300 links found at once."""
+    rng = random.Random(7)
+
+    def couple(i, at):
+        words = [rng.choice(WORDS) for _ in range(60)]
+        return [(at, i, " ".join(words)), (at + 1, i, " ".join([*words[:30], "other", *words[31:]] if i else words[1:]))]
+
+    rows = [r for i in range(40) for r in couple(0, 2 * i)] + [r for i in range(300) for r in couple(100 + i, 1000 + 10 * i)]
+    rng.shuffle(rows)
+    own = np.random.default_rng(3)
+    sigs = {n // 2: own.integers(0, 9, neardup.SAMPLES).tolist() for n, *_ in rows}
+    nodes = spark.createDataFrame([(n, sigs[n // 2]) for n, *_ in rows], "nid long, sig array<int>")
+    keys = spark.createDataFrame([(n, 0, k) for n, k, _ in rows], "nid long, band int, key long")
+    texts = spark.createDataFrame([(n, t) for n, _, t in rows], "nid long, t string")
+    n_docs, df = neardup.document_frequencies(texts, "t")
+    idf = spark.sparkContext.broadcast(neardup.idf_weights(n_docs, df))
+    roots = {r.nid: r.root for r in neardup.node_components(
+        staged(keys, "k"), staged(nodes, "n"), staged(texts, "t"), idf, 0.8, group_nodes, group_bytes).collect()}
+    assert all(roots[2 * i] == roots[2 * i + 1] == 2 * i for i in range(40))
+    assert all(roots[1001 + 10 * i] == 1000 + 10 * i for i in range(300))
+
+
+def test_larger_buckets_lose_few_links(spark, monkeypatch):
+    """A dense group at the threshold, with buckets far above the size that a task takes."""
+    monkeypatch.setattr(neardup, "GROUP_NODES", 16)
+    rng = random.Random(15)
+    base = [rng.choice(WORDS) for _ in range(150)]
+    rows = []
+    for i in range(300):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.choice([1, 2, 4, 6, 9])):
+            copy[at] = f"edit{i}x{at}"
+        rows.append((i, " ".join(copy)))
+    got = {r.doc_id: r.class_id for r in neardup.duplicate_classes(documents(spark, rows)).collect()}
+    want = dict(zip([r[0] for r in rows], plain_classes(rows), strict=True))
+    linked = [i for i, c in want.items() if sum(x == c for x in want.values()) > 1]
+    assert all(want[i] == want[c] for i, c in got.items())  # nothing joined that is apart
+    assert sum(got[i] == want[i] for i in linked) >= 0.9 * len(linked)
+
+
+def test_bucket_links_equal_brute_force():
+    rng = random.Random(16)
+    rows = near_copies(rng, 25)
+    import pyarrow as pa
+    table = np.ones(1 << neardup.CELL_BITS, dtype=np.float32)
+    sets = neardup._sets(pa.array([t for _, t in rows]), table)
+    pairs = neardup.bucket_links(sets, np.zeros((len(rows), neardup.SAMPLES)), np.arange(len(rows)), 0.8, 1)
+    parent = list(range(len(rows)))
+    for i, j in pairs:
+        parent = [parent[i] if p == parent[j] else p for p in parent]
+    for i in range(len(rows)):
+        for j in range(i):
+            if neardup.weighted_jaccard(sets[i], sets[j]) >= 0.8:
+                assert parent[i] == parent[j]
+    assert len(pairs) == len(rows) - len(set(parent))
 
 
 def test_signature_filter_misses_less_than_the_bands():
