@@ -14,10 +14,12 @@ source is spread over all of them, and the number of groups grows with the
 input.  Full pieces fill a bin alone and are never searched.  Only ids,
 lengths and hashes reach the tasks, not texts.
 
-The search finds the successor with a table of counts, for each source bit
-and residual, of the open bins without that bit.  A source bitmap has
-``SOURCE_BITS`` bits, so beyond that many sources in a group some pairs of
-sources are kept apart needlessly, never together wrongly; a bin's cluster
+The search finds the successor with a table of counts, for each of the
+``COMMON_SOURCES`` most frequent sources of a group and each residual, of the open
+bins without that source.  A bin's bitmap has a bit for each of these; its
+other sources are a set of their own, and a piece of such a source passes over
+at most as many bins as its source has pieces.  So every source counts, and the
+tightest compatible bin is found whatever their number.  A bin's cluster
 bitmap is the set of its clusters' hashes, as a bin holds few.  At most one
 piece of a source in a bin means at least as many bins as the commonest
 source has pieces.
@@ -41,46 +43,49 @@ from emberlake.llm.common import OWN, SPACE_CLASS, staged, text_or_empty, with_c
 
 CAPACITY = 2048
 GROUP_PIECES = 20_000
-SOURCE_BITS = 256
+COMMON_SOURCES = 256
 WORD = f"[^{SPACE_CLASS}]+"
 
 
 class OpenBins:
-    """Bins of one group, ordered by residual."""
+    """Bins of one group, ordered by residual.  Sources are numbers, the
+    ``n_common`` first of them the most frequent ones."""
 
-    def __init__(self, capacity: int, n_sources: int):
-        self.free = np.zeros((n_sources, capacity + 1), dtype=np.int32)  # bins without the source, by residual
-        self.at: list[dict[int, list[int]]] = [{} for _ in range(capacity + 1)]  # source bitmap -> bins
+    def __init__(self, capacity: int, n_common: int):
+        # Bins without the source, by residual; the last row counts all bins.
+        self.free = np.zeros((n_common + 1, capacity + 1), dtype=np.int32)
+        self.at: list[dict[int, dict[int, None]]] = [{} for _ in range(capacity + 1)]  # bitmap -> bins in order
         self.residual: list[int] = []
-        self.sources: list[int] = []
+        self.bitmaps: list[int] = []
+        self.others: list[set[int]] = []
         self.clusters: list[set[int]] = []
-        self.capacity = capacity
+        self.capacity, self.n_common = capacity, n_common
         self.absent: dict[int, np.ndarray] = {}
 
     def _absent(self, bitmap: int) -> np.ndarray:
         if bitmap not in self.absent:
-            n = self.free.shape[0]
-            self.absent[bitmap] = np.array([1 - (bitmap >> s & 1) for s in range(n)], dtype=np.int32)
+            self.absent[bitmap] = np.array([1 - (bitmap >> s & 1) for s in range(self.n_common + 1)], dtype=np.int32)
         return self.absent[bitmap]
 
     def _link(self, b: int, sign: int) -> None:
-        r, bitmap = self.residual[b], self.sources[b]
+        r, bitmap = self.residual[b], self.bitmaps[b]
         self.free[:, r] += sign * self._absent(bitmap)
         if sign > 0:
-            self.at[r].setdefault(bitmap, []).append(b)
+            self.at[r].setdefault(bitmap, {})[b] = None
         else:
             same = self.at[r][bitmap]
-            same.remove(b)
+            del same[b]
             if not same:
                 del self.at[r][bitmap]
 
     def find(self, length: int, source: int, cluster: int) -> int:
         """The tightest bin with room and neither conflict, or -1."""
-        for r in np.flatnonzero(self.free[source, length:]):
+        row = min(source, self.n_common)
+        for r in np.flatnonzero(self.free[row, length:]):
             for bitmap, bins in self.at[length + int(r)].items():
-                if not bitmap >> source & 1:
+                if not bitmap >> row & 1:
                     for b in bins:
-                        if cluster not in self.clusters[b]:
+                        if cluster not in self.clusters[b] and source not in self.others[b]:
                             return b
         return -1
 
@@ -90,13 +95,17 @@ class OpenBins:
         if b < 0:
             b = len(self.residual)
             self.residual.append(self.capacity)
-            self.sources.append(0)
+            self.bitmaps.append(0)
+            self.others.append(set())
             self.clusters.append(set())
         else:
             self._link(b, -1)
         offset = self.capacity - self.residual[b]
         self.residual[b] -= length
-        self.sources[b] |= 1 << source
+        if source < self.n_common:
+            self.bitmaps[b] |= 1 << source
+        else:
+            self.others[b].add(source)
         self.clusters[b].add(cluster)
         self._link(b, 1)
         return b, offset
@@ -105,8 +114,9 @@ class OpenBins:
 def pack_group(pieces: pd.DataFrame, capacity: int) -> pd.DataFrame:
     """Best fit for one group: columns rid, piece, length, source, cluster."""
     pieces = pieces.sort_values(["length", "rid", "piece"], ascending=[False, True, True], kind="stable")
-    source = pd.factorize(pieces["source"])[0] % SOURCE_BITS
-    bins = OpenBins(capacity, SOURCE_BITS)
+    rows = pieces.groupby("source").size().reset_index(name="n").sort_values(["n", "source"], ascending=[False, True])
+    source = pieces["source"].map({s: i for i, s in enumerate(rows["source"])})
+    bins = OpenBins(capacity, min(COMMON_SOURCES, len(rows)))
     placed = [bins.put(n, s, c) for n, s, c in
               zip(pieces["length"].tolist(), source.tolist(), pieces["cluster"].tolist(), strict=True)]
     local = np.array(placed, dtype=np.int64).reshape(-1, 2)
@@ -129,12 +139,10 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
 
     packed = loose.withColumn("bin_group", group).groupBy("bin_group").applyInPandas(pack, schema)
     full = pieces.filter(F.col("length") == capacity).select(
-        "*", F.lit(-1).cast("long").alias("bin_group"), (F.col("rid") * (1 << 20) + F.col("piece")).alias("bin"),
+        "*", F.concat_ws("-", F.lit("full"), F.col("rid").cast("string"), F.col("piece").cast("string")).alias("bin"),
         F.lit(0).cast("long").alias("offset"))
-    out = packed.unionByName(full)
-    name = F.concat_ws("-", F.when(F.col("bin_group") < 0, "full").otherwise(F.col("bin_group").cast("string")),
-                       F.col("bin").cast("string"))
-    return out.withColumn("bin", name).drop("bin_group")
+    name = F.concat_ws("-", F.col("bin_group").cast("string"), F.col("bin").cast("string"))
+    return packed.withColumn("bin", name).drop("bin_group").unionByName(full)
 
 
 def document_cluster(text: Column) -> Column:

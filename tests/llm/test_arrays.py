@@ -214,9 +214,12 @@ def test_suffix_sort_is_a_sort():
     assert texts == sorted(texts) and classes[-1] == len(set(texts)) - 1
 
 
-def test_packing_takes_the_tightest_compatible_bin():
+@pytest.mark.parametrize("n_sources, n_pieces, common", [(6, 300, 256), (300, 700, 256), (300, 700, 3), (1, 20, 256)])
+def test_packing_takes_the_tightest_compatible_bin(monkeypatch, n_sources, n_pieces, common):
+    monkeypatch.setattr(packing, "COMMON_SOURCES", common)
     rng = random.Random(6)
-    pieces = pd.DataFrame([(i, 0, rng.randint(0, 60), rng.randrange(6), rng.randrange(40)) for i in range(300)],
+    source = lambda: min(rng.randrange(n_sources), rng.randrange(n_sources))
+    pieces = pd.DataFrame([(i, 0, rng.randint(0, 60), source() * 10**15, rng.randrange(40)) for i in range(n_pieces)],
                           columns=["rid", "piece", "length", "source", "cluster"])
     got = packing.pack_group(pieces, 100)
     bins = []
@@ -237,6 +240,18 @@ def test_packing_takes_the_tightest_compatible_bin():
         b["c"].add(p.cluster)
 
 
+def test_packing_of_large_row_numbers(spark):
+    """Row numbers of partitions beyond 1,024 (2**43 and more), full pieces among them."""
+    rows = [((1 << 62) + i, i, p, 100 if p == 0 else 30, i % 3, i) for i in range(6) for p in range(2)]
+    pieces = spark.createDataFrame(rows, "rid long, id long, piece int, length int, source long, cluster long")
+    out = packing.pack_pieces(staged(pieces, "p"), 100).collect()
+    bins = collections.defaultdict(list)
+    for r in out:
+        bins[r.bin].append(r)
+    assert len(out) == 12 and all(sum(r.length for r in b) <= 100 for b in bins.values())
+    assert sum(len(b) == 1 and b[0].length == 100 for b in bins.values()) == 6
+
+
 def test_packing_documents(spark):
     df, n = awkward(spark)
     rows = packing.pack_documents(df, capacity=128, group_pieces=5).collect()
