@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlake.functions.labels import CAPTION_MAX, CAPTION_MIN, extremes_label
-from emberlake.operators.sequence import number_within
+from emberlake.operators.sequence import DEFAULT_BLOCK_WIDTH, number_within
 
 DEFAULT_WINDOW = 11
 DEFAULT_BLOCK = 1 << 16
@@ -21,12 +21,16 @@ DEFAULT_BLOCK = 1 << 16
 
 def rolling_extremes(readings: DataFrame, keys: list[str], value: str = "temperature",
                      label: str = "day_label", arrival: str = "arrival",
-                     size: int = DEFAULT_WINDOW, block: int = DEFAULT_BLOCK) -> DataFrame:
+                     size: int = DEFAULT_WINDOW, block: int = DEFAULT_BLOCK,
+                     order: str | None = None, block_width: int = DEFAULT_BLOCK_WIDTH) -> DataFrame:
     """For every reading from the ``size``-th on: min and max of the newest
     ``size`` readings, the label of each extreme's first position, captions.
+
+    The order is that of ``arrival``, or of the whole number ``order`` (in
+    blocks of ``block_width``) and then ``arrival``.
     """
     block = max(block, size)
-    seq = number_within(readings, keys, arrival, "seq")
+    seq = number_within(readings, keys, order or arrival, "seq", block_width, [arrival] if order else None)
     pos = F.col("seq") - 1
     # Each reading goes to its own block; the last size-1 of a block also go,
     # as halo, to the next one (one pass: explode a 1- or 2-element array).

@@ -301,6 +301,9 @@ SELECT producer_id, latitude, longitude, confidence, surface_temperature_celcius
 FROM feed WHERE producer_id IN ('producer_hotspot_aqua', 'producer_hotspot_terra')"""
     q["stream_event_time_enrichment"] = q["enrich_climate"]
     q["stream_rolling_extremes"] = q["rolling_temperature_extremes"]
+    # Dealt over three source partitions; the events ascend with their time.
+    q["stream_rolling_extremes_partitions"] = f"""
+SELECT * REPLACE (arrival // 3 + arrival % 3 * {1 << 40} AS arrival) FROM ({q["rolling_temperature_extremes"]})"""
     q["load_rejects"] = _with(CLIMATE, HOTSPOT) + """
 SELECT 'climate' AS file, CASE day(date) WHEN 13 THEN 'unreadable:relative_humidity' WHEN 15 THEN 'unreadable:date'
   ELSE 'loaded' END AS reject_reason, count(*) AS n FROM climate GROUP BY ALL
@@ -318,6 +321,7 @@ feed AS (
   SELECT * REPLACE (arrival // {BATCH_WIDTH} AS batch) FROM feed0 WHERE producer_id IS NOT NULL)"""
     q["stream_arrival_enrichment"] = _with(by_width, PAIRS, LATEST, ENRICHED) + """
 SELECT * EXCLUDE (batch), batch AS batch_id FROM enriched"""
+    q["stream_arrival_enrichment_split"] = q["stream_arrival_enrichment"]
     q["stream_arrival_enrichment_as_coded"] = _with(by_width, PAIRS_AS_CODED, LATEST,
                                                     ENRICHED) + """
 SELECT * EXCLUDE (batch), batch AS batch_id FROM enriched"""

@@ -61,6 +61,16 @@ def encode_messages(feed: DataFrame) -> DataFrame:
         F.col("arrival").cast("long").alias("offset"), value.alias("value"))
 
 
+def arrival_of(offset: str, partition: str) -> Column:
+    """A record's number in (partition, offset) order."""
+    return F.col(offset) + F.col(partition).cast("long") * F.lit(_PARTITION_SHIFT)
+
+
+def lane_of(arrival: str) -> Column:
+    """The source partition that an arrival number belongs to."""
+    return F.floor(F.col(arrival) / F.lit(_PARTITION_SHIFT)).cast("long")
+
+
 def _lacks(m: str, producer: str, measures: list[str]) -> Column:
     """A message of ``producer`` without one of its measures."""
     missing = F.lit(False)
@@ -83,8 +93,7 @@ def decode_records(records: DataFrame) -> DataFrame:
                .when(_lacks("m", S.PRODUCER_CLIMATE, [*S.CLIMATE_MEASURES, "ghi"]), F.lit("no_measure"))
                .when(_lacks("m", S.PRODUCER_AQUA, S.HOTSPOT_MEASURES)
                      | _lacks("m", S.PRODUCER_TERRA, S.HOTSPOT_MEASURES), F.lit("no_measure")))
-    arrival = F.col("offset") + F.col("partition").cast("long") * F.lit(_PARTITION_SHIFT)
-    return parsed.select("*", arrival.alias("arrival"), event_ts.alias("event_ts"),
+    return parsed.select("*", arrival_of("offset", "partition").alias("arrival"), event_ts.alias("event_ts"),
                          reason.alias("reject_reason"))
 
 

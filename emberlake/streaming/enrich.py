@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 from emberlake.functions.geo import with_geo_cell
 from emberlake.functions.parse import ntz_from_micros, wall_micros
 from emberlake.operators.enrich import enrich_documents, enrich_flat
-from emberlake.sources.messages import decode_messages, decode_records, split_decoded
+from emberlake.sources.messages import RECORD, decode_messages, decode_records, lane_of, split_decoded
+from emberlake.streaming.state import EpochTable, overwrite_partitions
 
 _MSG_COLUMNS = ["arrival", "producer_id", "event_ts", "latitude", "longitude",
                 "air_temperature_celcius", "relative_humidity", "windspeed_knots",
@@ -27,55 +28,106 @@ _MSG_COLUMNS = ["arrival", "producer_id", "event_ts", "latitude", "longitude",
                 "confidence", "surface_temperature_celcius"]
 
 
-def _overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(partition_col).parquet(path))
-
-
 def _trigger(writer, processing_time: str | None, available_now: bool):
     if available_now:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=processing_time or "10 seconds")
 
 
+# Batches of fixed width stay open for late parts until the newest batch of
+# their source partition is this many ahead.
+KEEP_BATCHES = 4
+
+
 def start_arrival_enrichment(records: DataFrame, sink_path: str, checkpoint_path: str,
                              rejects_path: str | None = None, nested: bool = True,
                              processing_time: str | None = "10 seconds",
                              available_now: bool = False, as_coded: bool = False,
-                             batch_width: int | None = None) -> StreamingQuery:
+                             batch_width: int | None = None,
+                             keep_batches: int = KEEP_BATCHES) -> StreamingQuery:
     """Each micro-batch becomes one batch (``batch_id`` = epoch id).
 
     With ``batch_width`` a batch is that many consecutive arrivals instead
-    (``batch_id`` = arrival div width), however the trigger groups them, as
-    long as a micro-batch holds whole batches.  ``as_coded`` keeps the
-    original loop's duplicated/lost hotspots (Q1); its groups are batches, so
-    it needs a width, which bounds them.
+    (``batch_id`` = arrival div width), however the trigger cuts the stream.
+    Messages of the newest ``keep_batches`` batches of each source partition
+    stay in a pending table; when a further part of one of them arrives, the
+    batch is enriched again from all its messages and its output replaced.
+    A part that comes later still goes to the rejects (``late_batch``).
+
+    ``as_coded`` keeps the original loop's duplicated/lost hotspots (Q1); its
+    groups are batches, so it needs a width, which bounds them.
     """
     if as_coded and not batch_width:
         raise ValueError("the as-coded pairing needs batch_width, which bounds its groups")
+    pending_path = f"{checkpoint_path.rstrip('/')}-pending"
 
-    def per_batch(batch_df: DataFrame, epoch_id: int) -> None:
+    def write_batches(msgs: DataFrame) -> None:
+        flat = enrich_flat(msgs, check_sizes=False, as_coded=as_coded)
+        out = enrich_documents(flat) if nested else flat
+        overwrite_partitions(out.withColumnRenamed("batch", "batch_id"), sink_path, "batch_id")
+
+    def write_rejects(rejects: DataFrame, epoch_id: int) -> None:
+        if rejects_path:
+            overwrite_partitions(rejects.withColumn("batch_id", F.lit(epoch_id).cast("long")), rejects_path, "batch_id")
+
+    def micro_batch(batch_df: DataFrame, epoch_id: int) -> None:
         # Read by several branches below: one pass over the source, parsed once and kept.
         decoded = decode_records(batch_df).persist()
         try:
             if decoded.count() == 0:
                 return
             good, rejects = split_decoded(decoded)
-            batch = F.floor(F.col("arrival") / batch_width) if batch_width else F.lit(epoch_id)
-            msgs = good.withColumn("batch", batch.cast("long"))
-            flat = enrich_flat(msgs, check_sizes=False, as_coded=as_coded)
-            out = enrich_documents(flat) if nested else flat
-            _overwrite_partitions(out.withColumnRenamed("batch", "batch_id"), sink_path, "batch_id")
-            if rejects_path:
-                _overwrite_partitions(rejects.withColumn("batch_id", F.lit(epoch_id).cast("long")),
-                                      rejects_path, "batch_id")
+            write_batches(good.withColumn("batch", F.lit(epoch_id).cast("long")))
+            write_rejects(rejects, epoch_id)
         finally:
             decoded.unpersist()
 
-    w = records.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_path)
+    def fixed_width(batch_df: DataFrame, epoch_id: int) -> None:
+        decoded = decode_records(batch_df).persist()
+        try:
+            if decoded.count() == 0:
+                return
+            msgs, late, lanes, pending = _placed_parts(decoded, batch_width, keep_batches, pending_path, epoch_id)
+            write_batches(msgs)
+            write_rejects(split_decoded(decoded)[1].unionByName(late), epoch_id)
+            pending.write(lanes, epoch_id)
+        finally:
+            decoded.unpersist()
+
+    w = (records.writeStream.foreachBatch(fixed_width if batch_width else micro_batch)
+         .option("checkpointLocation", checkpoint_path))
     return _trigger(w, processing_time, available_now).start()
 
 
+def _placed_parts(decoded: DataFrame, width: int, keep: int, path: str,
+                  epoch_id: int) -> tuple[DataFrame, DataFrame, DataFrame, EpochTable]:
+    """The messages of every batch that a micro-batch adds to, its late
+    records, and the rows of the pending table that it leaves.
+
+    A pending row is a record (``newest`` null) or a source partition's newest
+    batch, so the table holds at most ``keep + 1`` batches of each partition."""
+    record = [f"{f.name} {f.dataType.simpleString()}" for f in RECORD]
+    pending = EpochTable(decoded.sparkSession, path, ", ".join([*record, "lane long", "batch long", "newest long"]))
+    batch = F.floor(F.col("arrival") / width).cast("long")
+    new = decoded.where(F.col("reject_reason").isNull()).select(
+        *RECORD.names, lane_of("arrival").alias("lane"), batch.alias("batch"))
+    before = pending.before(epoch_id).persist()
+    known = before.where(F.col("newest").isNotNull()).select("lane", "newest")
+    # One row for each source partition.
+    old = new.join(F.broadcast(known), "lane", "left")
+    is_late = F.coalesce(F.col("batch") < F.col("newest") - keep, F.lit(False))
+    late = old.where(is_late).select(*RECORD.names, F.lit("late_batch").alias("reject_reason"))
+    fresh = old.where(~is_late).select(*RECORD.names, "lane", "batch")
+    held = before.where(F.col("newest").isNull()).select(*RECORD.names, "lane", "batch")
+    parts = fresh.unionByName(held.join(fresh.select("batch").distinct(), "batch", "left_semi").select(*fresh.columns))
+    msgs = decode_messages(parts.select(*RECORD.names))[0].withColumn("batch", batch)
+    newest = fresh.select("lane", F.col("batch").alias("newest")).unionByName(known).groupBy("lane").agg(
+        F.max("newest").alias("newest"))
+    left = fresh.unionByName(held).join(F.broadcast(newest), "lane").where(F.col("batch") >= F.col("newest") - keep)
+    rows = left.withColumn("newest", F.lit(None).cast("long")).unionByName(newest, allowMissingColumns=True)
+    return msgs, late, rows.select(*RECORD.names, "lane", "batch", "newest"), pending
+
+
 STATE_BLOCK = 1 << 16
 
 
@@ -127,7 +179,7 @@ def start_event_time_enrichment(records: DataFrame, sink_path: str, checkpoint_p
             # retried micro-batch replays the same offsets and state, so its
             # epoch partition is rewritten with the same rows.
             keyed = flat.withColumn("epoch", F.lit(epoch_id).cast("long"))
-            _overwrite_partitions(keyed, sink_path, "epoch")
+            overwrite_partitions(keyed, sink_path, "epoch")
         finally:
             batch_df.unpersist()
 

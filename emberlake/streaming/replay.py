@@ -24,7 +24,7 @@ from emberlake.functions.parse import iso_text
 from emberlake.sources.messages import encode_messages, read_records_stream, write_records
 from emberlake.streaming.enrich import start_arrival_enrichment, start_event_time_enrichment
 from emberlake.operators.rolling import DEFAULT_WINDOW
-from emberlake.streaming.rolling import start_rolling_extremes
+from emberlake.streaming.rolling import start_rolling_extremes, start_rolling_extremes_by_time
 
 # Consecutive arrivals that make up one batch of the arrival replay.
 BATCH_WIDTH = 2_048
@@ -59,11 +59,12 @@ def write_batches(feed: DataFrame, path: str, batch_width: int = BATCH_WIDTH) ->
     write_records(records.repartition(_parallelism(feed), batch), path)
 
 
-def write_in_order(records: DataFrame, path: str) -> None:
-    """Write records as files of consecutive offsets whose modification times
-    ascend, the order in which the file source takes them."""
+def write_in_order(records: DataFrame, path: str, n_files: int | None = None, order: str = "offset") -> None:
+    """Write records as files of consecutive offsets (or another order) whose
+    modification times ascend, the order in which the file source takes them."""
     spark = records.sparkSession
-    write_records(records.repartitionByRange(_parallelism(records), "offset").sortWithinPartitions("offset"), path)
+    ranged = records.repartitionByRange(n_files or _parallelism(records), order).sortWithinPartitions(order)
+    write_records(ranged.select("topic", "partition", "offset", "value"), path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     files = sorted((f.getPath().getName(), f.getPath()) for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
@@ -103,10 +104,16 @@ def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour",
 def replay_arrival_enrichment(feed: DataFrame, batch_width: int = BATCH_WIDTH,
                               nested: bool = False, as_coded: bool = False,
                               root: str | None = None,
-                              files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+                              files_per_trigger: int = FILES_PER_TRIGGER,
+                              split_files: int | None = None) -> DataFrame:
+    """The arrival job over files of whole batches, or over ``split_files``
+    files of consecutive offsets, whose micro-batches cut batches apart."""
     spark = feed.sparkSession
     root = root or _run_dir(spark, "enrich-arrival")
-    write_batches(feed, f"{root}/records", batch_width)
+    if split_files:
+        write_in_order(encode_messages(feed), f"{root}/records", split_files)
+    else:
+        write_batches(feed, f"{root}/records", batch_width)
     with _state_partitions(spark):
         q = start_arrival_enrichment(
             read_records_stream(spark, f"{root}/records", max_per_trigger=files_per_trigger),
@@ -126,3 +133,34 @@ def replay_rolling_extremes(feed: DataFrame, size: int = DEFAULT_WINDOW, files_p
             f"{root}/sink", f"{root}/checkpoint", size=size, available_now=True)
         q.awaitTermination()
     return spark.read.parquet(f"{root}/sink").drop("epoch")
+
+
+def dealt(records: DataFrame, n_partitions: int) -> DataFrame:
+    """Records dealt over source partitions, each with its own offsets."""
+    n = F.lit(n_partitions)
+    return records.withColumn("partition", (F.col("offset") % n).cast("int")).withColumn(
+        "offset", F.floor(F.col("offset") / n).cast("long"))
+
+
+def replay_rolling_extremes_by_time(feed: DataFrame, n_partitions: int = 3, chunks: int = 6, delay: str = "10 days",
+                                    size: int = DEFAULT_WINDOW, root: str | None = None) -> DataFrame:
+    """The event-ordered rolling job over several partitions that run at
+    different paces: partition p's files come p rounds later.
+
+    Of a feed of 30 days a round is some 5 days, so the partitions are up to 10 days
+    apart, the delay; a heartbeat releases the last readings."""
+    spark = feed.sparkSession
+    root = root or _run_dir(spark, "rolling-time")
+    records = encode_messages(feed.where(F.col("producer_id") == S.PRODUCER_CLIMATE))
+    span = records.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+    chunk = F.floor((F.col("offset") - F.lit(span.lo)) * chunks / F.lit((span.hi or 0) - (span.lo or 0) + 1))
+    round_ = (chunk + F.col("offset") % n_partitions).alias("round")
+    paced = dealt(records.select("*", round_), n_partitions)
+    write_in_order(paced, f"{root}/records", chunks, "round")
+    write_records(heartbeat(feed, "60 days"), f"{root}/records")
+    with _state_partitions(spark):
+        q = start_rolling_extremes_by_time(
+            read_records_stream(spark, f"{root}/records", topics=[S.TOPIC_CLIMATE, S.TOPIC_TERRA], max_per_trigger=1),
+            f"{root}/sink", f"{root}/checkpoint", delay, f"{root}/rejects", size, available_now=True)
+        q.awaitTermination()
+    return spark.read.parquet(f"{root}/sink").drop("epoch")

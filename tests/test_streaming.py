@@ -9,6 +9,8 @@ from emberlake.plans import warehouse as W
 from emberlake.sources.messages import read_records_stream, write_records
 from emberlake.streaming import replay as SR
 from emberlake.streaming.enrich import start_arrival_enrichment
+from emberlake.streaming.rolling import start_rolling_extremes_by_time
+from emberlake.streaming.state import EpochTable
 from tests.conftest import SF_SMALL
 
 
@@ -105,3 +107,89 @@ def test_rejects_stream(spark, tmp_dir):
     q.awaitTermination()
     got = [(r.offset, r.reject_reason) for r in spark.read.parquet(f"{tmp_dir}/rejects").collect()]
     assert got == [(1, "undecodable")]
+
+
+def test_batches_cut_across_micro_batches(spark, tmp_dir):
+    """Every file cuts a batch apart; one file a trigger."""
+    feed = W.feed(spark, SF_SMALL)
+    whole = SR.replay_arrival_enrichment(feed, batch_width=400)
+    same_rows(SR.replay_arrival_enrichment(feed, batch_width=400, split_files=7, files_per_trigger=1, root=tmp_dir), whole)
+    pending = EpochTable(spark, f"{tmp_dir}/checkpoint-pending", "lane long")
+    assert 1 <= len(pending.epochs()) <= 2
+
+
+def test_as_coded_batches_cut_across_micro_batches(spark):
+    feed = W.feed(spark, SF_SMALL)
+    same_rows(SR.replay_arrival_enrichment(feed, batch_width=400, as_coded=True, split_files=5, files_per_trigger=1),
+              SR.replay_arrival_enrichment(feed, batch_width=400, as_coded=True))
+
+
+RECORDS = "topic string, partition int, offset long, value string"
+
+
+def climate_record(offset, day, partition=0, temperature=20.0):
+    value = ('{"producer_id": "producer_climate", "latitude": -37.0, "longitude": 145.0, "air_temperature_celcius": %s, '
+             '"relative_humidity": 50, "windspeed_knots": 5, "max_wind_speed": 9, "precipitation": 0.0, '
+             '"precipitation_type": "I", "ghi": 100, "created_date": "2024-01-%02dT00:00:00"}') % (temperature, day)
+    return "Climate", partition, offset, value
+
+
+def run_round(spark, root, rows, start):
+    write_records(spark.createDataFrame(rows, RECORDS).coalesce(1), f"{root}/records")
+    start(read_records_stream(spark, f"{root}/records")).awaitTermination()
+
+
+def test_late_part_of_a_batch_is_merged_or_rejected(spark, tmp_dir):
+    def start(records):
+        return start_arrival_enrichment(records, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", rejects_path=f"{tmp_dir}/rejects",
+                                        nested=False, available_now=True, batch_width=10, keep_batches=1)
+
+    def batches():
+        return {r.batch_id: r.date.day for r in spark.read.parquet(f"{tmp_dir}/sink").collect()}
+
+    run_round(spark, tmp_dir, [climate_record(3, 1), climate_record(11, 2)], start)
+    assert batches() == {0: 1, 1: 2}
+    run_round(spark, tmp_dir, [climate_record(5, 3)], start)      # batch 0 again: its latest record is now the 3rd's
+    assert batches() == {0: 3, 1: 2}
+    run_round(spark, tmp_dir, [climate_record(4, 9), climate_record(31, 4)], start)
+    assert batches() == {0: 3, 1: 2, 3: 4}
+    run_round(spark, tmp_dir, [climate_record(7, 8), climate_record(32, 5), climate_record(2, 6, partition=1)], start)
+    assert batches() == {0: 3, 1: 2, 3: 5, (1 << 40) // 10: 6}
+    late = [(r.offset, r.reject_reason) for r in spark.read.parquet(f"{tmp_dir}/rejects").collect()]
+    assert late == [(7, "late_batch")]
+
+
+@pytest.mark.parametrize("n_partitions", [2, 3])
+def test_rolling_over_several_partitions_equals_batch(spark, tmp_dir, n_partitions):
+    feed = W.feed(spark, SF_SMALL)
+    got = SR.replay_rolling_extremes_by_time(feed, n_partitions, root=tmp_dir)
+    assert got.where(F.col("arrival") >= 1 << 40).count() > 0
+    same_rows(got.drop("arrival"), R.rolling_temperature_extremes(feed).drop("arrival"))
+    same_rows(got.drop("arrival"), R.rolling_extremes_by_time(feed).drop("arrival"))
+    with pytest.raises(Exception):
+        spark.read.parquet(f"{tmp_dir}/rejects").first()       # nothing late, so no partition
+
+
+def test_late_reading_goes_to_the_rejects(spark, tmp_dir):
+    def start(records):
+        return start_rolling_extremes_by_time(records, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", "2 days", f"{tmp_dir}/rejects",
+                                              size=2, available_now=True)
+
+    run_round(spark, tmp_dir, [climate_record(0, 2, 0, 10.0), climate_record(0, 1, 1, 11.0), climate_record(1, 6, 0, 12.0)], start)
+    run_round(spark, tmp_dir, [climate_record(1, 3, 1, 13.0), climate_record(2, 5, 1, 14.0)], start)   # the 3rd is late
+    run_round(spark, tmp_dir, [climate_record(2, 20, 0, 15.0)], start)
+    rows = spark.read.parquet(f"{tmp_dir}/sink").orderBy("seq").collect()
+    assert [(r.seq, r.temperature, r.min_value) for r in rows] == [(2, 10.0, 10.0), (3, 14.0, 10.0), (4, 12.0, 12.0)]
+    late = [(r.partition, r.offset, r.reject_reason) for r in spark.read.parquet(f"{tmp_dir}/rejects").collect()]
+    assert late == [(1, 1, "late")]
+    assert len(EpochTable(spark, f"{tmp_dir}/ckpt-buffer", "seq long").epochs()) <= 2
+
+
+def test_epoch_table_reads_below_its_epoch_and_keeps_two(spark, tmp_dir):
+    t = EpochTable(spark, f"{tmp_dir}/state", "x long")
+    assert t.before(0).count() == 0
+    for e in range(4):
+        t.write(spark.createDataFrame([(e,)], "x long"), e)
+    assert t.epochs() == [2, 3] and t.before(3).first().x == 2 and t.before(9).first().x == 3
+    t.write(spark.createDataFrame([(33,)], "x long"), 3)           # a retried micro-batch
+    assert t.epochs() == [2, 3] and t.before(4).first().x == 33
