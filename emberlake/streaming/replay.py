@@ -142,13 +142,13 @@ def dealt(records: DataFrame, n_partitions: int) -> DataFrame:
         "offset", F.floor(F.col("offset") / n).cast("long"))
 
 
-def replay_rolling_extremes_by_time(feed: DataFrame, n_partitions: int = 3, chunks: int = 6, delay: str = "10 days",
+def replay_rolling_extremes_by_time(feed: DataFrame, n_partitions: int = 3, chunks: int = 6, delay: str = "15 days",
                                     size: int = DEFAULT_WINDOW, root: str | None = None) -> DataFrame:
     """The event-ordered rolling job over several partitions that run at
     different paces: partition p's files come p rounds later.
 
-    Of a feed of 30 days a round is some 5 days, so the partitions are up to 10 days
-    apart, the delay; a heartbeat releases the last readings."""
+    Of a feed of 30 days a round is some 5 days, so the partitions are some 10 days
+    apart, less than the delay; a heartbeat releases the last readings."""
     spark = feed.sparkSession
     root = root or _run_dir(spark, "rolling-time")
     records = encode_messages(feed.where(F.col("producer_id") == S.PRODUCER_CLIMATE))
