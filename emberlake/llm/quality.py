@@ -128,8 +128,9 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def clean_documents(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
     """Kept documents with their failing lines removed; same columns."""
-    q = with_quality(docs, text_col).filter(F.col(f"{OWN}q.kept"))
-    out = q.withColumn(text_col, F.col(f"{OWN}q.cleaned_text"))
+    # Computed once, in a generator: a filter and a projection would each hold all the rules.
+    once = with_quality(docs, text_col).withColumn(OWN + "q", F.explode(F.array(OWN + "q")))
+    out = once.filter(F.col(f"{OWN}q.kept")).withColumn(text_col, F.col(f"{OWN}q.cleaned_text"))
     if chars_col and chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
         out = out.withColumn(chars_col, F.length(F.col(text_col)).cast(kind))
