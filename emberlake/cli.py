@@ -61,7 +61,7 @@ def _emit(df: DataFrame, out: str | None) -> None:
 
 
 def _records(spark, a):
-    options = {"kafka.fetch.message.max.bytes": str(a.fetch_bytes)}
+    options = {"kafka.fetch.max.bytes": str(a.fetch_bytes), "kafka.max.partition.fetch.bytes": str(a.fetch_bytes)}
     if a.group_id:
         options["kafka.group.id"] = a.group_id
     return read_records_stream(spark, a.records, kafka_servers=a.kafka, starting=a.starting,
@@ -92,7 +92,7 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--kafka")
         s.add_argument("--starting", default="latest" if name == "stream" else "earliest")
         s.add_argument("--max-per-trigger", type=int)
-        s.add_argument("--fetch-bytes", type=int, default=5_242_880)
+        s.add_argument("--fetch-bytes", type=int, default=15_728_640)
         s.add_argument("--group-id")
         s.add_argument("--sink", required=True)
         s.add_argument("--checkpoint", required=True)

@@ -17,10 +17,10 @@ COLOUR_OTHER = "red"
 POPUP_TEMPLATE = ("<b>Cause:</b> %s</br><b>Surface Temperature:</b> %d</br>"
                   "<b>Air Temperature:</b> %d</br><b>Relative Humidity:</b> %d")
 
-# The rolling-extremes captions, "<kind> (Date: <day> & Temp: <t>)".
+# The rolling-extremes captions.
 CAPTION_MIN = "Minimum"
 CAPTION_MAX = "Maximum"
-CAPTION_PARTS = (" (Date: ", " & Temp: ", ")")
+CAPTION_TEMPLATE = "%s (Date: %s & Temp: %s)"
 
 
 def _c(c: Column | str) -> Column:
@@ -50,12 +50,4 @@ def marker_popup(cause: Column | str, surface_temperature: Column | str,
 
 def extremes_label(kind: str, day_label: Column | str, temperature: Column | str) -> Column:
     """``Minimum (Date: 2/01/18 & Temp: 15.0)`` style caption."""
-    head, mid, tail = CAPTION_PARTS
-    return F.concat(F.lit(kind + head), _c(day_label), F.lit(mid),
-                    _c(temperature).cast("string"), F.lit(tail))
-
-
-def extremes_label_text(kind: str, day_label: str, temperature: float) -> str:
-    """The same caption for a Python value (the stateful stream's helper)."""
-    head, mid, tail = CAPTION_PARTS
-    return f"{kind}{head}{day_label}{mid}{temperature!r}{tail}"
+    return F.format_string(CAPTION_TEMPLATE, F.lit(kind), _c(day_label), _c(temperature).cast("string"))
