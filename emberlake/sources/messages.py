@@ -83,8 +83,10 @@ def decode_records(records: DataFrame) -> DataFrame:
     """P5: parse every record; adds ``m`` (the parsed message), ``arrival``,
     ``event_ts`` and ``reject_reason`` (NULL for a good message)."""
     m = F.from_json(F.col("value").cast("string"), S.MESSAGE)
-    parsed = records.select(
-        "topic", "partition", "offset", F.col("value").cast("string").alias("value"), m.alias("m"))
+    # In a generator the message is parsed once; as a plain column it would be
+    # copied into, and parsed for, every expression that reads one of its fields.
+    parsed = records.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"),
+                            F.explode(F.array(m)).alias("m"))
     event_ts = parse_iso_timestamp(F.coalesce(F.col("m.created_date"), F.col("m.created_time")))
     reason = (F.when(F.col("m").isNull() | F.col("m.producer_id").isNull(), F.lit("undecodable"))
                .when(~F.col("m.producer_id").isin(*S.KNOWN_PRODUCERS), F.lit("unknown_producer"))
