@@ -38,15 +38,17 @@ def _typed(raw: DataFrame, typed: dict[str, tuple[str, Column]], required: list[
     blank field is NULL, which only a ``required`` column may not be; text
     that does not parse rejects the row.
     """
+    # In a generator each field is parsed once, for the reason and the output.
+    parsed = raw.withColumn("_typed", F.explode(F.array(F.struct(*[v.alias(n) for n, (_, v) in typed.items()]))))
     reason = F.lit(None).cast("string")
-    for name, (text, value) in reversed(typed.items()):
+    for name, (text, _) in reversed(typed.items()):
         blank = F.coalesce(F.trim(F.col(f"`{text}`")), F.lit("")) == ""
         if name in required:
             reason = F.when(blank, F.lit(f"missing:{name}")).otherwise(reason)
-        reason = F.when(~blank & value.isNull(), F.lit(f"unreadable:{name}")).otherwise(reason)
-    flagged = raw.withColumn("reject_reason", reason)
-    good = flagged.where(F.col("reject_reason").isNull()).select(*[v.alias(n) for n, (_, v) in typed.items()])
-    return good, flagged.where(F.col("reject_reason").isNotNull())
+        reason = F.when(~blank & F.col(f"_typed.{name}").isNull(), F.lit(f"unreadable:{name}")).otherwise(reason)
+    flagged = parsed.withColumn("reject_reason", reason)
+    good = flagged.where(F.col("reject_reason").isNull()).select("_typed.*")
+    return good, flagged.where(F.col("reject_reason").isNotNull()).drop("_typed")
 
 
 def _weather(precip_col: str = "precipitation ") -> dict[str, tuple[str, Column]]:
