@@ -126,7 +126,17 @@ def test_chat_matches_sql(spark):
         for m in r.masks:
             assert r.rendered[m.start:m.stop].endswith(chat.CLOSE)
     assert {r.perspective for r in out if r.conv_id == 1} == {"ann", "bob"}
-    assert {r.part for r in out if r.conv_id == 3} == {0, 4}
+    assert {r.part for r in out if r.conv_id == 3} == {0}
+
+
+def test_chat_parts_are_bounded(spark):
+    rows = [(None, None if i % 3 else i % 7, f"s{i % 2}", "same" if i % 4 else f"t{i}") for i in range(5000)]
+    rows += [(7, 1, "ann", "x")] * 3000 + [(i, 0, "bob", "short") for i in range(8, 40)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    same_rows(chat.chat_report(turns), chat.ORACLE, conversations=turns)
+    out = chat.rotate_perspectives(turns, hot=8).select("conv_id", "part", "n_turns").collect()
+    assert max(r.n_turns for r in out) == chat.PART_TURNS
+    assert sorted(r.part for r in out if r.conv_id == 7) == [0, 1, 2]
 
 
 def test_containment_matches_sql(spark):
