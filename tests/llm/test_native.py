@@ -93,6 +93,43 @@ def test_ownership_separates_examples(spark):
     assert key in red[0] and red[9] == secrets.PLACEHOLDER
 
 
+def test_repositories_separate_examples(spark):
+    key = "c0ffee00" * 4
+    rows = [(i, f"token = {key}", "s0") for i in range(secrets.MAX_REPOS + 1)]
+    docs = documents(spark, rows)
+    out = secrets.secret_report(docs).collect()
+    assert all((r.n_live, r.n_example, r.max_repos, r.max_owners) == (0, 2, len(rows), 1) for r in out)
+    assert all(r.n_live == 2 for r in secrets.secret_report(docs.filter("doc_id > 0")).collect())
+    same_rows(secrets.secret_report(docs), secrets.ORACLE, documents=docs)
+
+
+def test_many_spans_in_one_text(spark):
+    """Spans across the borders of stretches, and a text of 100,000 spans."""
+    rng = random.Random(6)
+    texts = []
+    for i in range(12):
+        parts = []
+        for _ in range(rng.randint(200, 400)):
+            hex_digits = "".join(rng.choices("abcdef0123456789", k=rng.choice([24, 32, 5000 if i == 3 else 40])))
+            parts.append(rng.choice(["é😀 plain words ", f"token = {hex_digits} ", f"{hex_digits}; ", f"secret:{hex_digits}\n"]))
+        texts.append("".join(parts))
+    docs = documents(spark, list(enumerate(texts)))
+    spans = {r.doc_id: r.spans for r in secrets.secret_report(docs).collect()}
+    got = {r.doc_id: r.text for r in secrets.redact_secrets(docs).collect()}
+    for i, text in enumerate(texts):
+        out, at = [], 0
+        for start, stop in sorted(tuple(map(int, s.split(":")[1:])) for s in spans[i].split(",")):
+            if start >= at:
+                out += [text[at:start], secrets.PLACEHOLDER]
+            at = max(at, stop)
+        assert got[i] == "".join(out) + text[at:]
+    long = " ".join(f"token = {i:030x}" for i in range(50_000))
+    many = documents(spark, [(1, long)])
+    row = secrets.secret_report(many).first()
+    assert (row.n_assign, row.n_hex) == (50_000, 50_000)
+    assert secrets.redact_secrets(many).first().text == " ".join([secrets.PLACEHOLDER] * 50_000)
+
+
 def test_urls_match_sql(spark):
     rng = random.Random(3)
     hosts = ["a.example.org", "EXAMPLE.org", "x.example.com", "b.example.net", "org", "myorg", "c.com"]
