@@ -41,9 +41,10 @@ def _escaped(c: Column) -> Column:
     return F.replace(c, F.lit("<|"), F.lit("< |"))
 
 
-def positions(rows: DataFrame, hot: int = HOT) -> DataFrame:
+def positions(rows: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """``rows`` (conversation, no, speaker, body) with ``at``, the number of
-    rows of the conversation before it by (no, speaker, body)."""
+    rows of the conversation before it by (no, speaker, body): those of most
+    conversations, dealt by conversation, and those of the large ones."""
     conv, order = OWN + "conv", ["no", "speaker", "body"]
     sizes = rows.groupBy(conv).agg(F.count("*").alias("n"))
     total = rows.count()
@@ -59,7 +60,7 @@ def positions(rows: DataFrame, hot: int = HOT) -> DataFrame:
     found = rows.join(large, same, "left_semi").withColumn(OWN + "row", F.monotonically_increasing_id())
     run = running(found, [F.col(c) for c in (conv, *order, OWN + "row")], {OWN + "before": F.lit(1)}, "chat-hot")
     warm = run.join(F.broadcast(starts), same).select(*rows.columns, (F.col(OWN + "before") - F.col(OWN + "start")).alias("at"))
-    return cold.unionAll(warm)
+    return cold, warm
 
 
 def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
@@ -72,8 +73,11 @@ def rotate_perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
         F.col(conv_col).alias(OWN + "conv"), F.coalesce(F.col(turn_col).cast("long"), F.lit(NO_TURN)).alias("no"),
         _escaped(speaker).alias("speaker"),
         _escaped(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("body"))
-    parts = (positions(rows, hot).groupBy(OWN + "conv", F.floor(F.col("at") / part_turns).cast("long").alias("part"))
-             .agg(F.array_sort(F.collect_list(F.struct("no", "speaker", "body"))).alias("turns")))
+    number = F.floor(F.col("at") / part_turns).cast("long").alias("part")
+    # Gathered apart, so that the first needs no further exchange.
+    cold, warm = (df.groupBy(OWN + "conv", number).agg(F.array_sort(F.collect_list(F.struct("no", "speaker", "body"))).alias("turns"))
+                  for df in positions(rows, hot))
+    parts = cold.unionAll(warm)
     heard = (rows.filter(~F.col("speaker").isin(*context)) if context else rows)
     people = heard.select(F.col(OWN + "conv").alias(OWN + "of"), F.col("speaker").alias("perspective")).distinct()
     views = parts.join(people, F.col(OWN + "conv").eqNullSafe(F.col(OWN + "of")))
