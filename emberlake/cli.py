@@ -6,7 +6,7 @@ Run as ``python -m emberlake.cli ...`` or
   load --climate-csv C --hotspot-csv H --out DOCS [--rejects R]
   query hottest_hotspots --documents DOCS [--k 10] [--out OUT]
   stream (--records DIR | --kafka HOSTS) --sink S --checkpoint CK
-         [--event-time] [--as-coded --batch-width N] [--seconds 600]
+         [--event-time] [--as-coded --batch-width N] [--flat] [--seconds 600]
   rolling (--records DIR | --kafka HOSTS) --sink S --checkpoint CK
   report hours|markers --documents DOCS [--out OUT]
 
@@ -27,7 +27,7 @@ from emberlake.plans.warehouse import from_documents
 from emberlake.session import build_session
 from emberlake.sources.messages import read_records_stream
 from emberlake.streaming.enrich import (
-    run_for, start_arrival_enrichment, start_event_time_enrichment, start_rejects,
+    run_for, start_arrival_enrichment, start_event_time_enrichment,
 )
 from emberlake.streaming.rolling import start_rolling_extremes
 
@@ -104,6 +104,7 @@ def main(argv: list[str] | None = None) -> None:
             s.add_argument("--delay", default="10 minutes")
             s.add_argument("--as-coded", action="store_true")
             s.add_argument("--batch-width", type=int)
+            s.add_argument("--flat", action="store_true")
             s.add_argument("--rejects")
     r = sub.add_parser("report")
     r.add_argument("which", choices=["hours", "markers"])
@@ -123,15 +124,12 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "stream":
         recs = _records(spark, a)
         if a.event_time:
-            qs = [start_event_time_enrichment(recs, a.sink, a.checkpoint, a.window, a.delay,
-                                              processing_time=a.trigger)]
-            if a.rejects:
-                qs.append(start_rejects(recs, a.rejects, a.checkpoint.rstrip("/") + "-rejects",
-                                        processing_time=a.trigger))
+            qs = [start_event_time_enrichment(recs, a.sink, a.checkpoint, a.window, a.delay, processing_time=a.trigger,
+                                              rejects_path=a.rejects, nested=not a.flat)]
         else:
             qs = [start_arrival_enrichment(recs, a.sink, a.checkpoint, rejects_path=a.rejects,
                                            processing_time=a.trigger, as_coded=a.as_coded,
-                                           batch_width=a.batch_width)]
+                                           batch_width=a.batch_width, nested=not a.flat)]
         run_for(qs, a.seconds)
     elif a.cmd == "rolling":
         recs = _records(spark, a)

@@ -300,6 +300,14 @@ FROM feed WHERE producer_id = 'producer_climate'"""
 SELECT producer_id, latitude, longitude, confidence, surface_temperature_celcius
 FROM feed WHERE producer_id IN ('producer_hotspot_aqua', 'producer_hotspot_terra')"""
     q["stream_event_time_enrichment"] = q["enrich_climate"]
+    # The records sent after every window has closed are rejected.
+    in_time = _feed(name="feed0") + ", feed AS (SELECT * FROM feed0 WHERE arrival % 97 <> 5)"
+    q["stream_event_time_held_back"] = _with(in_time, PAIRS, LATEST, ENRICHED) + """
+SELECT * FROM enriched"""
+    q["stream_event_time_rejects"] = _with(_feed()) + """
+SELECT CASE producer_id WHEN 'producer_climate' THEN 'Climate' WHEN 'producer_hotspot_aqua' THEN 'Hotspot_AQUA'
+    ELSE 'Hotspot_TERRA' END AS topic, CAST(arrival AS BIGINT) AS "offset", 'late_window' AS reject_reason
+FROM feed WHERE producer_id IS NOT NULL AND arrival % 97 = 5"""
     q["stream_rolling_extremes"] = q["rolling_temperature_extremes"]
     # Dealt over three source partitions; the events ascend with their time.
     q["stream_rolling_extremes_partitions"] = f"""

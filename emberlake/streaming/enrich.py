@@ -3,8 +3,8 @@
 ``start_arrival_enrichment`` keeps the original semantics: a micro-batch
 *is* the batch (one climate record per micro-batch, hotspots paired within
 it).  ``start_event_time_enrichment`` groups messages by event-time window
-instead, with a watermark, so a late or slow message still meets the
-climate record of its own window.  Both call the batch plans of
+instead, behind a watermark, so a slow message still meets the climate
+record of its own window and a late one is rejected.  Both call the batch plans of
 ``operators.enrich`` inside ``foreachBatch`` and write each batch's
 partition with dynamic partition overwrite: a retried micro-batch replaces
 its own output instead of duplicating it.
@@ -16,17 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from emberlake.functions.geo import with_geo_cell
 from emberlake.functions.parse import ntz_from_micros, wall_micros
 from emberlake.operators.enrich import enrich_documents, enrich_flat
 from emberlake.sources.messages import RECORD, decode_messages, decode_records, lane_of, split_decoded
-from emberlake.streaming.state import EpochTable, overwrite_partitions
-
-_MSG_COLUMNS = ["arrival", "producer_id", "event_ts", "latitude", "longitude",
-                "air_temperature_celcius", "relative_humidity", "windspeed_knots",
-                "max_wind_speed", "precipitation", "precipitation_type", "ghi",
-                "confidence", "surface_temperature_celcius"]
-
+from emberlake.streaming.state import EpochTable, interval_micros, overwrite_partitions
 
 def _trigger(writer, processing_time: str | None, available_now: bool):
     if available_now:
@@ -128,71 +121,102 @@ def _placed_parts(decoded: DataFrame, width: int, keep: int, path: str,
     return msgs, late, rows.select(*RECORD.names, "lane", "batch", "newest"), pending
 
 
-STATE_BLOCK = 1 << 16
-
-
-def event_time_groups(records: DataFrame, window: str = "1 hour",
-                      delay: str = "10 minutes", block: int = STATE_BLOCK) -> DataFrame:
-    """Messages gathered per (event-time window, cell, arrival block)
-    behind a watermark.
-
-    The cell and a block of ``block`` consecutive arrivals are part of the
-    key, so one state entry never holds more than ``block`` messages, even
-    for a hot cell.  Every group of a window closes at the same watermark,
-    so the whole window reaches ``foreachBatch`` in one micro-batch.
-    """
-    good, _ = decode_messages(records)
-    # Watermarks need TIMESTAMP.  The instant is built from the wall clock's
-    # micros since the epoch, so windows follow the wall clock in any session
-    # time zone (no daylight-saving gaps, no half-hour offsets).
-    cells = (with_geo_cell(good)
-             .withColumn("_event_time", F.timestamp_micros(wall_micros("event_ts")))
-             .withColumn("_blk", F.floor(F.col("arrival") / F.lit(block))))
-    return (cells.withWatermark("_event_time", delay)
-            .groupBy(F.window("_event_time", window).alias("w"), "geo_cell", "_blk")
-            .agg(F.collect_list(F.struct(*_MSG_COLUMNS)).alias("msgs")))
+# A row is an open window (its start, the messages staged for it, the first
+# micro-batch that staged one) or the watermark (start null, micros in ``n``).
+WINDOW_SCHEMA = "start long, n long, first_epoch long"
 
 
 def start_event_time_enrichment(records: DataFrame, sink_path: str, checkpoint_path: str,
                                 window: str = "1 hour", delay: str = "10 minutes",
                                 processing_time: str | None = "10 seconds",
-                                available_now: bool = False) -> StreamingQuery:
+                                available_now: bool = False, rejects_path: str | None = None,
+                                nested: bool = False) -> StreamingQuery:
     """Enrichment per closed event-time window (``batch`` = window start).
 
-    Output is the flat enrichment (one row per climate record x hotspot),
-    partitioned by ``epoch`` (the micro-batch that closed the windows).
+    A micro-batch appends its messages to a staging table (a folder per
+    micro-batch, sorted by window); the state has one counter a window, so its size does
+    not depend on the messages.  A window closes when the watermark, the
+    newest event time less ``delay``, reaches its end: its messages are then read back and
+    enriched.  A message whose window had closed before its micro-batch goes to the rejects
+    (``late_window``) with the unreadable ones.  Windows follow the wall clock in any session time zone.
+
+    Output is the flat enrichment (one row per climate record x hotspot), or
+    ``nested`` climate documents, partitioned by ``epoch`` (the micro-batch that closed the
+    windows): a retried micro-batch starts from the same state and replaces its own folders.
     """
-    groups = event_time_groups(records, window, delay)
+    spark = records.sparkSession
+    width, lag = interval_micros(spark, window), interval_micros(spark, delay)
+    root = checkpoint_path.rstrip("/")
+    staging = f"{root}-staging"
+
+    def write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
+        overwrite_partitions(df.withColumn("epoch", F.lit(epoch_id).cast("long")), path, "epoch")
 
     def per_batch(batch_df: DataFrame, epoch_id: int) -> None:
-        # The enrichment reads the closed groups in several branches: keep
-        # them once (one pass over the state store) and skip empty batches.
-        batch_df.persist()
+        state = EpochTable(batch_df.sparkSession, f"{root}-windows", WINDOW_SCHEMA)
+        staged = EpochTable(batch_df.sparkSession, staging, "start long")
+        decoded = decode_records(batch_df).persist()
+        before = state.before(epoch_id).persist()
         try:
-            if batch_df.count() == 0:
+            if decoded.count() == 0:
                 return
-            start = ntz_from_micros(F.unix_micros(F.col("w.start")))
-            msgs = (batch_df.select(start.alias("batch"), F.explode("msgs").alias("m"))
-                    .select("batch", "m.*"))
-            flat = enrich_flat(msgs, check_sizes=False)
-            # Windows are emitted once, in the micro-batch that closes them; a
-            # retried micro-batch replays the same offsets and state, so its
-            # epoch partition is rewritten with the same rows.
-            keyed = flat.withColumn("epoch", F.lit(epoch_id).cast("long"))
-            overwrite_partitions(keyed, sink_path, "epoch")
+            good, rejects = split_decoded(decoded)
+            micros = wall_micros("event_ts")
+            placed = good.select("*", (F.floor(micros / F.lit(width)) * F.lit(width)).cast("long").alias("start"))
+            passed = before.where("start IS NULL").agg(F.max("n")).first()[0]  # one row
+            newest = good.agg(F.max(micros)).first()[0]
+            marks = [m for m in (passed, None if newest is None else newest - lag) if m is not None]
+            mark = max(marks) if marks else None
+            is_late = _closed(width, passed)
+            late = decoded.join(placed.where(is_late).select("arrival"), "arrival", "left_semi").select(
+                *RECORD.names, F.lit("late_window").alias("reject_reason"))
+            fresh = placed.where(~is_late)
+            write_epoch(fresh.sortWithinPartitions("start"), staging, epoch_id)
+            if rejects_path:
+                write_epoch(rejects.unionByName(late), rejects_path, epoch_id)
+            counts = fresh.groupBy("start").agg(F.count("*").alias("n")).withColumn(
+                "first_epoch", F.lit(epoch_id).cast("long"))
+            windows = before.where("start IS NOT NULL").unionByName(counts).groupBy("start").agg(
+                F.sum("n").alias("n"), F.min("first_epoch").alias("first_epoch")).persist()
+            closing = windows.where(_closed(width, mark)).agg(F.min("first_epoch")).first()[0]
+            if closing is not None:
+                due = (batch_df.sparkSession.read.schema(f"{_STAGED_SCHEMA}, epoch long").parquet(staging)
+                       .where(F.col("epoch").between(closing, epoch_id) & _closed(width, mark) & ~_closed(width, passed)))
+                flat = enrich_flat(due.withColumn("batch", ntz_from_micros(F.col("start"))), check_sizes=False)
+                write_epoch(enrich_documents(flat) if nested else flat, sink_path, epoch_id)
+            marker = batch_df.sparkSession.range(1).select(
+                F.lit(None).cast("long").alias("start"), F.lit(mark).cast("long").alias("n"),
+                F.lit(None).cast("long").alias("first_epoch"))
+            # A retry of this micro-batch needs the folders of the windows that were open before it.
+            needed = before.agg(F.min("first_epoch")).first()[0]
+            state.write(windows.where(~_closed(width, mark)).unionByName(marker), epoch_id)
+            staged.drop_below(epoch_id if needed is None else needed)
+            windows.unpersist()
         finally:
-            batch_df.unpersist()
+            decoded.unpersist()
+            before.unpersist()
 
-    w = groups.writeStream.outputMode("append").foreachBatch(per_batch) \
-        .option("checkpointLocation", checkpoint_path)
+    w = records.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_path)
     return _trigger(w, processing_time, available_now).start()
 
 
+_STAGED_SCHEMA = ("start long, arrival long, producer_id string, event_ts timestamp_ntz, latitude double, longitude double, "
+                  "air_temperature_celcius double, relative_humidity double, windspeed_knots double, max_wind_speed double, "
+                  "precipitation double, precipitation_type string, ghi double, confidence double, "
+                  "surface_temperature_celcius double")
+
+
+def _closed(width: int, mark: int | None) -> F.Column:
+    """Windows whose end the watermark has reached: a plain bound on
+    ``start``, so a scan of staged messages skips other row groups."""
+    return F.lit(False) if mark is None else F.col("start") <= F.lit(mark - width)
+
+
 def start_rejects(records: DataFrame, path: str, checkpoint_path: str,
                   processing_time: str | None = "10 seconds",
                   available_now: bool = False) -> StreamingQuery:
     """Undecodable / unknown / incomplete messages to an exactly-once file sink
-    (the event-time job's side output; the arrival job writes its own)."""
+    (for a consumer of the rejects alone; both enrichment jobs write their own)."""
     _, rejects = decode_messages(records)
     w = (rejects.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", checkpoint_path))

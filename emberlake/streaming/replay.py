@@ -29,6 +29,7 @@ from emberlake.streaming.rolling import start_rolling_extremes, start_rolling_ex
 # Consecutive arrivals that make up one batch of the arrival replay.
 BATCH_WIDTH = 2_048
 FILES_PER_TRIGGER = 4
+REJECT_SCHEMA = "topic string, partition int, offset long, value string, reject_reason string"
 
 
 @contextlib.contextmanager
@@ -87,18 +88,33 @@ def heartbeat(feed: DataFrame, after: str = "1 day") -> DataFrame:
             F.lit(S.PRODUCER_TERRA).alias("producer_id"))).alias("value"))
 
 
-def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour",
-                                 delay: str = "10 minutes") -> DataFrame:
+def is_held_back(arrival: str) -> F.Column:
+    """The records that the late replay sends after all windows have closed."""
+    return F.col(arrival) % 97 == 5
+
+
+def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour", delay: str = "10 minutes",
+                                 n_files: int = 6, files_per_trigger: int = 2, hold_back: bool = False,
+                                 nested: bool = False, root: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The event-time job over several micro-batches that cut windows apart:
+    its sink and its rejects.  With ``hold_back`` some records follow after the heartbeat, to
+    a restarted query; their windows are closed by then."""
     spark = feed.sparkSession
-    root = _run_dir(spark, "enrich-event-time")
-    write_records(encode_messages(feed).repartition(_parallelism(feed)), f"{root}/records")
+    root = root or _run_dir(spark, "enrich-event-time")
+    records = encode_messages(feed)
+    held = is_held_back("offset") if hold_back else F.lit(False)
+    write_in_order(records.where(~held), f"{root}/records", n_files)
     write_records(heartbeat(feed), f"{root}/records")
-    with _state_partitions(spark):
-        q = start_event_time_enrichment(read_records_stream(spark, f"{root}/records"),
-                                        f"{root}/sink", f"{root}/checkpoint", window, delay,
-                                        available_now=True)
-        q.awaitTermination()
-    return spark.read.parquet(f"{root}/sink").drop("epoch")
+    for late in (False, True) if hold_back else (False,):
+        if late:
+            write_records(records.where(held), f"{root}/records")
+        with _state_partitions(spark):
+            start_event_time_enrichment(
+                read_records_stream(spark, f"{root}/records", max_per_trigger=files_per_trigger),
+                f"{root}/sink", f"{root}/checkpoint", window, delay, available_now=True,
+                rejects_path=f"{root}/rejects", nested=nested).awaitTermination()
+    rejects = spark.createDataFrame([], REJECT_SCHEMA) if not hold_back else spark.read.parquet(f"{root}/rejects").drop("epoch")
+    return spark.read.parquet(f"{root}/sink").drop("epoch"), rejects
 
 
 def replay_arrival_enrichment(feed: DataFrame, batch_width: int = BATCH_WIDTH,

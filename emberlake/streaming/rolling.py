@@ -25,7 +25,7 @@ from emberlake.operators.rolling import DEFAULT_WINDOW, rolling_extremes
 from emberlake.functions.parse import wall_micros
 from emberlake.plans.reports import TIME_BLOCK, climate_readings, timed_readings
 from emberlake.sources.messages import decode_messages, decode_records, split_decoded
-from emberlake.streaming.state import EpochTable, overwrite_partitions
+from emberlake.streaming.state import EpochTable, interval_micros, overwrite_partitions
 
 CARRY_SCHEMA = "stream string, arrival long, day_label string, temperature double, seq long, epoch long"
 
@@ -101,8 +101,7 @@ def start_rolling_extremes_by_time(records: DataFrame, sink_path: str, checkpoin
     readings of the last ``delay`` only.
     """
     spark = records.sparkSession
-    lag = int(spark.sql(f"SELECT timestampdiff(MICROSECOND, TIMESTAMP '2000-01-01 00:00:00', "
-                        f"TIMESTAMP '2000-01-01 00:00:00' + INTERVAL {delay}) AS n").first().n)
+    lag = interval_micros(spark, delay)
     reading = ["stream", "micros", "arrival", "day_label", "temperature"]
 
     def per_batch(batch_df: DataFrame, epoch_id: int) -> None:

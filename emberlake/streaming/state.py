@@ -21,6 +21,12 @@ def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
        .partitionBy(*columns).parquet(path))
 
 
+def interval_micros(spark: SparkSession, text: str) -> int:
+    """The micros of an interval such as ``10 minutes``."""
+    at = "TIMESTAMP_NTZ '2000-01-01 00:00:00'"
+    return int(spark.sql(f"SELECT timestampdiff(MICROSECOND, {at}, {at} + INTERVAL {text}) AS n").first().n)
+
+
 class EpochTable:
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
@@ -47,5 +53,13 @@ class EpochTable:
         """Write the state of ``epoch`` and drop what no retry can need."""
         overwrite_partitions(rows.withColumn("epoch", F.lit(epoch).cast("long")), self.path, "epoch")
         for old in [e for e in self.epochs() if e <= epoch][:-2]:
-            fs, path = self._folder(f"{PREFIX}{old}")
-            fs.delete(path, True)
+            self._drop(old)
+
+    def drop_below(self, epoch: int) -> None:
+        """Drop the partitions of all epochs below ``epoch``."""
+        for old in [e for e in self.epochs() if e < epoch]:
+            self._drop(old)
+
+    def _drop(self, epoch: int) -> None:
+        fs, path = self._folder(f"{PREFIX}{epoch}")
+        fs.delete(path, True)

@@ -9,7 +9,7 @@ import __spark_entry__ as E  # noqa: E402
 from check_oracle import compare  # noqa: E402
 from tests.conftest import SF_SMALL  # noqa: E402
 
-STREAMS = ("stream_event_time_enrichment", "stream_rolling_extremes", "stream_arrival_enrichment")
+STREAMS = ("stream_event_time_enrichment", "stream_event_time_held_back", "stream_rolling_extremes", "stream_arrival_enrichment")
 
 
 def test_every_query_has_an_oracle():

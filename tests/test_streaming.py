@@ -3,12 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from emberlake.operators.enrich import enrich_flat
+from emberlake.operators.enrich import enrich_documents, enrich_flat
 from emberlake.plans import reports as R
 from emberlake.plans import warehouse as W
 from emberlake.sources.messages import read_records_stream, write_records
 from emberlake.streaming import replay as SR
-from emberlake.streaming.enrich import start_arrival_enrichment
+from emberlake.streaming.enrich import start_arrival_enrichment, start_event_time_enrichment
 from emberlake.streaming.rolling import start_rolling_extremes_by_time
 from emberlake.streaming.state import EpochTable
 from tests.conftest import SF_SMALL
@@ -59,7 +59,49 @@ def test_rolling_stream_over_micro_batches(spark):
 
 def test_stream_event_time_equals_batch(spark):
     feed = W.feed(spark, SF_SMALL)
-    same_rows(SR.replay_event_time_enrichment(feed), enrich_flat(feed))
+    same_rows(SR.replay_event_time_enrichment(feed, files_per_trigger=3)[0], enrich_flat(feed))
+
+
+def test_event_time_documents_hold_the_flat_rows(spark):
+    feed = W.feed(spark, SF_SMALL)
+    docs = SR.replay_event_time_enrichment(feed, nested=True)[0]
+    same_rows(docs, enrich_documents(enrich_flat(feed)))
+
+
+def hotspot_record(offset, hour, minute=0):
+    value = ('{"producer_id": "producer_hotspot_aqua", "latitude": -37.0, "longitude": 145.0, "confidence": 70, '
+             '"surface_temperature_celcius": %d, "created_time": "2024-01-01T%02d:%02d:00"}') % (offset, hour, minute)
+    return "Hotspot_AQUA", 0, offset, value
+
+
+def test_event_time_windows_over_micro_batches(spark, tmp_dir):
+    """A slow message joins its open window, a late one is rejected, and the
+    state and the staging table keep what open windows need only."""
+    def start(records):
+        return start_event_time_enrichment(records, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", delay="30 minutes", available_now=True,
+                                           rejects_path=f"{tmp_dir}/rejects")
+
+    def hour(offset, day, h):
+        r = climate_record(offset, day)
+        return (*r[:3], r[3].replace("T00:00:00", f"T{h:02d}:00:00"))
+
+    state = EpochTable(spark, f"{tmp_dir}/ckpt-windows", "start long, n long, first_epoch long")
+    run_round(spark, tmp_dir, [hour(0, 1, 5), *[hotspot_record(i, 5, i) for i in range(1, 41)]], start)
+    assert sorted((r.n, r.first_epoch) for r in state.before(99).where("start IS NOT NULL").collect()) == [(41, 0)]
+    run_round(spark, tmp_dir, [hour(50, 1, 6)], start)                       # watermark 05:30: the 5th hour stays open
+    run_round(spark, tmp_dir, [hotspot_record(60, 5, 59)], start)            # slow, in time
+    run_round(spark, tmp_dir, [hotspot_record(70, 6, 40)], start)            # watermark 06:10: the 5th hour closes
+    rows = spark.read.parquet(f"{tmp_dir}/sink")
+    assert rows.count() == 41 and {r.batch.hour for r in rows.collect()} == {5}
+    run_round(spark, tmp_dir, [hotspot_record(80, 5, 30), ("Climate", 0, 81, "garbage"), hotspot_record(82, 6, 41)], start)
+    bad = sorted((r.offset, r.reject_reason) for r in spark.read.parquet(f"{tmp_dir}/rejects").collect())
+    assert bad == [(80, "late_window"), (81, "undecodable")]
+    assert spark.read.parquet(f"{tmp_dir}/sink").count() == 41
+    assert state.before(99).where("start IS NOT NULL").count() == 1 and len(state.epochs()) == 2
+    # the 6th hour was opened by the second micro-batch
+    assert min(EpochTable(spark, f"{tmp_dir}/ckpt-staging", "start long").epochs()) == 1
+    run_round(spark, tmp_dir, [hotspot_record(90, 9)], start)
+    assert sorted({(r.epoch, r.batch.hour) for r in spark.read.parquet(f"{tmp_dir}/sink").collect()}) == [(3, 5), (5, 6)]
 
 
 def test_arrival_stream_restart_and_rejects(spark, tmp_dir):
