@@ -14,6 +14,7 @@ from emberlake import schema as S
 from emberlake.functions.geo import with_geo_cell
 from emberlake.functions.labels import fire_cause
 from emberlake.operators.joins import left_join_small
+from emberlake.operators.nest import ITEM_COLUMNS, identify, nest
 from emberlake.operators.pairing import pair_satellites, pair_satellites_as_coded
 from emberlake.operators.sizing import materialize
 
@@ -85,6 +86,14 @@ def enrich_flat(messages: DataFrame, precision: int = 3, station: int = S.STREAM
     return out.select(*FLAT_COLUMNS)
 
 
+def stored_documents(flat: DataFrame, source: str = "stream") -> DataFrame:
+    """The enriched rows as parts of stored documents, one climate
+    record a batch, with ``batch``."""
+    records = identify(flat.select("batch", *S.CLIMATE_COLUMNS).distinct(), ["batch"], source)
+    items = flat.where(F.col("time").isNotNull()).select("batch", *ITEM_COLUMNS)
+    return nest(records, items, "batch", check_sizes=False, keep_key=True)
+
+
 def enrich_documents(flat: DataFrame) -> DataFrame:
     """Nest the enriched rows into one climate document per batch.
 

@@ -1,10 +1,15 @@
-"""Climate documents: nest hotspots under their day, and unwind them again.
+"""Climate documents: nest hotspots under their record, and unwind them again.
 
-The document model embeds a day's hotspots in its climate record.  A day
-can hold an unbounded number of fires, so a document here is one *chunk*
-of a day: at most about ``max_items`` hotspots, spread over chunks by a
-hash of the hotspot, with the climate fields repeated.  Days without fires
-keep a single document with a NULL ``hotspots`` array.
+The document model embeds a record's hotspots.  A record can have an
+unbounded number of fires, so it is stored as *parts* of about ``max_items``
+hotspots each: ``doc_id`` names the record, ``part`` the slice.  A record without fires
+has one part with a NULL ``hotspots`` array.
+
+The layout is a property of the rows: equal hotspots are counted, and a
+block of copies goes to a part by its hash and its number, so a run after any other
+partitioning gives the same parts, and a hotspot copied very often still spreads.
+Each part carries the minimum and maximum of its hotspots' measures (the zone
+columns), with which a scan skips parts before their arrays are read.
 """
 
 from __future__ import annotations
@@ -17,44 +22,79 @@ from emberlake.operators.joins import left_join_small
 from emberlake.operators.sizing import broadcast_if_small, materialize
 
 DEFAULT_MAX_ITEMS = 10_000
+# A part takes equal hotspots in blocks of up to this share of its size.
+BLOCKS_PER_PART = 32
+# Numbers that one row of a two-level sequence unfolds to.
+_FAN_OUT = 1 << 16
 
+ITEM_COLUMNS = [*S.HOTSPOT_COLUMNS, "cause"]
 
-def _hotspot_struct(df: DataFrame) -> F.Column:
-    cause = F.col("cause") if "cause" in df.columns else F.lit(None).cast("string")
-    return F.struct(*[F.col(c) for c in S.HOTSPOT_COLUMNS], cause.alias("cause"))
 
+def unfold(df: DataFrame, n: F.Column, out: str) -> DataFrame:
+    """Each row once for every number 0 to ``n`` - 1; two levels, so that no
+    array holds more than ``_FAN_OUT`` or ``n / _FAN_OUT`` numbers."""
+    coarse = df.select("*", n.cast("long").alias("_count")).where("_count > 0").select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_count") - 1) / _FAN_OUT))).alias("_coarse"))
+    low = F.col("_coarse") * F.lit(_FAN_OUT)
+    fine = F.sequence(low, F.least(low + F.lit(_FAN_OUT), F.col("_count")) - 1)
+    return coarse.select("*", F.explode(fine).alias(out)).drop("_count", "_coarse")
 
-def nest_documents(climate: DataFrame, hotspots: DataFrame,
-                   max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """Left-outer nest join of hotspots into climate days, chunked.
 
-    Returns ``climate_doc`` columns plus ``chunk``.  Hotspots on days without
-    a climate record are dropped (the climate side is preserved).
-    """
-    per_day = materialize(
-        hotspots.groupBy("date").agg(F.count(F.lit(1)).alias("_n")), "hotspots-per-day")
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max_items)).cast("int"))
-    # The row id joins the hash so that copies of one hotspot spread over
-    # the chunks too (a group of identical rows must not fill one array).  It
-    # is taken before any shuffle, so a task run again gives the same ids.
-    numbered = hotspots.withColumn("_row", F.monotonically_increasing_id())
-    spread = F.xxhash64(*S.HOTSPOT_COLUMNS, "_row")
-    tagged = (numbered.join(broadcast_if_small(per_day), "date")
-              .withColumn("chunk", F.pmod(spread, n_chunks).cast("int")))
-    chunks = (tagged.groupBy("date", "chunk")
-              .agg(F.array_sort(F.collect_list(_hotspot_struct(tagged))).alias("hotspots")))
-    days = materialize(climate, "climate-days")
-    docs = left_join_small(days, chunks, ["date"], present=per_day.select("date"))
-    return docs.select(*S.CLIMATE_COLUMNS, F.coalesce("chunk", F.lit(0)).alias("chunk"), "hotspots")
-
-
-def unwind(docs: DataFrame, keep_empty: bool = False) -> DataFrame:
+def identify(records: DataFrame, keys: list[str], source: str) -> DataFrame:
+    """Records with their ``doc_id``: a digest of the record, its keys, its
+    source and, of equal records, its number among them."""
+    columns = [*dict.fromkeys([*keys, *S.CLIMATE_COLUMNS])]
+    counted = records.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = unfold(counted, F.col("_n"), "_copy").drop("_n")
+    digest = F.md5(F.to_json(F.struct(F.lit(source).alias("_source"), *columns, "_copy")))
+    return numbered.select(digest.alias("doc_id"), F.lit(source).alias("source"), *columns)
+
+
+def nest(records: DataFrame, items: DataFrame, key: str, max_items: int = DEFAULT_MAX_ITEMS,
+         check_sizes: bool = True, keep_key: bool = False) -> DataFrame:
+    """The parts of identified ``records`` with the ``items`` of equal
+    ``key``.  Items without a record are dropped; records of one key each
+    get all its items.  Within a micro-batch ``check_sizes`` is off: no side table is written."""
+    if "cause" not in items.columns:
+        items = items.withColumn("cause", F.lit(None).cast("string"))
+    per_key = items.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    if check_sizes:
+        per_key, records = materialize(per_key, "hotspots-per-key"), materialize(records, "documents-without-hotspots")
+    block = max(1, max_items // BLOCKS_PER_PART)
+    counted = items.groupBy(key, *ITEM_COLUMNS).agg(F.count(F.lit(1)).alias("_copies"))
+    blocks = unfold(counted, F.ceil(F.col("_copies") / block), "_block")
+    copies = F.least(F.lit(block).cast("long"), F.col("_copies") - F.col("_block") * block).cast("int")
+    n_parts = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("_n") / F.lit(max_items)))
+    sized = blocks.join(broadcast_if_small(per_key) if check_sizes else per_key, key)
+    placed = sized.select(key, F.pmod(F.xxhash64(*ITEM_COLUMNS, "_block"), n_parts).cast("int").alias("part"),
+                          copies.alias("_copies"), *ITEM_COLUMNS)
+    equal = F.array_repeat(F.struct(*ITEM_COLUMNS), F.col("_copies"))
+    zones = [f(F.col(m)).alias(f"{m}_{name}") for m in S.HOTSPOT_MEASURES for name, f in (("min", F.min), ("max", F.max))]
+    parts = placed.groupBy(key, "part").agg(
+        F.array_sort(F.flatten(F.collect_list(equal))).alias("hotspots"), F.sum("_copies").alias("n_hotspots"), *zones)
+    docs = left_join_small(records, parts, [key], check_size=check_sizes, present=per_key.select(key))
+    return docs.select(*([key] if keep_key else []), "doc_id", "source", *S.CLIMATE_COLUMNS, F.coalesce("part", F.lit(0)).alias("part"),
+                       F.coalesce("n_hotspots", F.lit(0)).cast("long").alias("n_hotspots"), *S.ZONE_COLUMNS, "hotspots")
+
+
+def nest_documents(climate: DataFrame, hotspots: DataFrame, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+    """J1 over days: each climate record with the hotspots of its date."""
+    return nest(identify(climate, ["date"], "historic"), hotspots, "date", max_items)
+
+
+def unwind(docs: DataFrame, keep_empty: bool = False, fields: list[str] | None = None) -> DataFrame:
     """A1: one row per hotspot with its climate fields; ``keep_empty`` keeps
-    fire-less documents as one row of NULL hotspot fields."""
+    fire-less documents as one row of NULL hotspot fields.
+
+    Every field is a path of its own into the array below the generator, so a
+    scan of stored documents reads the leaves of ``fields`` (default: all) only."""
+    fields = fields or ITEM_COLUMNS
     gen = F.explode_outer if keep_empty else F.explode
-    flat = docs.select(*S.CLIMATE_COLUMNS, gen("hotspots").alias("h"))
-    return flat.select(*S.CLIMATE_COLUMNS,
-                       *[F.col(f"h.{c}").alias(c) for c in S.HOTSPOT_COLUMNS + ["cause"]])
+    paths = docs.select(*S.CLIMATE_COLUMNS, *[F.col(f"hotspots.{c}").alias(c) for c in fields])
+    if len(fields) == 1:
+        return paths.select(*S.CLIMATE_COLUMNS, gen(fields[0]).alias(fields[0]))
+    flat = paths.select(*S.CLIMATE_COLUMNS, gen(F.arrays_zip(*fields)).alias("h"))
+    return flat.select(*S.CLIMATE_COLUMNS, *[F.col(f"h.{c}").alias(c) for c in fields])
 
 
 def hotspot_facts(climate: DataFrame, hotspots: DataFrame) -> DataFrame:

@@ -217,6 +217,17 @@ framed AS (
   WINDOW w AS (ORDER BY seq ROWS BETWEEN 10 PRECEDING AND CURRENT ROW))"""
 
 
+MARKERS = """
+SELECT latitude, longitude,
+       CASE WHEN cause = 'natural' THEN 'blue' ELSE 'red' END AS colour,
+       printf('<b>Cause:</b> %s</br><b>Surface Temperature:</b> %d</br><b>Air Temperature:</b> %d</br><b>Relative Humidity:</b> %d',
+              cause, CAST(trunc(surface_temperature_celcius) AS INTEGER),
+              CAST(trunc(air_temperature_celcius) AS INTEGER),
+              CAST(trunc(relative_humidity) AS INTEGER)) AS popup,
+       confidence
+FROM enriched WHERE time >= TIMESTAMP '2024-01-15 00:00:00'"""
+
+
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["climate_on_date"] = _with(CLIMATE) + f"""
@@ -276,15 +287,7 @@ SELECT batch, geo_cell, arrival, time, latitude, longitude, confidence,
 SELECT * FROM climate_batch"""
     q["enrich_climate"] = _with(_feed(), PAIRS, LATEST, ENRICHED) + """
 SELECT * FROM enriched"""
-    q["fire_markers"] = _with(_feed(), PAIRS, LATEST, ENRICHED) + """
-SELECT latitude, longitude,
-       CASE WHEN cause = 'natural' THEN 'blue' ELSE 'red' END AS colour,
-       printf('<b>Cause:</b> %s</br><b>Surface Temperature:</b> %d</br><b>Air Temperature:</b> %d</br><b>Relative Humidity:</b> %d',
-              cause, CAST(trunc(surface_temperature_celcius) AS INTEGER),
-              CAST(trunc(air_temperature_celcius) AS INTEGER),
-              CAST(trunc(relative_humidity) AS INTEGER)) AS popup,
-       confidence
-FROM enriched WHERE time >= TIMESTAMP '2024-01-15 00:00:00'"""
+    q["fire_markers"] = _with(_feed(), PAIRS, LATEST, ENRICHED) + MARKERS
     q["rolling_temperature_extremes"] = _with(_feed(), ROLLING) + """
 SELECT stream, arrival, seq, day_label, temperature,
        lo.v AS min_value, lo.l AS min_label_at, hi.v AS max_value, hi.l AS max_label_at,
@@ -333,4 +336,43 @@ SELECT * EXCLUDE (batch), batch AS batch_id FROM enriched"""
     q["stream_arrival_enrichment_as_coded"] = _with(by_width, PAIRS_AS_CODED, LATEST,
                                                     ENRICHED) + """
 SELECT * EXCLUDE (batch), batch AS batch_id FROM enriched"""
+    q.update(collection_oracles(by_width))
     return q
+
+
+def collection_oracles(feed: str) -> dict[str, str]:
+    """The queries over the historic load and the arrival stream together:
+    ``opened`` has a row a hotspot, or one for a record without any."""
+    hot = "time, latitude, longitude, confidence, surface_temperature_celcius, cause"
+    opened = f"""
+opened AS (
+  SELECT 'historic ' || c.date AS doc, c.*, h.* EXCLUDE (date), CAST(NULL AS VARCHAR) AS cause
+  FROM climate c LEFT JOIN hotspot h ON c.date = h.date
+  UNION ALL BY NAME
+  SELECT 'stream ' || batch AS doc, {CLIMATE_COLS}, {hot} FROM enriched),
+fires AS (SELECT * FROM opened WHERE time IS NOT NULL)"""
+    model = _with(CLIMATE, HOTSPOT, feed, PAIRS, LATEST, ENRICHED, opened)
+    whole = f"SELECT {CLIMATE_COLS}, {hot} FROM opened"
+    order = f"surface_temperature_celcius DESC, {CLIMATE_COLS}, time, latitude, longitude, confidence, cause"
+    answers = {
+        "climate_on_date": f"{whole} WHERE date = DATE '1998-12-12'",
+        "hotspots_by_surface_temp": "SELECT latitude, longitude, surface_temperature_celcius, confidence FROM fires "
+                                    "WHERE surface_temperature_celcius BETWEEN 65 AND 100",
+        "conditions_on_dates": "SELECT date, air_temperature_celcius, relative_humidity, max_wind_speed, surface_temperature_celcius "
+                               "FROM opened WHERE date IN (DATE '1998-12-15', DATE '1998-12-16', DATE '2024-01-16')",
+        "hotspots_by_confidence": "SELECT time, air_temperature_celcius, surface_temperature_celcius, confidence FROM fires "
+                                  "WHERE confidence BETWEEN 80 AND 100",
+        "hottest_hotspots": f"SELECT {CLIMATE_COLS}, {hot} FROM fires ORDER BY {order} LIMIT 10",
+        "fires_per_day": "SELECT strftime(date, '%d/%m/%Y') AS date, CAST(count(time) AS BIGINT) AS numberOfFires "
+                         "FROM opened GROUP BY doc, opened.date",
+        "low_confidence_hotspots": f"SELECT {hot} FROM fires WHERE confidence < 70",
+        "avg_surface_temp_per_day": "SELECT strftime(date, '%d/%m/%Y') AS date, avg(surface_temperature_celcius) AS avgTemp "
+                                    "FROM fires GROUP BY fires.date",
+        "lowest_ghi_days": f"{whole} WHERE doc IN (SELECT doc FROM opened GROUP BY doc ORDER BY min(ghi), min(date) LIMIT 10)",
+        "days_by_precipitation": f"{whole} WHERE precipitation_type = 'G' AND precipitation BETWEEN 0.20 AND 0.35",
+        "hotspots_per_hour": """
+SELECT CAST(r.range AS INTEGER) AS hour, CAST(coalesce(c.n, 0) AS BIGINT) AS n_hotspots
+FROM range(24) r LEFT JOIN (SELECT hour(time) AS hour, count(*) AS n FROM fires GROUP BY 1) c ON r.range = c.hour""",
+        "fire_markers": MARKERS.replace("enriched", "fires"),
+    }
+    return {f"collection_{name}": f"{model} {answer}" for name, answer in answers.items()}

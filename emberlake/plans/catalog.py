@@ -19,29 +19,22 @@ from emberlake.functions.parse import DAY_FORMAT_REPORT, format_day
 from emberlake.operators.joins import left_join_small
 
 
-def _day(d) -> F.Column:
+def as_day(d) -> F.Column:
     return F.lit(d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)))
 
 
-def _on_days(days) -> F.Column:
+def on_days(days) -> F.Column:
     """Date in a list, as equalities: unlike an in-list of cast days, Spark
     turns each into a range on the stored column and pushes it to the scan."""
     wanted = F.lit(False)
     for d in days:
-        wanted = wanted | (F.col("date") == _day(d))
+        wanted = wanted | (F.col("date") == as_day(d))
     return wanted
 
 
 def climate_on_date(climate: DataFrame, day="2018-12-12") -> DataFrame:
     """A: the climate record of one day (0 or 1 row; the least of several)."""
-    return climate.where(F.col("date") == _day(day)).orderBy(*S.CLIMATE_COLUMNS).limit(1)
-
-
-def climate_on_date_documents(documents: DataFrame, day="2018-12-12") -> DataFrame:
-    """A over documents: every chunk document of the day (its whole record,
-    hotspots included).  A date predicate on stored documents reaches the
-    Parquet scan."""
-    return documents.where(F.col("date") == _day(day))
+    return climate.where(F.col("date") == as_day(day)).orderBy(*S.CLIMATE_COLUMNS).limit(1)
 
 
 def hotspots_by_surface_temp(facts: DataFrame, low: float = 65.0, high: float = 100.0) -> DataFrame:
@@ -59,21 +52,13 @@ def conditions_on_dates(climate: DataFrame, hotspots: DataFrame,
     The picked days (at most ``len(days)`` rows) are broadcast into the
     hotspots of those days, so even a hot day's fires are never gathered.
     """
-    picked = F.broadcast(climate.where(_on_days(days)))
-    temps = hotspots.where(_on_days(days)).select("date", "surface_temperature_celcius")
+    picked = F.broadcast(climate.where(on_days(days)))
+    temps = hotspots.where(on_days(days)).select("date", "surface_temperature_celcius")
     return (left_join_small(picked, temps, ["date"], check_size=False)
             .select("date", "air_temperature_celcius", "relative_humidity",
                     "max_wind_speed", "surface_temperature_celcius"))
 
 
-def conditions_on_dates_nested(documents: DataFrame, days=("2018-12-15", "2018-12-16")) -> DataFrame:
-    """C over documents: the surface temperatures stay an array (find projection)."""
-    return (documents.where(_on_days(days))
-            .select("date", "air_temperature_celcius", "relative_humidity", "max_wind_speed",
-                    F.transform("hotspots", lambda h: h["surface_temperature_celcius"])
-                     .alias("surface_temperatures")))
-
-
 def hotspots_by_confidence(facts: DataFrame, low: float = 80.0, high: float = 100.0) -> DataFrame:
     """D: time, air and surface temperature, confidence for a confidence range."""
     c = F.col("confidence")
@@ -103,15 +88,6 @@ def fires_per_day(climate: DataFrame, hotspots: DataFrame) -> DataFrame:
                     F.coalesce("n", F.lit(0)).cast("long").alias("numberOfFires")))
 
 
-def fires_per_day_nested(documents: DataFrame) -> DataFrame:
-    """F over documents: one row per climate record, the array sizes of its
-    chunks summed, absent arrays as 0."""
-    size = F.size(F.coalesce("hotspots", F.array()))
-    return (documents.groupBy(*S.CLIMATE_COLUMNS).agg(F.sum(size).alias("n"))
-            .select(format_day("date", DAY_FORMAT_REPORT).alias("date"),
-                    F.col("n").cast("long").alias("numberOfFires")))
-
-
 def low_confidence_hotspots(facts: DataFrame, below: float = 70.0) -> DataFrame:
     """G: the hotspot fields of fires with confidence below a bound."""
     return (facts.where(F.col("confidence") < F.lit(float(below)))

@@ -19,13 +19,16 @@ from emberlake import schema as S
 from emberlake.operators.nest import DEFAULT_MAX_ITEMS, nest_documents
 from emberlake.session import scratch_path
 from emberlake.sources import csv as C
+from emberlake.sources.collection import DocumentCollection
 from emberlake.sources.messages import decode_messages, encode_messages
 
 
 def load_climate_documents(spark: SparkSession, climate_csv: str, hotspot_csv: str,
                            out_path: str | None = None, rejects_path: str | None = None,
-                           max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
-    """S1 S2 P1-P4 J1 A3 (+ S9 when ``out_path`` is given).  Without a
+                           max_items: int = DEFAULT_MAX_ITEMS,
+                           collection: DocumentCollection | None = None) -> DataFrame:
+    """S1 S2 P1-P4 J1 A3 (+ S9 when ``out_path`` or a ``collection`` is given;
+    a load that fails leaves the collection's documents as they were).  Without a
     ``rejects_path`` an unreadable row fails the load instead of vanishing."""
     climate, bad_climate = C.normalize_climate_historic(C.read_csv(spark, climate_csv, S.CLIMATE_HISTORIC_CSV))
     hotspots, bad_hotspots = C.normalize_hotspot_historic(C.read_csv(spark, hotspot_csv, S.HOTSPOT_HISTORIC_CSV))
@@ -37,10 +40,12 @@ def load_climate_documents(spark: SparkSession, climate_csv: str, hotspot_csv: s
         if first is not None:
             raise ValueError(f"unreadable rows need a rejects path; first: {first.file} {first.reject_reason} {first.row}")
     docs = nest_documents(climate, hotspots, max_items=max_items)
+    if collection:
+        return collection.read(collection.reload(docs))
     if out_path:
         # A local sort (no shuffle) gives every row group a narrow date range,
         # so date predicates on the stored documents skip row groups.
-        docs.sortWithinPartitions("date", "chunk").write.mode("overwrite").parquet(out_path)
+        docs.sortWithinPartitions("date", "doc_id", "part").write.mode("overwrite").parquet(out_path)
         return spark.read.parquet(out_path)
     return docs
 
@@ -76,13 +81,14 @@ def _root(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, "csv", f"{name}-{uuid.uuid4().hex}")
 
 
-def load_documents_roundtrip(climate: DataFrame, hotspots: DataFrame) -> DataFrame:
+def load_documents_roundtrip(climate: DataFrame, hotspots: DataFrame,
+                             collection: DocumentCollection | None = None) -> DataFrame:
     spark = climate.sparkSession
     root = _root(spark, "historic")
     C.write_csv(C.climate_historic_text(climate), f"{root}/climate_historic")
     C.write_csv(C.hotspot_historic_text(hotspots), f"{root}/hotspot_historic")
     return load_climate_documents(spark, f"{root}/climate_historic", f"{root}/hotspot_historic",
-                                  out_path=f"{root}/documents", rejects_path=f"{root}/rejects")
+                                  out_path=f"{root}/documents", rejects_path=f"{root}/rejects", collection=collection)
 
 
 def normalize_climate_feed_roundtrip(feed: DataFrame) -> DataFrame:

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlake.operators.nest import hotspot_facts, nest_documents
+from emberlake import schema as S
+from emberlake.operators.nest import hotspot_facts, nest_documents, unwind
+from emberlake.plans.load import load_documents_roundtrip
+from emberlake.session import scratch_path
+from emberlake.sources.collection import DocumentCollection
 from emberlake.sources.tables import climate_days, feed_events, hotspot_events
+from emberlake.streaming.replay import replay_arrival_enrichment
+
+# Files of the streamed part of the collection, four to a micro-batch; they cut batches apart.
+COLLECTION_FILES = 8
 
 
 def climate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,13 +41,23 @@ def feed(spark: SparkSession, sf_dir: str, batch_unit: str = "hour") -> DataFram
 
 
 def from_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(climate records, hotspot facts) of a stored documents table.
-
-    A record's climate fields repeat in each of its chunk documents; one of
-    them stays (a partial aggregate), and a day may have several records, one
-    for each station.  The facts are the unwound documents.
-    """
-    from emberlake import schema as S
-    from emberlake.operators.nest import unwind
-    climate = docs.select(*S.CLIMATE_COLUMNS).distinct()
-    return climate, unwind(docs)
+    """(climate records, hotspot facts) of stored documents.
+
+    A record's fields repeat in each of its parts; equal records differ by
+    ``doc_id``.  The facts are the unwound documents, ``cause`` included."""
+    return docs.select("doc_id", *S.CLIMATE_COLUMNS).distinct().drop("doc_id"), unwind(docs)
+
+
+_COLLECTIONS: dict[tuple[str, str], DocumentCollection] = {}
+
+
+def collection(spark: SparkSession, sf_dir: str) -> DocumentCollection:
+    """The historic load and the arrival stream of a folder, through CSV and
+    JSON records into one collection; built once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _COLLECTIONS:
+        made = DocumentCollection(spark, scratch_path(spark, "collections", uuid.uuid4().hex))
+        load_documents_roundtrip(climate(spark, sf_dir), hotspots(spark, sf_dir), made)
+        replay_arrival_enrichment(feed(spark, sf_dir), split_files=COLLECTION_FILES, collection=made)
+        _COLLECTIONS[key] = made
+    return _COLLECTIONS[key]

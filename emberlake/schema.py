@@ -37,6 +37,20 @@ CLIMATE_DOC = T.StructType([
     T.StructField("hotspots", T.ArrayType(HOTSPOT_STRUCT)),
 ])
 
+# Zone columns of a stored document: bounds of its hotspots' measures.
+ZONE_COLUMNS = [f"{m}_{bound}" for m in HOTSPOT_MEASURES for bound in ("min", "max")]
+
+# A stored document: one part of a climate record's hotspots.
+DOCUMENT = T.StructType([
+    T.StructField("doc_id", T.StringType()),
+    T.StructField("source", T.StringType()),
+    *CLIMATE_DOC.fields[:-1],
+    T.StructField("part", T.IntegerType()),
+    T.StructField("n_hotspots", T.LongType()),
+    *[T.StructField(c, T.DoubleType()) for c in ZONE_COLUMNS],
+    CLIMATE_DOC["hotspots"],
+])
+
 # Raw CSV layouts: every column read as text, typed by the normalizers.
 CLIMATE_HISTORIC_CSV = T.StructType([
     T.StructField(n, T.StringType()) for n in [

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from emberlake.functions.parse import ntz_from_micros, wall_micros
-from emberlake.operators.enrich import enrich_documents, enrich_flat
+from emberlake.operators.enrich import enrich_documents, enrich_flat, stored_documents
+from emberlake.sources.collection import DocumentCollection
 from emberlake.sources.messages import RECORD, decode_messages, decode_records, lane_of, split_decoded
 from emberlake.streaming.state import EpochTable, interval_micros, overwrite_partitions
 
@@ -32,12 +33,13 @@ def _trigger(writer, processing_time: str | None, available_now: bool):
 KEEP_BATCHES = 4
 
 
-def start_arrival_enrichment(records: DataFrame, sink_path: str, checkpoint_path: str,
+def start_arrival_enrichment(records: DataFrame, sink_path: str | None, checkpoint_path: str,
                              rejects_path: str | None = None, nested: bool = True,
                              processing_time: str | None = "10 seconds",
                              available_now: bool = False, as_coded: bool = False,
                              batch_width: int | None = None,
-                             keep_batches: int = KEEP_BATCHES) -> StreamingQuery:
+                             keep_batches: int = KEEP_BATCHES,
+                             collection: DocumentCollection | None = None) -> StreamingQuery:
     """Each micro-batch becomes one batch (``batch_id`` = epoch id).
 
     With ``batch_width`` a batch is that many consecutive arrivals instead
@@ -48,7 +50,9 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str, checkpoint_path
     A part that comes later still goes to the rejects (``late_batch``).
 
     ``as_coded`` keeps the original loop's duplicated/lost hotspots (Q1); its
-    groups are batches, so it needs a width, which bounds them.
+    groups are batches, so it needs a width, which bounds them.  With a
+    ``collection`` the documents of a batch are committed there (and replace those of
+    an earlier part of the batch) instead of to ``sink_path``.
     """
     if as_coded and not batch_width:
         raise ValueError("the as-coded pairing needs batch_width, which bounds its groups")
@@ -56,6 +60,9 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str, checkpoint_path
 
     def write_batches(msgs: DataFrame) -> None:
         flat = enrich_flat(msgs, check_sizes=False, as_coded=as_coded)
+        if collection:
+            collection.append_each(stored_documents(flat), "batch", "arrival")
+            return
         out = enrich_documents(flat) if nested else flat
         overwrite_partitions(out.withColumnRenamed("batch", "batch_id"), sink_path, "batch_id")
 
@@ -126,11 +133,11 @@ def _placed_parts(decoded: DataFrame, width: int, keep: int, path: str,
 WINDOW_SCHEMA = "start long, n long, first_epoch long"
 
 
-def start_event_time_enrichment(records: DataFrame, sink_path: str, checkpoint_path: str,
+def start_event_time_enrichment(records: DataFrame, sink_path: str | None, checkpoint_path: str,
                                 window: str = "1 hour", delay: str = "10 minutes",
                                 processing_time: str | None = "10 seconds",
                                 available_now: bool = False, rejects_path: str | None = None,
-                                nested: bool = False) -> StreamingQuery:
+                                nested: bool = False, collection: DocumentCollection | None = None) -> StreamingQuery:
     """Enrichment per closed event-time window (``batch`` = window start).
 
     A micro-batch appends its messages to a staging table (a folder per
@@ -141,7 +148,7 @@ def start_event_time_enrichment(records: DataFrame, sink_path: str, checkpoint_p
     (``late_window``) with the unreadable ones.  Windows follow the wall clock in any session time zone.
 
     Output is the flat enrichment (one row per climate record x hotspot), or
-    ``nested`` climate documents, partitioned by ``epoch`` (the micro-batch that closed the
+    ``nested`` climate documents, or documents committed to a ``collection``, partitioned by ``epoch`` (the micro-batch that closed the
     windows): a retried micro-batch starts from the same state and replaces its own folders.
     """
     spark = records.sparkSession
@@ -183,7 +190,10 @@ def start_event_time_enrichment(records: DataFrame, sink_path: str, checkpoint_p
                 due = (batch_df.sparkSession.read.schema(f"{_STAGED_SCHEMA}, epoch long").parquet(staging)
                        .where(F.col("epoch").between(closing, epoch_id) & _closed(width, mark) & ~_closed(width, passed)))
                 flat = enrich_flat(due.withColumn("batch", ntz_from_micros(F.col("start"))), check_sizes=False)
-                write_epoch(enrich_documents(flat) if nested else flat, sink_path, epoch_id)
+                if collection:
+                    collection.append(stored_documents(flat), f"event-time/{epoch_id}")
+                else:
+                    write_epoch(enrich_documents(flat) if nested else flat, sink_path, epoch_id)
             marker = batch_df.sparkSession.range(1).select(
                 F.lit(None).cast("long").alias("start"), F.lit(mark).cast("long").alias("n"),
                 F.lit(None).cast("long").alias("first_epoch"))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from emberlake import schema as S
 from emberlake.session import scratch_path
 from emberlake.functions.parse import iso_text
+from emberlake.sources.collection import DocumentCollection
 from emberlake.sources.messages import encode_messages, read_records_stream, write_records
 from emberlake.streaming.enrich import start_arrival_enrichment, start_event_time_enrichment
 from emberlake.operators.rolling import DEFAULT_WINDOW
@@ -95,7 +96,8 @@ def is_held_back(arrival: str) -> F.Column:
 
 def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour", delay: str = "10 minutes",
                                  n_files: int = 6, files_per_trigger: int = 2, hold_back: bool = False,
-                                 nested: bool = False, root: str | None = None) -> tuple[DataFrame, DataFrame]:
+                                 nested: bool = False, root: str | None = None,
+                                 collection: DocumentCollection | None = None) -> tuple[DataFrame, DataFrame]:
     """The event-time job over several micro-batches that cut windows apart:
     its sink and its rejects.  With ``hold_back`` some records follow after the heartbeat, to
     a restarted query; their windows are closed by then."""
@@ -112,16 +114,17 @@ def replay_event_time_enrichment(feed: DataFrame, window: str = "1 hour", delay:
             start_event_time_enrichment(
                 read_records_stream(spark, f"{root}/records", max_per_trigger=files_per_trigger),
                 f"{root}/sink", f"{root}/checkpoint", window, delay, available_now=True,
-                rejects_path=f"{root}/rejects", nested=nested).awaitTermination()
+                rejects_path=f"{root}/rejects", nested=nested, collection=collection).awaitTermination()
     rejects = spark.createDataFrame([], REJECT_SCHEMA) if not hold_back else spark.read.parquet(f"{root}/rejects").drop("epoch")
-    return spark.read.parquet(f"{root}/sink").drop("epoch"), rejects
+    return collection.read() if collection else spark.read.parquet(f"{root}/sink").drop("epoch"), rejects
 
 
 def replay_arrival_enrichment(feed: DataFrame, batch_width: int = BATCH_WIDTH,
                               nested: bool = False, as_coded: bool = False,
                               root: str | None = None,
                               files_per_trigger: int = FILES_PER_TRIGGER,
-                              split_files: int | None = None) -> DataFrame:
+                              split_files: int | None = None,
+                              collection: DocumentCollection | None = None) -> DataFrame:
     """The arrival job over files of whole batches, or over ``split_files``
     files of consecutive offsets, whose micro-batches cut batches apart."""
     spark = feed.sparkSession
@@ -134,9 +137,9 @@ def replay_arrival_enrichment(feed: DataFrame, batch_width: int = BATCH_WIDTH,
         q = start_arrival_enrichment(
             read_records_stream(spark, f"{root}/records", max_per_trigger=files_per_trigger),
             f"{root}/sink", f"{root}/checkpoint", rejects_path=f"{root}/rejects", nested=nested,
-            available_now=True, as_coded=as_coded, batch_width=batch_width)
+            available_now=True, as_coded=as_coded, batch_width=batch_width, collection=collection)
         q.awaitTermination()
-    return spark.read.parquet(f"{root}/sink")
+    return collection.read() if collection else spark.read.parquet(f"{root}/sink")
 
 
 def replay_rolling_extremes(feed: DataFrame, size: int = DEFAULT_WINDOW, files_per_trigger: int = 2) -> DataFrame:

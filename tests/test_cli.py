@@ -26,11 +26,11 @@ def test_stored_documents_push_date_filters(spark, tmp_dir):
     import contextlib
     import io
 
-    from emberlake.plans.catalog import climate_on_date_documents
+    from emberlake.plans.documents import climate_on_date
     docs = f"{tmp_dir}/docs"
     cli.main(["load", "--climate-csv", f"{FIX}/climate_small.csv",
               "--hotspot-csv", f"{FIX}/hotspot_small.csv", "--out", docs, "--rejects", f"{tmp_dir}/bad"])
-    q = climate_on_date_documents(spark.read.parquet(docs), "2018-03-05")
+    q = climate_on_date(spark.read.parquet(docs), "2018-03-05")
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         q.explain("formatted")

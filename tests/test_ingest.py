@@ -95,7 +95,7 @@ def test_message_without_its_measure_is_rejected(spark):
 
 def test_two_stations_on_a_day_stay_apart(spark):
     from emberlake.operators.nest import nest_documents
-    from emberlake.plans.catalog import fires_per_day_nested
+    from emberlake.plans.documents import fires_per_day
     from emberlake.plans.warehouse import from_documents
     day = dt.date(2018, 1, 3)
     climate = spark.createDataFrame([(day, st, 1.0, 2.0, 3.0, 4.0, 0.1, "G", 5.0) for st in (1, 2)],
@@ -107,4 +107,4 @@ def test_two_stations_on_a_day_stay_apart(spark):
                                   "surface_temperature_celcius double")
     docs = nest_documents(climate, fires, max_items=2)
     assert from_documents(docs)[0].count() == 2
-    assert [r.numberOfFires for r in fires_per_day_nested(docs).collect()] == [5, 5]
+    assert [r.numberOfFires for r in fires_per_day(docs).collect()] == [5, 5]
