@@ -15,7 +15,8 @@ from emberlake.functions.geo import with_geo_cell
 from emberlake.functions.labels import fire_cause
 from emberlake.operators.joins import left_join_small
 from emberlake.operators.nest import ITEM_COLUMNS, identify, nest
-from emberlake.operators.pairing import pair_satellites, pair_satellites_as_coded
+from emberlake.operators.pairing import CODED_BLOCK, count_as_coded, pair_satellites
+from emberlake.operators.sequence import unfold
 from emberlake.operators.sizing import materialize
 
 CLIMATE_FIELDS = ["event_ts", "latitude", "longitude", *S.CLIMATE_MEASURES,
@@ -55,7 +56,7 @@ def climate_record(latest: DataFrame, station: int = S.STREAM_STATION) -> DataFr
 
 
 def enrich_flat(messages: DataFrame, precision: int = 3, station: int = S.STREAM_STATION,
-                check_sizes: bool = True, as_coded: bool = False) -> DataFrame:
+                check_sizes: bool = True, as_coded: bool = False, block: int = CODED_BLOCK) -> DataFrame:
     """Flagship: one row per (climate record x co-located hotspot).
 
     A batch's climate record is kept with NULL hotspot fields when no
@@ -64,15 +65,15 @@ def enrich_flat(messages: DataFrame, precision: int = 3, station: int = S.STREAM
     inner join plus an anti join: the climate side has one row per batch
     and can be broadcast (or, when large, AQE may split a hot (batch, cell)
     of the hotspot side, which a left-outer join could not).  ``as_coded``
-    reproduces the original loop's duplicated and lost hotspots (per
-    micro-batch only, see ``pair_satellites_as_coded``).
+    reproduces the original loop's duplicated and lost hotspots; copies are
+    unfolded after the join, so only those in the climate's cell are made.
     """
     climate_msgs, sat_msgs = route(messages)
     climate = climate_record(latest_climate_per_batch(climate_msgs, precision=precision), station)
     if check_sizes:
         climate = materialize(climate, "climate-per-batch")
     cells = with_geo_cell(sat_msgs, precision)
-    pairs = pair_satellites_as_coded(cells) if as_coded else pair_satellites(cells)
+    pairs = count_as_coded(cells, block=block).where("copies > 0") if as_coded else pair_satellites(cells)
     pairs = pairs.withColumnRenamed("merged", "_merged")
     keys = ["batch", "geo_cell"]
     # The pairing keeps every message's (batch, cell), so the occupied keys
@@ -80,6 +81,8 @@ def enrich_flat(messages: DataFrame, precision: int = 3, station: int = S.STREAM
     # of a cell, so there they are taken from its output.
     present = None if as_coded else cells.select(*keys).distinct()
     out = left_join_small(climate, pairs, keys, check_size=check_sizes, present=present)
+    if as_coded:
+        out = unfold(out, F.coalesce("copies", F.lit(1)), "_copy")
     has_hotspot = F.col("arrival").isNotNull()
     out = (out.withColumn("cause", F.when(has_hotspot, fire_cause("air_temperature_celcius", "ghi")))
               .withColumn("merged", F.col("_merged")))

@@ -19,27 +19,16 @@ from pyspark.sql import functions as F
 
 from emberlake import schema as S
 from emberlake.operators.joins import left_join_small
+from emberlake.operators.sequence import unfold
 from emberlake.operators.sizing import broadcast_if_small, materialize
 
 DEFAULT_MAX_ITEMS = 10_000
 # A part takes equal hotspots in blocks of up to this share of its size.
 BLOCKS_PER_PART = 32
-# Numbers that one row of a two-level sequence unfolds to.
-_FAN_OUT = 1 << 16
 
 ITEM_COLUMNS = [*S.HOTSPOT_COLUMNS, "cause"]
 
 
-def unfold(df: DataFrame, n: F.Column, out: str) -> DataFrame:
-    """Each row once for every number 0 to ``n`` - 1; two levels, so that no
-    array holds more than ``_FAN_OUT`` or ``n / _FAN_OUT`` numbers."""
-    coarse = df.select("*", n.cast("long").alias("_count")).where("_count > 0").select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_count") - 1) / _FAN_OUT))).alias("_coarse"))
-    low = F.col("_coarse") * F.lit(_FAN_OUT)
-    fine = F.sequence(low, F.least(low + F.lit(_FAN_OUT), F.col("_count")) - 1)
-    return coarse.select("*", F.explode(fine).alias(out)).drop("_count", "_coarse")
-
-
 def identify(records: DataFrame, keys: list[str], source: str) -> DataFrame:
     """Records with their ``doc_id``: a digest of the record, its keys, its
     source and, of equal records, its number among them."""

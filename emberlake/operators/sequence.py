@@ -66,3 +66,17 @@ def number_within(df: DataFrame, keys: list[str], order_col: str, out: str = "rn
     rn = F.when(~F.col("_null"), F.col("_lrn") + F.col("_off"))
     return (local.join(offsets, grp).withColumn(out, rn)
             .drop("_lrn", "_off", *grp))
+
+
+# Numbers that one row of a two-level sequence unfolds to.
+_FAN_OUT = 1 << 16
+
+
+def unfold(df: DataFrame, n: Column, out: str) -> DataFrame:
+    """Each row once for every number 0 to ``n`` - 1; two levels, so that no
+    array holds more than ``_FAN_OUT`` or ``n / _FAN_OUT`` numbers."""
+    coarse = df.select("*", n.cast("long").alias("_count")).where("_count > 0").select(
+        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_count") - 1) / _FAN_OUT))).alias("_coarse"))
+    low = F.col("_coarse") * F.lit(_FAN_OUT)
+    fine = F.sequence(low, F.least(low + F.lit(_FAN_OUT), F.col("_count")) - 1)
+    return coarse.select("*", F.explode(fine).alias(out)).drop("_count", "_coarse")

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from emberlake.functions.parse import ntz_from_micros, wall_micros
 from emberlake.operators.enrich import enrich_documents, enrich_flat, stored_documents
+from emberlake.operators.pairing import coded_block
 from emberlake.sources.collection import DocumentCollection
 from emberlake.sources.messages import RECORD, decode_messages, decode_records, lane_of, split_decoded
 from emberlake.streaming.state import EpochTable, interval_micros, overwrite_partitions
@@ -49,8 +50,8 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str | None, checkpoi
     batch is enriched again from all its messages and its output replaced.
     A part that comes later still goes to the rejects (``late_batch``).
 
-    ``as_coded`` keeps the original loop's duplicated/lost hotspots (Q1); its
-    groups are batches, so it needs a width, which bounds them.  With a
+    ``as_coded`` keeps the original loop's duplicated/lost hotspots (Q1); it
+    counts within batches, so it needs a width, which bounds their grids.  With a
     ``collection`` the documents of a batch are committed there (and replace those of
     an earlier part of the batch) instead of to ``sink_path``.
     """
@@ -59,7 +60,7 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str | None, checkpoi
     pending_path = f"{checkpoint_path.rstrip('/')}-pending"
 
     def write_batches(msgs: DataFrame) -> None:
-        flat = enrich_flat(msgs, check_sizes=False, as_coded=as_coded)
+        flat = enrich_flat(msgs, check_sizes=False, as_coded=as_coded, block=coded_block(batch_width or 1))
         if collection:
             collection.append_each(stored_documents(flat), "batch", "arrival")
             return

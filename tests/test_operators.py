@@ -4,6 +4,7 @@ import datetime as dt
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -191,7 +192,8 @@ def counted_pairs(aqua, terra):
     return out + [(t["arrival"], t["conf"], t["surf"], "terra") for n, t in enumerate(terra) if n not in taken]
 
 
-def test_as_coded_pairing_equals_closed_form(spark):
+@pytest.mark.parametrize("block", [2, 8])
+def test_as_coded_pairing_equals_closed_form(spark, block):
     from emberlake.functions.geo import with_geo_cell
     from emberlake.operators.pairing import pair_satellites_as_coded
     rng = random.Random(23)
@@ -200,7 +202,7 @@ def test_as_coded_pairing_equals_closed_form(spark):
     for b in range(300):
         n_cells = rng.randint(1, 3)
         aqua, terra = [], []
-        for _ in range(rng.randint(0, 9)):
+        for _ in range(90 if b % 60 == 0 else rng.randint(0, 9)):
             arrival += 1
             sat = rng.choice([S.PRODUCER_AQUA, S.PRODUCER_TERRA])
             rec = {"arrival": arrival, "cell": rng.randrange(n_cells),
@@ -210,7 +212,7 @@ def test_as_coded_pairing_equals_closed_form(spark):
         for p in counted_pairs(aqua, terra):
             expected[(b, *p)] += 1
     df = with_geo_cell(spark.createDataFrame(rows, MSG_SCHEMA))
-    got = pair_satellites_as_coded(df).select(
+    got = pair_satellites_as_coded(df, block=block).select(
         "batch", "arrival", "confidence", "surface_temperature_celcius", "satellite").collect()
     assert Counter(tuple(r) for r in got) == expected
     assert sum(expected.values()) != len(rows)   # duplicates and losses do occur
