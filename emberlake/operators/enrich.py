@@ -56,7 +56,8 @@ def climate_record(latest: DataFrame, station: int = S.STREAM_STATION) -> DataFr
 
 
 def enrich_flat(messages: DataFrame, precision: int = 3, station: int = S.STREAM_STATION,
-                check_sizes: bool = True, as_coded: bool = False, block: int = CODED_BLOCK) -> DataFrame:
+                check_sizes: bool = True, as_coded: bool = False, block: int = CODED_BLOCK,
+                kept: list[DataFrame] | None = None) -> DataFrame:
     """Flagship: one row per (climate record x co-located hotspot).
 
     A batch's climate record is kept with NULL hotspot fields when no
@@ -66,14 +67,15 @@ def enrich_flat(messages: DataFrame, precision: int = 3, station: int = S.STREAM
     and can be broadcast (or, when large, AQE may split a hot (batch, cell)
     of the hotspot side, which a left-outer join could not).  ``as_coded``
     reproduces the original loop's duplicated and lost hotspots; copies are
-    unfolded after the join, so only those in the climate's cell are made.
+    unfolded after the join, so only those in the climate's cell are made
+    (``block`` and ``kept`` as in ``count_as_coded``).
     """
     climate_msgs, sat_msgs = route(messages)
     climate = climate_record(latest_climate_per_batch(climate_msgs, precision=precision), station)
     if check_sizes:
         climate = materialize(climate, "climate-per-batch")
     cells = with_geo_cell(sat_msgs, precision)
-    pairs = count_as_coded(cells, block=block).where("copies > 0") if as_coded else pair_satellites(cells)
+    pairs = count_as_coded(cells, block=block, kept=kept).where("copies > 0") if as_coded else pair_satellites(cells)
     pairs = pairs.withColumnRenamed("merged", "_merged")
     keys = ["batch", "geo_cell"]
     # The pairing keeps every message's (batch, cell), so the occupied keys

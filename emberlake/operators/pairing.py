@@ -117,7 +117,8 @@ def _dominated(queries: DataFrame, points: DataFrame, block: int) -> DataFrame:
     return q.withColumn("before", before).drop("bx", "by", "nbx", "nby", "gx", "gy", "_whole", "_column", "_row")
 
 
-def count_as_coded(hotspots: DataFrame, batch: str = "batch", block: int = CODED_BLOCK) -> DataFrame:
+def count_as_coded(hotspots: DataFrame, batch: str = "batch", block: int = CODED_BLOCK,
+                   kept: list[DataFrame] | None = None) -> DataFrame:
     """Q1: the pairing with the original loop's multiplicities as ``copies``.
 
     An AQUA row is emitted once per TERRA row the loop passes over up to its
@@ -128,13 +129,16 @@ def count_as_coded(hotspots: DataFrame, batch: str = "batch", block: int = CODED
 
     Batches should have a bounded width (``block`` near its square root, see
     ``coded_block``): a batch's grid has (width / block)^2 cells.  Rows without a batch belong to none.
-    Input needs ``geo_cell``."""
+    Input needs ``geo_cell``.  The slots are read several times: with ``kept`` they are persisted
+    and appended to it, for the caller to release."""
     sats = hotspots.where(F.col("producer_id").isin(S.PRODUCER_AQUA, S.PRODUCER_TERRA) & F.col(batch).isNotNull()).select(
         F.col(batch).alias("batch"), "arrival", "producer_id", "event_ts", "latitude", "longitude",
         *S.HOTSPOT_MEASURES, "geo_cell")
     ordered = number_within(sats, ["batch", "producer_id"], "arrival", "seq")
     numbered = number_within(ordered, ["batch", "producer_id", "geo_cell"], "arrival", "rn")
     slots = _slots(numbered, "batch", "geo_cell", [*PAIR_FIELDS, "seq"])
+    if kept is not None:
+        kept.append(slots.persist())
     has_a, has_t = F.col("a_arrival").isNotNull(), F.col("t_arrival").isNotNull()
     aqua = _dominated(slots.where(has_a), slots.where(has_a & has_t), block)
     n_terra = sats.where(F.col("producer_id") == S.PRODUCER_TERRA).groupBy("batch").agg(F.count(F.lit(1)).alias("n_t"))

@@ -60,12 +60,17 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str | None, checkpoi
     pending_path = f"{checkpoint_path.rstrip('/')}-pending"
 
     def write_batches(msgs: DataFrame) -> None:
-        flat = enrich_flat(msgs, check_sizes=False, as_coded=as_coded, block=coded_block(batch_width or 1))
-        if collection:
-            collection.append_each(stored_documents(flat), "batch", "arrival")
-            return
-        out = enrich_documents(flat) if nested else flat
-        overwrite_partitions(out.withColumnRenamed("batch", "batch_id"), sink_path, "batch_id")
+        kept: list[DataFrame] = []
+        flat = enrich_flat(msgs, check_sizes=False, as_coded=as_coded, block=coded_block(batch_width or 1), kept=kept)
+        try:
+            if collection:
+                collection.append_each(stored_documents(flat), "batch", "arrival")
+                return
+            out = enrich_documents(flat) if nested else flat
+            overwrite_partitions(out.withColumnRenamed("batch", "batch_id"), sink_path, "batch_id")
+        finally:
+            for df in kept:
+                df.unpersist()
 
     def write_rejects(rejects: DataFrame, epoch_id: int) -> None:
         if rejects_path:
