@@ -12,10 +12,8 @@ chunks of documents:
    of anchors find regions with an earlier owner (all of it goes) and
    anchors whose regions differ (``open``: a part may go).
 2. The chunks send the bytes of their open regions, once each, with the least
-   document.  The owners sort those suffixes: prefix polynomial hashes and
-   binary search find common extensions, a mergesort orders the suffixes by
-   them, and equal windows are verified by their bytes.  The answer is a bit
-   for each window.
+   document.  The owners sort those suffixes by their bytes, a word of eight at
+   a time and only as far as they are equal.  The answer is a bit for each window.
 3. Each chunk marks the bytes of its documents and hashes what is left.
 
 Chunks hold about ``CHUNK_BYTES`` of text.  What a chunk sends of one anchor
@@ -101,7 +99,14 @@ class Chunk:
         runs = anchor_runs(self.raw, self.offsets)
         rank = self.rank[runs.doc]
         owner = ((runs.h & _LOW24) % np.uint64(owners)).astype(np.int64)
-        order = np.lexsort((rank, runs.region, runs.h, owner))
+        # By owner and the hash bits it does not imply; runs alike in both by all keys.
+        key = (owner.astype(np.uint64) << np.uint64(40)) | (runs.h >> np.uint64(24))
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        alike = np.append(False, key[1:] == key[:-1])[:len(key)]
+        some = np.flatnonzero(alike | np.append(alike[1:], False)[:len(key)])
+        tied = order[some]
+        order[some] = tied[np.lexsort((rank[tied], runs.region[tied], runs.h[tied], key[some]))]
         self.runs, self.order = runs, order
         h, region = runs.h[order], runs.region[order]
         new_h = np.append(True, h[1:] != h[:-1])[:len(h)]
@@ -364,10 +369,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sent = packed.mapInArrow(_send_anchors(owners, hot_regions),
                              "owner long, chunk long, h binary, region binary, hot binary, rank binary")
     reply = "chunk long, owner long, answer binary"
-    anchors = staged(sent.groupBy("owner").applyInArrow(_own_anchors, reply), "repeat-anchors")
+    # As many tasks as owners, so that a task's share stays as it is when the input grows.
+    anchors = staged(sent.repartition(owners, "owner").groupBy("owner").applyInArrow(_own_anchors, reply), "repeat-anchors")
     regions = packed.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(
         _send_regions(owners, hot_regions), "owner long, chunk long, data binary, length binary, anchor binary, rank binary")
-    windows = staged(regions.groupBy("owner").applyInArrow(_own_regions, reply), "repeat-windows")
+    windows = staged(regions.repartition(owners, "owner").groupBy("owner").applyInArrow(_own_regions, reply), "repeat-windows")
     both = anchors.withColumn("step", F.lit(1)).unionAll(windows.withColumn("step", F.lit(2)))
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_text else "")
     out = packed.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(_finish(owners, hot_regions, with_text), schema)

@@ -88,105 +88,55 @@ def anchor_runs(raw: np.ndarray, offsets: np.ndarray) -> Runs:
 
 
 class Suffixes:
-    """Windows of some records, compared by prefix hashes.
+    """Windows of some records, compared eight bytes at a time.
 
     ``data`` has one record a row (zero-padded); a suffix is a record and an
     offset, of which ``LENGTH`` bytes count.
     """
 
     def __init__(self, data: np.ndarray, record: np.ndarray, offset: np.ndarray):
-        self.data, self.record, self.offset = data, record, offset
-        up, down = _POWERS.to(data.shape[1] + 1)
-        self.sums = np.zeros((len(data), data.shape[1] + 1), dtype=np.uint64)
-        np.cumsum(_BYTE[data] * up[:-1], axis=1, out=self.sums[:, 1:])
-        self.down = down
-        self.whole = self.prefix(np.arange(len(record)), np.full(len(record), LENGTH))
-
-    def prefix(self, s: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Hash of the first ``n`` bytes of the suffixes ``s``."""
-        r, o = self.record[s], self.offset[s]
-        return (self.sums[r, o + n] - self.sums[r, o]) * self.down[o]
-
-    def less(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether suffix a sorts before suffix b: a binary search over the
-        prefix hashes finds the common extension, the next byte decides."""
-        out = np.zeros(len(a), dtype=bool)
-        i = np.flatnonzero(self.whole[a] != self.whole[b])
-        if not len(i):
-            return out
-        a, b = a[i], b[i]
-        lo, hi = np.zeros(len(i), dtype=np.int64), np.full(len(i), LENGTH, dtype=np.int64)  # equal at lo, not at hi
-        while True:
-            open_ = np.flatnonzero(hi - lo > 1)
-            if not len(open_):
-                break
-            mid = (lo[open_] + hi[open_]) // 2
-            same = self.prefix(a[open_], mid) == self.prefix(b[open_], mid)
-            lo[open_] = np.where(same, mid, lo[open_])
-            hi[open_] = np.where(same, hi[open_], mid)
-        out[i] = self.data[self.record[a], self.offset[a] + lo] < self.data[self.record[b], self.offset[b] + lo]
-        return out
-
-    def sort(self, groups: np.ndarray) -> np.ndarray:
-        """Suffix order within each run of equal ``groups``: a bottom-up
-        mergesort of all groups together, in which each suffix finds its
-        rank in the sibling run by binary search."""
+        spare = -(-LENGTH // 8) * 8  # a word may start near the last record's end
+        self.flat = np.concatenate([data.ravel(), np.zeros(spare, dtype=np.uint8)])
+        self.at = record.astype(np.int64) * data.shape[1] + offset
+
+    def word(self, s: np.ndarray, w: int) -> np.ndarray:
+        """The ``w``-th eight bytes of the suffixes ``s`` as one number, which
+        sorts as they do."""
+        words = np.ndarray((len(self.flat) - 7,), dtype="<u8", buffer=self.flat, strides=(1,))
+        out = words[self.at[s] + 8 * w].byteswap()
+        beyond = 8 * (w + 1) - LENGTH
+        return out >> np.uint64(8 * beyond) if beyond > 0 else out
+
+    def classes(self, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix order within each run of equal ``groups`` and, in that
+        order, the class of equal windows.
+
+        A radix sort from the first word on: a round orders the suffixes that
+        are equal so far by their next word, and those that differ from all
+        others are done.  Only a class that is out of order is sorted."""
         n = len(groups)
         order = np.arange(n)
         if n == 0:
-            return order
-        head = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
-        size = np.diff(np.append(head, n))
-        start, many = np.repeat(head, size), np.repeat(size, size)
-        place = np.arange(n) - start
-        width = 1
-        while width < size.max():
-            mine = np.flatnonzero(many > width)
-            block = place[mine] // width
-            left = block % 2 == 0
-            sib_lo = np.where(left, (block + 1) * width, (block - 1) * width)
-            sib_hi = np.minimum(sib_lo + width, many[mine])
-            sib_lo = np.minimum(sib_lo, sib_hi)
-            lo, hi = sib_lo.copy(), sib_hi.copy()
-            own = order[start[mine] + place[mine]]
-            while True:
-                open_ = np.flatnonzero(lo < hi)
-                if not len(open_):
-                    break
-                mid = (lo[open_] + hi[open_]) // 2
-                other = order[start[mine[open_]] + mid]
-                it = own[open_]
-                on_left = left[open_]
-                before = np.empty(len(open_), dtype=bool)  # the sibling's entry precedes this one
-                li, ri = np.flatnonzero(on_left), np.flatnonzero(~on_left)
-                before[li] = self.less(other[li], it[li])
-                before[ri] = ~self.less(it[ri], other[ri])
-                lo[open_] = np.where(before, mid + 1, lo[open_])
-                hi[open_] = np.where(before, hi[open_], mid)
-            pair = (block // 2) * 2 * width
-            target = pair + (place[mine] - block * width) + (lo - sib_lo)
-            order[start[mine] + target] = own
-            width *= 2
-        return order
-
-    def classes(self, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix order and, in that order, the class of equal windows.  Equal
-        hashes are verified by their bytes."""
-        order = self.sort(groups)
-        if len(order) == 0:
             return order, order
-        g, w = groups[order], self.whole[order]
-        same = (g[1:] == g[:-1]) & (w[1:] == w[:-1])
-        i = np.flatnonzero(same)
-        for lo in range(0, len(i), 1 << 16):
-            part = i[lo: lo + (1 << 16)]
-            a, b = order[part], order[part + 1]
-            cols = np.arange(LENGTH)
-            equal = (self.data[self.record[a][:, None], self.offset[a][:, None] + cols]
-                     == self.data[self.record[b][:, None], self.offset[b][:, None] + cols]).all(axis=1)
-            if not equal.all():
-                raise ValueError("two different windows have the same hash; change the hash base")
-        return order, np.cumsum(np.append(True, ~same)) - 1
+        cut = np.append(True, groups[1:] != groups[:-1])  # a class begins here
+        left = np.flatnonzero(~(cut & np.append(cut[1:], True)))  # in classes of two or more
+        for w in range(-(-LENGTH // 8)):
+            if not len(left):
+                break
+            cls = np.cumsum(cut[left])
+            key = self.word(order[left], w)
+            falls = (key[1:] < key[:-1]) & (cls[1:] == cls[:-1])
+            if falls.any():
+                mixed = np.zeros(cls[-1] + 1, dtype=bool)
+                mixed[cls[1:][falls]] = True
+                some = np.flatnonzero(mixed[cls])
+                by = some[np.lexsort((key[some], cls[some]))]
+                order[left[some]] = order[left[by]]
+                key[some] = key[by]
+            cut[left[1:]] |= key[1:] != key[:-1]
+            begins = cut[left]
+            left = left[~(begins & np.append(begins[1:], True))]
+        return order, np.cumsum(cut) - 1
 
 
 def repeated_windows(data: np.ndarray, lengths: np.ndarray, anchors: np.ndarray, ranks: np.ndarray) -> np.ndarray:
@@ -203,7 +153,7 @@ def repeated_windows(data: np.ndarray, lengths: np.ndarray, anchors: np.ndarray,
     i = np.arange(len(data))
     h = mix((sums[i, anchors + K] - sums[i, anchors]) * down[anchors])
     group = h[record] + mix((anchors[record] - offset).astype(np.uint64))
-    by_group = np.argsort(group, kind="stable")
+    by_group = np.argsort(group)
     group, record, offset = group[by_group], record[by_group], offset[by_group]
     edge = np.append(True, group[1:] != group[:-1])
     size = np.diff(np.append(np.flatnonzero(edge), len(group)))

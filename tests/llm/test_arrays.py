@@ -214,6 +214,20 @@ def test_suffix_sort_is_a_sort():
     assert texts == sorted(texts) and classes[-1] == len(set(texts)) - 1
 
 
+def test_suffix_sort_reads_a_word_only_of_equal_suffixes(monkeypatch):
+    read, word = [], suffixes.Suffixes.word
+    monkeypatch.setattr(suffixes.Suffixes, "word", lambda self, s, w: read.append(len(s)) or word(self, s, w))
+    data = np.random.default_rng(6).integers(0, 256, size=(900, suffixes.REGION)).astype(np.uint8)
+    data[1] = data[0]
+    data[2, :] = data[0, :]
+    data[2, suffixes.LENGTH - 1] ^= 1
+    data[2, suffixes.LENGTH:] ^= 1  # bytes behind a window do not count
+    order, classes = suffixes.Suffixes(data, np.arange(900), np.zeros(900, dtype=np.int64)).classes(np.zeros(900, dtype=np.uint64))
+    texts = [data[i, :suffixes.LENGTH].tobytes() for i in order]
+    assert texts == sorted(texts) and classes[-1] == 898
+    assert read == [900] + [3] * 6
+
+
 @pytest.mark.parametrize("n_sources, n_pieces, common", [(6, 300, 256), (300, 700, 256), (300, 700, 3), (1, 20, 256)])
 def test_packing_takes_the_tightest_compatible_bin(monkeypatch, n_sources, n_pieces, common):
     monkeypatch.setattr(packing, "COMMON_SOURCES", common)
