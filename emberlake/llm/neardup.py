@@ -25,7 +25,11 @@ turns with leaders, and its nodes then move to ``SUB_KEYS`` smaller
 buckets each, of the bucket's own key and three more samples, level by level.  Of two nodes at the
 threshold one such level keeps a bucket in common with a probability of 0.76, and they have 7 of
 14 buckets in common on average; at the last of ``LEVELS`` levels, where nodes agree
-in 21 samples, leaders have to do.  A signature filter (``least_agreement``
+in 21 samples, the nodes only take turns with leaders.  Smaller buckets part some
+pairs of a larger one, so the larger buckets that still span components after all this are
+compared whole: their nodes fall into blocks, and a task has two blocks (``block_pairs``).  No
+pair that shares a bucket is left out; memory stays bounded, and only the work on
+a larger bucket whose components do not meet is quadratic.  A signature filter (``least_agreement``
 samples; a link at the threshold falls below with a probability under that of
 sharing no band) precedes the exact comparison.  The joins read stored tables,
 so Spark splits skewed keys at run time.  The frequency table has a fixed size,
@@ -51,6 +55,7 @@ from pyspark.sql import functions as F
 from emberlake.llm.common import OWN, staged, text_or_empty, with_code
 from emberlake.llm.components import components
 from emberlake.llm.text import chunks, mix, shingles, text_bytes, words
+from emberlake.operators.sequence import unfold
 from emberlake.operators.sizing import broadcast_if_small
 
 THRESHOLD = 0.8
@@ -294,6 +299,7 @@ def node_components(keys: DataFrame, nodes: DataFrame, texts: DataFrame, idf, th
 
     keys, roots = turns(keys, roots, LEADERS)
     gathered: list[DataFrame] = []
+    whole = None
     for level in range(LEVELS + 1):
         rows = keys.join(roots, "nid").join(texts.select("nid", F.octet_length("t").alias("bytes")), "nid")
         spans = rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n"),
@@ -304,6 +310,8 @@ def node_components(keys: DataFrame, nodes: DataFrame, texts: DataFrame, idf, th
         keys = sized.filter("large").select("nid", "band", "key")
         if keys.isEmpty():
             break
+        if whole is None:
+            whole = keys.select("nid", "key")
         keys, roots = turns(keys, roots, MORE_LEADERS)
         if level == LEVELS or keys.isEmpty():
             break
@@ -312,9 +320,31 @@ def node_components(keys: DataFrame, nodes: DataFrame, texts: DataFrame, idf, th
     for more in gathered[1:]:
         rows = rows.unionAll(more)
     links = gathered_links(rows.join(roots, "nid"), nodes, texts, idf, threshold)
+    roots = _merged(roots, staged(links, "near-links"))
+    if whole is None:
+        return roots
+    rows = block_pairs(whole.join(roots, "nid"), texts, group_nodes, group_bytes)
+    if rows.isEmpty():
+        return roots
+    links = gathered_links(rows.join(roots, "nid"), nodes, texts, idf, threshold)
     return _merged(roots, staged(links, "near-links"))
 
 
+def block_pairs(rows: DataFrame, texts: DataFrame, group_nodes: int, group_bytes: int) -> DataFrame:
+    """(nid, key) of groups in which every two nodes of a bucket of (nid, key, root) meet, if it
+    spans components: its nodes fall into blocks of about half a group, and a group is two blocks."""
+    spans = rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key")
+    open_ = rows.select("nid", "key").join(staged(spans, "near-spans"), "key").join(
+        texts.select("nid", F.octet_length("t").alias("bytes")), "nid")
+    open_ = staged(open_, "near-whole")
+    half = F.greatest(F.count("*") * 2 / group_nodes, F.sum("bytes") * 2 / group_bytes)
+    blocks = open_.groupBy("key").agg(F.least(F.count("*"), F.greatest(F.lit(2), F.ceil(half))).alias("blocks"))
+    placed = open_.join(staged(blocks, "near-blocks"), "key").withColumn("mine", F.pmod(F.xxhash64("nid"), F.col("blocks")))
+    other = unfold(placed, F.col("blocks"), "other").filter("other != mine")
+    group = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))
+    return staged(other.select("nid", group.alias("key")), "near-block-pairs")
+
+
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Similarity of two weighted sets, each sorted hashes and weights."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)

@@ -106,6 +106,23 @@ def test_links_are_searched_to_the_end(spark, group_nodes, group_bytes):
     assert all(roots[1001 + 10 * i] == 1000 + 10 * i for i in range(300))
 
 
+def test_a_larger_bucket_loses_no_link_to_its_smaller_ones(spark):
+    """Couples whose signatures agree, but not in the samples that part their bucket."""
+    rng, own = random.Random(8), np.random.default_rng(4)
+    rows, sigs = [], []
+    for i in range(40):
+        words = [rng.choice(WORDS) for _ in range(60)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[1:]))]
+        sig = own.integers(0, 1 << 30, neardup.SAMPLES)
+        sigs += [(2 * i, sig.tolist()), (2 * i + 1, (sig ^ np.isin(np.arange(neardup.SAMPLES), [3, 6])).tolist())]
+    keys = staged(spark.createDataFrame([(n, 0, 5) for n, _ in rows], "nid long, band int, key long"), "k")
+    nodes = staged(spark.createDataFrame(sigs, "nid long, sig array<int>"), "n")
+    texts = staged(spark.createDataFrame(rows, "nid long, t string"), "t")
+    idf = spark.sparkContext.broadcast(neardup.idf_weights(*neardup.document_frequencies(texts, "t")))
+    roots = {r.nid: r.root for r in neardup.node_components(keys, nodes, texts, idf, 0.8, group_nodes=8).collect()}
+    assert all(roots[2 * i] == roots[2 * i + 1] == 2 * i for i in range(40))
+
+
 def test_larger_buckets_lose_few_links(spark, monkeypatch):
     """A dense group at the threshold, with buckets far above the size that a task takes."""
     monkeypatch.setattr(neardup, "GROUP_NODES", 16)
