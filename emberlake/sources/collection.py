@@ -103,9 +103,10 @@ class DocumentCollection:
 
     def append_each(self, docs: DataFrame, column: str, prefix: str) -> int:
         """One commit that adds or replaces ``prefix/<value>`` for each value
-        of ``column`` (the batches of a micro-batch)."""
+        of ``column`` (the batches of a micro-batch).  A part of a value lies in
+        one file: its size is bounded, and a file for each task and value makes many small ones."""
         folder = f"data/{uuid.uuid4().hex}"
-        docs.select(column, *S.DOCUMENT.names).write.mode("errorifexists").partitionBy(column).parquet(f"{self.path}/{folder}")
+        docs.select(column, *S.DOCUMENT.names).repartition(column, "part").write.mode("errorifexists").partitionBy(column).parquet(f"{self.path}/{folder}")
         parts = [f.getPath().getName() for f in self._fs().listStatus(self._path(folder))]
         new = {f"{prefix}/{p.split('=', 1)[1]}": f"{folder}/{p}" for p in parts if p.startswith(f"{column}=")}
         return self._commit(lambda old: {**old, **new})

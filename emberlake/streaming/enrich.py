@@ -67,6 +67,8 @@ def start_arrival_enrichment(records: DataFrame, sink_path: str | None, checkpoi
                 collection.append_each(stored_documents(flat), "batch", "arrival")
                 return
             out = enrich_documents(flat) if nested else flat
+            if batch_width and not as_coded:
+                out = out.repartition("batch")  # a batch of bounded width is one file, not one a task
             overwrite_partitions(out.withColumnRenamed("batch", "batch_id"), sink_path, "batch_id")
         finally:
             for df in kept:

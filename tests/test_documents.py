@@ -3,6 +3,7 @@
 import contextlib
 import datetime as dt
 import io
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,6 +186,14 @@ def test_a_later_part_replaces_the_documents_of_its_batch(spark, tmp_dir):
     assert sorted((r.date.day, r.n_hotspots) for r in c.read().collect()) == [(1, 2), (2, 0)]
 
 
+def test_a_batch_is_one_file(spark, tmp_dir):
+    c = DocumentCollection(spark, tmp_dir)
+    docs = nest_documents(climate_rows(spark, 1, 2, 3, 4, 5, 6), spark.createDataFrame([], FIRES))
+    c.append_each(docs.withColumn("batch", F.dayofmonth("date") % 2).repartition(4, "date"), "batch", "arrival")
+    files = [f for _, _, names in os.walk(f"{tmp_dir}/data") for f in names if f.endswith(".parquet")]
+    assert len(files) == 2 and c.read().count() == 6
+
+
 def test_both_stream_jobs_fill_the_collection(spark, tmp_dir):
     feed = W.feed(spark, SF_SMALL)
     flat = SR.replay_arrival_enrichment(feed, batch_width=400)
