@@ -55,10 +55,10 @@ def _parallelism(df: DataFrame) -> int:
 
 
 def write_batches(feed: DataFrame, path: str, batch_width: int = BATCH_WIDTH) -> None:
-    """Write the encoded feed so that each file holds whole batches."""
-    records = encode_messages(feed)
+    """Write the encoded feed so that each file holds whole batches, the files
+    in the order of their batches: a batch taken after much newer ones is late."""
     batch = F.floor(F.col("offset") / batch_width)
-    write_records(records.repartition(_parallelism(feed), batch), path)
+    write_in_order(encode_messages(feed).withColumn("batch", batch), path, order="batch")
 
 
 def write_in_order(records: DataFrame, path: str, n_files: int | None = None, order: str = "offset") -> None:

@@ -166,6 +166,27 @@ def test_as_coded_batches_cut_across_micro_batches(spark):
               SR.replay_arrival_enrichment(feed, batch_width=400, as_coded=True))
 
 
+@pytest.mark.parametrize("as_coded, rows", [(True, 3), (False, 1)])
+def test_every_batch_of_many_is_enriched(spark, tmp_dir, as_coded, rows):
+    """Many more batches than stay open, over several micro-batches: none is late.
+
+    A batch is climate, AQUA, two TERRA in another cell and a TERRA in theirs."""
+    n, place = 40, F.col("id") % 5
+    is_climate = place == 0
+    producer = (F.when(is_climate, "producer_climate").when(place == 1, "producer_hotspot_aqua")
+                .otherwise("producer_hotspot_terra"))
+    feed = spark.range(5 * n).select(
+        F.col("id").alias("arrival"), producer.alias("producer_id"),
+        F.expr("timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, CAST(id AS INT))").alias("event_ts"),
+        F.when(place.isin(2, 3), -30.0).otherwise(-37.0).alias("latitude"), F.lit(145.0).alias("longitude"),
+        *[F.when(is_climate, F.col("id").cast("double")).alias(c) for c in (
+            "air_temperature_celcius", "relative_humidity", "windspeed_knots", "max_wind_speed", "ghi")],
+        *[F.when(~is_climate, 50.0 + place).alias(c) for c in ("confidence", "surface_temperature_celcius")])
+    out = SR.replay_arrival_enrichment(feed, batch_width=5, as_coded=as_coded, root=tmp_dir, files_per_trigger=2)
+    got = out.groupBy("batch_id").agg(F.count("*").alias("n"), F.sum("confidence").alias("c"), F.max("ghi").alias("g"))
+    assert sorted(map(tuple, got.collect())) == [(b, rows, rows * 52.5, 5.0 * b) for b in range(n)]
+
+
 RECORDS = "topic string, partition int, offset long, value string"
 
 
